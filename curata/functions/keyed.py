@@ -17,10 +17,17 @@ from pyspark.sql import functions as F
 _TWO_POW_32 = 4294967296.0
 
 
+def hash_uniform_expr(seed: int, key: str) -> str:
+    """The draw as Spark SQL text over a key column name."""
+    return (f"(CAST(conv(substring(md5(concat('{int(seed)}:', CAST(`{key}` AS STRING))), 1, 8), 16, 10) AS DOUBLE)"
+            f" / {_TWO_POW_32}D)")
+
+
 def hash_uniform(seed: int, key: Column | str) -> Column:
     """Deterministic U[0,1) draw from a seed and a row key (any type)."""
-    key_col = F.col(key) if isinstance(key, str) else key
-    digest = F.md5(F.concat(F.lit(f"{seed}:"), key_col.cast("string")))
+    if isinstance(key, str):
+        return F.expr(hash_uniform_expr(seed, key))
+    digest = F.md5(F.concat(F.lit(f"{seed}:"), key.cast("string")))
     return F.conv(F.substring(digest, 1, 8), 16, 10).cast("double") / F.lit(_TWO_POW_32)
 
 

@@ -108,26 +108,28 @@ def histogram(df: DataFrame, columns: Sequence[str], bins: int = 30) -> DataFram
 def correlations(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Pearson correlation of every pair, pairwise-complete, in long form.
 
-    All pairs are computed in ONE aggregate as cov / (sd_a * sd_b) over the
-    rows where both values are present.  A constant column gives NULL
-    (``F.corr`` would raise a division by zero under ANSI mode).  The result
-    is mirrored and has the diagonal: (col_a, col_b, corr), n*n rows.
+    Each row is stacked into one (col_a, col_b, x, y) entry per pair (i <= j),
+    with x and y NULL unless both values are present, and grouped by pair:
+    cov / (sd_x * sd_y).  The partial aggregate leaves one row per pair and
+    task before the shuffle, and the plan stays small for any column count.
+    A constant column gives NULL (``F.corr`` would raise a division by zero
+    under ANSI mode).  The result is mirrored and has the diagonal.
     """
     cols = existing(df, columns)
-    pairs = [(a, b) for i, a in enumerate(cols) for b in cols[i:]]
-    aggs = []
-    for k, (a, b) in enumerate(pairs):
-        both = F.col(a).isNotNull() & F.col(b).isNotNull() & ~F.isnan(F.col(a).cast("double")) & ~F.isnan(F.col(b).cast("double"))
-        xa = F.when(both, F.col(a).cast("double"))
-        xb = F.when(both, F.col(b).cast("double"))
-        aggs.append(safe_div(F.covar_pop(xa, xb), F.stddev_pop(xa) * F.stddev_pop(xb)).alias(f"r{k}"))
-    wide = df.agg(*aggs)
     entries = []
-    for k, (a, b) in enumerate(pairs):
-        entries += [F.lit(a), F.lit(b), F.col(f"r{k}")]
-        if a != b:
-            entries += [F.lit(b), F.lit(a), F.col(f"r{k}")]
-    return wide.select(F.stack(F.lit(len(entries) // 3), *entries).alias("col_a", "col_b", "corr"))
+    for i, a in enumerate(cols):
+        for b in cols[i:]:
+            xa, xb = f"CAST(`{a}` AS DOUBLE)", f"CAST(`{b}` AS DOUBLE)"
+            both = f"{xa} IS NOT NULL AND {xb} IS NOT NULL AND NOT isnan({xa}) AND NOT isnan({xb})"
+            entries += [f"'{a}'", f"'{b}'", f"CASE WHEN {both} THEN {xa} END", f"CASE WHEN {both} THEN {xb} END"]
+    n_pairs = len(entries) // 4
+    long = df.selectExpr(f"stack({n_pairs}, {', '.join(entries)}) AS (col_a, col_b, x, y)")
+    stats = long.groupBy("col_a", "col_b").agg(
+        safe_div(F.covar_pop("x", "y"), F.stddev_pop("x") * F.stddev_pop("y")).alias("corr"))
+    same = F.struct(F.col("col_a").alias("col_a"), F.col("col_b").alias("col_b"), F.col("corr").alias("corr"))
+    swapped = F.struct(F.col("col_b").alias("col_a"), F.col("col_a").alias("col_b"), F.col("corr").alias("corr"))
+    both_ways = F.when(F.col("col_a") == F.col("col_b"), F.array(same)).otherwise(F.array(same, swapped))
+    return stats.select(F.inline(both_ways))
 
 
 def correlation_heatmap(df: DataFrame, columns: Sequence[str], digits: int = 2) -> DataFrame:

@@ -6,10 +6,13 @@ text for the DuckDB oracles) must stay in step.
 
 Plan: lineitem is aggregated per order first (partial aggregation before
 the shuffle, so a hot order key never reaches one task as raw rows); the
-aggregate comes out hash-partitioned on the order key, which the left join
-to orders reuses.  The customer join is left to Catalyst/AQE: it becomes a
-broadcast only when the runtime size of ``customer`` is under the
-broadcast threshold, a sort-merge join (with AQE skew splitting) otherwise.
+aggregate comes out hash-partitioned on the order key.  ``orders`` is
+hash-partitioned on the same key, so the left join to the aggregate is
+co-partitioned: at scale this is the one exchange a sort-merge join needs
+anyway, and it spreads a single large input file over all cores.  The
+customer join is left to Catalyst/AQE: a broadcast only when the runtime
+size of ``customer`` is under the broadcast threshold, a sort-merge join
+(with AQE skew splitting of a hot customer key) otherwise.
 """
 
 from __future__ import annotations
@@ -22,55 +25,53 @@ from curata.sources.tables import load_table
 
 def lines_per_order(lineitem: DataFrame) -> DataFrame:
     return lineitem.groupBy("l_orderkey").agg(
-        F.count(F.lit(1)).cast("int").alias("n_lines"),
-        F.countDistinct("l_suppkey").cast("int").alias("n_supp"),
-        F.sum("l_quantity").cast("int").alias("qty"),
-        F.sum(F.when(F.col("l_returnflag") == "R", 1).otherwise(0)).cast("int").alias("n_ret"),
-        F.sum(F.when(F.col("l_linestatus") == "O", 1).otherwise(0)).cast("int").alias("n_open"),
-        F.sum(F.when(F.col("l_discount") >= 0.08, 1).otherwise(0)).cast("int").alias("n_disc"),
+        F.expr("CAST(COUNT(*) AS INT) AS n_lines"),
+        F.expr("CAST(COUNT(DISTINCT l_suppkey) AS INT) AS n_supp"),
+        F.expr("CAST(SUM(l_quantity) AS INT) AS qty"),
+        F.expr("CAST(SUM(CASE WHEN l_returnflag = 'R' THEN 1 ELSE 0 END) AS INT) AS n_ret"),
+        F.expr("CAST(SUM(CASE WHEN l_linestatus = 'O' THEN 1 ELSE 0 END) AS INT) AS n_open"),
+        F.expr("CAST(SUM(CASE WHEN l_discount >= 0.08 THEN 1 ELSE 0 END) AS INT) AS n_disc"),
     )
 
 
+# Column definitions of the encounter record over orders, customer and the
+# per-order line aggregate (SQL expressions: one parse each on the JVM).
+ENCOUNTER_COLUMNS = (
+    "o_orderkey AS encounter_id",
+    "o_custkey AS patient_nbr",
+    "CASE WHEN o_orderkey % 45 = 0 THEN '?' ELSE c_mktsegment END AS race",
+    "CASE WHEN o_orderkey % 499 = 0 THEN 'Unknown/Invalid' WHEN c_nationkey % 2 = 0 THEN 'Female' ELSE 'Male' END AS gender",
+    "concat('[', CAST(10 * (o_custkey % 10) AS STRING), '-', CAST(10 * (o_custkey % 10) + 10 AS STRING), ')') AS age",
+    "CASE WHEN o_orderkey % 100 < 97 THEN '?' ELSE '[75-100)' END AS weight",
+    "CAST(1 + o_orderkey % 14 AS INT) AS time_in_hospital",
+    "qty AS num_lab_procedures",
+    "n_disc AS num_procedures",
+    "n_lines AS num_medications",
+    "n_ret AS number_outpatient",
+    "n_open AS number_emergency",
+    "n_supp AS number_inpatient",
+    "CAST(1 + o_custkey % 9 AS INT) AS number_diagnoses",
+    "CASE o_orderpriority WHEN '1-URGENT' THEN '>300' WHEN '2-HIGH' THEN '>200' WHEN '3-MEDIUM' THEN 'Norm' "
+    "ELSE 'None' END AS max_glu_serum",
+    "CASE WHEN o_orderkey % 6 = 0 THEN '>8' WHEN o_orderkey % 6 = 1 THEN 'Norm' ELSE 'None' END AS A1Cresult",
+    "CASE WHEN o_orderkey % 5 < 2 THEN 'Ch' ELSE 'No' END AS change",
+    "CASE WHEN o_custkey % 4 = 0 THEN 'No' ELSE 'Yes' END AS diabetesMed",
+    "CASE WHEN (n_ret >= 3 AND o_orderkey % 7 <> 0) OR o_orderkey % 50 = 0 THEN '<30' "
+    "WHEN o_orderstatus = 'O' THEN '>30' ELSE 'NO' END AS readmitted",
+)
+
+
 def encounters(spark: SparkSession, sf_dir: str) -> DataFrame:
     orders = load_table(spark, sf_dir, "orders").select(
         "o_orderkey", "o_custkey", "o_orderstatus", "o_orderpriority")
     customer = load_table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey", "c_mktsegment")
     li = lines_per_order(load_table(spark, sf_dir, "lineitem"))
-
-    ok, ck = F.col("o_orderkey"), F.col("o_custkey")
-    decade = (ck % 10) * 10
     joined = (
-        orders.join(customer, ck == F.col("c_custkey"), "inner")
-        .join(li, F.col("l_orderkey") == ok, "left")
-    )
-    return joined.select(
-        ok.alias("encounter_id"),
-        ck.alias("patient_nbr"),
-        F.when(ok % 45 == 0, F.lit("?")).otherwise(F.col("c_mktsegment")).alias("race"),
-        F.when(ok % 499 == 0, F.lit("Unknown/Invalid"))
-        .when(F.col("c_nationkey") % 2 == 0, F.lit("Female"))
-        .otherwise(F.lit("Male")).alias("gender"),
-        F.concat(F.lit("["), decade.cast("string"), F.lit("-"), (decade + 10).cast("string"), F.lit(")")).alias("age"),
-        F.when(ok % 100 < 97, F.lit("?")).otherwise(F.lit("[75-100)")).alias("weight"),
-        (ok % 14 + 1).cast("int").alias("time_in_hospital"),
-        F.col("qty").alias("num_lab_procedures"),
-        F.col("n_disc").alias("num_procedures"),
-        F.col("n_lines").alias("num_medications"),
-        F.col("n_ret").alias("number_outpatient"),
-        F.col("n_open").alias("number_emergency"),
-        F.col("n_supp").alias("number_inpatient"),
-        (ck % 9 + 1).cast("int").alias("number_diagnoses"),
-        F.when(F.col("o_orderpriority") == "1-URGENT", F.lit(">300"))
-        .when(F.col("o_orderpriority") == "2-HIGH", F.lit(">200"))
-        .when(F.col("o_orderpriority") == "3-MEDIUM", F.lit("Norm"))
-        .otherwise(F.lit("None")).alias("max_glu_serum"),
-        F.when(ok % 6 == 0, F.lit(">8")).when(ok % 6 == 1, F.lit("Norm")).otherwise(F.lit("None")).alias("A1Cresult"),
-        F.when(ok % 5 < 2, F.lit("Ch")).otherwise(F.lit("No")).alias("change"),
-        F.when(ck % 4 == 0, F.lit("No")).otherwise(F.lit("Yes")).alias("diabetesMed"),
-        F.when(((F.col("n_ret") >= 3) & (ok % 7 != 0)) | (ok % 50 == 0), F.lit("<30"))
-        .when(F.col("o_orderstatus") == "O", F.lit(">30"))
-        .otherwise(F.lit("NO")).alias("readmitted"),
+        orders.repartition("o_orderkey")
+        .join(li, F.col("l_orderkey") == F.col("o_orderkey"), "left")
+        .join(customer, F.col("o_custkey") == F.col("c_custkey"), "inner")
     )
+    return joined.selectExpr(*ENCOUNTER_COLUMNS)
 
 
 # The same table as SQL common table expressions (DuckDB oracles).

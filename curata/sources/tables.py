@@ -1,4 +1,10 @@
-"""Parquet test tables (one file per table under an ``sf`` folder)."""
+"""Parquet test tables (one file per table under an ``sf`` folder).
+
+Tables with a known layout are read with an explicit schema: no schema
+inference job at read time (which on a large dataset touches the footers of
+every file), and a type drift in the files fails loudly instead of changing
+the types of the whole pipeline.
+"""
 
 from __future__ import annotations
 
@@ -11,8 +17,20 @@ TABLES = (
     "documents", "embeddings", "pages", "benchmark", "labels", "conversations",
 )
 
+SCHEMAS = {
+    "orders": ("o_orderkey BIGINT, o_custkey BIGINT, o_orderstatus STRING, o_totalprice DOUBLE, "
+               "o_orderdate TIMESTAMP_NTZ, o_orderpriority STRING"),
+    "customer": "c_custkey BIGINT, c_name STRING, c_nationkey INT, c_acctbal DOUBLE, c_mktsegment STRING",
+    "lineitem": ("l_orderkey BIGINT, l_partkey BIGINT, l_suppkey BIGINT, l_linenumber INT, l_quantity DOUBLE, "
+                 "l_extendedprice DOUBLE, l_discount DOUBLE, l_tax DOUBLE, l_returnflag STRING, l_linestatus STRING, "
+                 "l_shipdate TIMESTAMP_NTZ"),
+}
+
 
 def load_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """Lazy parquet scan; column pruning and filters reach the reader."""
     path = os.path.join(sf_dir, f"{name}.parquet")
-    return spark.read.parquet(path)
+    reader = spark.read
+    if name in SCHEMAS:
+        reader = reader.schema(SCHEMAS[name])
+    return reader.parquet(path)
