@@ -10,6 +10,7 @@ block lost with an executor is recomputed to the same rows.
 from __future__ import annotations
 
 import threading
+from concurrent.futures import ThreadPoolExecutor
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
@@ -42,7 +43,14 @@ class Artifacts:
 
     @cached_property
     def prepared(self) -> DataFrame:
-        return persist(prepared_table(self.spark, self.sf_dir, self.spec))
+        """Cleaning reads its input three times (null shares, cap quantile,
+        output); the faulted input is kept for those passes and released once
+        the prepared table itself is materialised."""
+        raw = persist(inject_faults(encounters(self.spark, self.sf_dir), self.spec))
+        out = persist(engineer_features(clean(raw, self.spec)))
+        out.count()
+        raw.unpersist()
+        return out
 
     @cached_property
     def tagged(self) -> DataFrame:
@@ -76,11 +84,24 @@ class Artifacts:
 
     def model(self, name: str):
         cache = self.__dict__.setdefault("_models", {})
-        if name not in cache:
-            est = clf.classifiers(self.spec.weight_col)[name]
-            cache[name], self.fit_seconds[name] = clf.fit_timed(est, self.train_vectors)
+        with self._fit_lock(name):
+            if name not in cache:
+                est = clf.classifiers(self.spec.weight_col)[name]
+                cache[name], self.fit_seconds[name] = clf.fit_timed(est, self.train_vectors)
         return cache[name]
 
+    def _fit_lock(self, name: str) -> threading.Lock:
+        with _lock:
+            return self.__dict__.setdefault("_locks", {}).setdefault(name, threading.Lock())
+
+    def fit_all(self, parallelism: int = 3) -> None:
+        """Fit the classifiers concurrently on the shared persisted vectors
+        (as CrossValidator's ``parallelism`` does): each fit is a series of
+        small jobs, so concurrent fits keep the executors busy."""
+        self.train_vectors.count()
+        with ThreadPoolExecutor(max_workers=max(1, parallelism)) as pool:
+            list(pool.map(self.model, clf.MODEL_ORDER))
+
     def predictions(self, name: str) -> DataFrame:
         cache = self.__dict__.setdefault("_preds", {})
         if name not in cache:
@@ -96,8 +117,7 @@ class Artifacts:
 
     def leaderboard_rows(self) -> DataFrame:
         out = None
-        for name in clf.MODEL_ORDER:
-            self.model(name)
+        self.fit_all()
         for name in clf.MODEL_ORDER:
             row = self.metrics_row(name)
             out = row if out is None else out.unionByName(row)
