@@ -15,6 +15,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from curata.functions.blocks import block_count, with_blocks
 from curata.functions.exprs import existing
 from curata.spec import DEFAULT_SPEC, EncounterSpec
 
@@ -93,24 +94,50 @@ def encode_target(df: DataFrame, target: str = "readmitted", positive: str = "<3
     return df.withColumn(label, F.when(F.col(target) == F.lit(positive), 1).otherwise(0).cast("int")).drop(target)
 
 
+def exact_quantile(df: DataFrame, column: str, q: float) -> float | None:
+    """Exact ``percentile_disc``: the smallest value whose cumulative share of
+    the non-null rows reaches q.
+
+    Distributed: rows are grouped by value (partial aggregation, so a value
+    holding a third of the rows is one row per task), distinct values are cut
+    into contiguous blocks, only the per-block totals reach the driver, and a
+    running sum runs inside the one block that holds the target rank.  No
+    task ever holds more than one block of distinct values.
+    """
+    x = F.col(column).cast("double")
+    grouped = df.where(x.isNotNull() & ~F.isnan(x)).groupBy(x.alias("v")).agg(F.count(F.lit(1)).alias("c"))
+    stats = grouped.agg(F.sum("c").alias("n"), F.count(F.lit(1)).alias("d")).first()
+    if not stats["n"]:
+        return None
+    target = q * stats["n"]
+    blocked = with_blocks(grouped, "v", block_count(stats["d"]))
+    totals = sorted((r["block"], r["t"]) for r in blocked.groupBy("block").agg(F.sum("c").alias("t")).collect())
+    offset, chosen = 0, totals[-1][0]
+    for block, total in totals:
+        if offset + total >= target:
+            chosen = block
+            break
+        offset += total
+    inside = blocked.where(F.col("block") == chosen)
+    running = F.sum("c").over(Window.orderBy("v").rowsBetween(Window.unboundedPreceding, 0))
+    return inside.withColumn("cum", F.lit(offset) + running).where(F.col("cum") >= F.lit(target)).agg(
+        F.min("v")).first()[0]
+
+
 def quantiles(df: DataFrame, columns: Sequence[str], q: float, relative_error: float | None = None) -> dict[str, float | None]:
-    """q-quantile per column from ONE aggregate.
+    """q-quantile per column.
 
-    ``relative_error=None``: exact ``percentile_disc`` (first value whose
-    cumulative share reaches q); its state is a map of distinct values, fine
-    for count-like columns.  A number: ``percentile_approx`` (bounded
-    Greenwald-Khanna sketch) for high-cardinality columns at any scale.
+    ``relative_error=None``: exact (``exact_quantile``, a few small jobs per
+    column).  A number: ``percentile_approx`` (bounded Greenwald-Khanna
+    sketch) for all columns in ONE aggregate.
     """
     if not columns:
         return {}
-    aggs = []
-    for i, c in enumerate(columns):
-        if relative_error is None:
-            aggs.append(F.expr(f"percentile_disc({q}) WITHIN GROUP (ORDER BY `{c}`)").cast("double").alias(f"q{i}"))
-        else:
-            acc = max(1, int(round(1.0 / relative_error)))
-            aggs.append(F.percentile_approx(F.col(c), q, acc).cast("double").alias(f"q{i}"))
-    row = df.agg(*aggs).first()
+    if relative_error is None:
+        return {c: exact_quantile(df, c, q) for c in columns}
+    acc = max(1, int(round(1.0 / relative_error)))
+    row = df.agg(*[F.percentile_approx(F.col(c), q, acc).cast("double").alias(f"q{i}")
+                   for i, c in enumerate(columns)]).first()
     return {c: row[f"q{i}"] for i, c in enumerate(columns)}
 
 

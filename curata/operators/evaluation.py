@@ -13,10 +13,10 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.ml.feature import Bucketizer
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from curata.functions.blocks import with_blocks
 from curata.functions.exprs import safe_div
 
 METRICS = ("auc_roc", "accuracy", "f1", "weighted_precision", "weighted_recall")
@@ -82,13 +82,7 @@ def auc_roc(df: DataFrame, label: str = "label", score: str = "score", blocks: i
         F.count_if(F.col(label) != 1).cast("double").alias("neg"))
     if blocks is None:
         blocks = max(8, 2 * int(spark.conf.get("spark.sql.shuffle.partitions")))
-    probs = [i / blocks for i in range(1, blocks)]
-    bounds = grouped.approxQuantile("s", probs, 1.0 / (4 * blocks)) if probs else []
-    splits = [float("-inf")] + sorted(set(bounds)) + [float("inf")]
-    if len(splits) < 3:   # one block: Bucketizer needs at least one inner bound
-        blocked = grouped.withColumn("block", F.lit(0.0))
-    else:
-        blocked = Bucketizer(splits=splits, inputCol="s", outputCol="block").transform(grouped)
+    blocked = with_blocks(grouped, "s", blocks)
     within = Window.partitionBy("block").orderBy("s").rowsBetween(Window.unboundedPreceding, -1)
     ranked = blocked.withColumn("neg_before", F.coalesce(F.sum("neg").over(within), F.lit(0.0)))
     totals = blocked.groupBy("block").agg(F.sum("neg").alias("block_neg"))

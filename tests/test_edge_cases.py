@@ -122,3 +122,15 @@ def test_metrics_zero_denominators(spark):
     m = ev.classification_metrics(df).first()
     assert m.accuracy == pytest.approx(2 / 3)
     assert m.weighted_recall == pytest.approx(m.accuracy)
+
+
+def test_exact_quantile_matches_percentile_disc_with_many_blocks(spark, monkeypatch):
+    import curata.functions.blocks as blocks
+    monkeypatch.setattr(blocks, "ROWS_PER_BLOCK", 7)
+    # one value holds a third of the rows (skew) plus a long tail of distinct values
+    rows = [(5.0,)] * 150 + [(float(v),) for v in range(300)] + [(None,)] * 4
+    df = spark.createDataFrame(rows, "v double")
+    for q in (0.01, 0.2, 0.5, 0.77, 0.99, 1.0):
+        want = df.agg(F.expr(f"percentile_disc({q}) WITHIN GROUP (ORDER BY v)")).first()[0]
+        assert cl.exact_quantile(df, "v", q) == want
+    assert cl.exact_quantile(df.where("v IS NULL"), "v", 0.5) is None
