@@ -11,6 +11,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -105,23 +106,29 @@ def exact_quantile(df: DataFrame, column: str, q: float) -> float | None:
     task ever holds more than one block of distinct values.
     """
     x = F.col(column).cast("double")
-    grouped = df.where(x.isNotNull() & ~F.isnan(x)).groupBy(x.alias("v")).agg(F.count(F.lit(1)).alias("c"))
-    stats = grouped.agg(F.sum("c").alias("n"), F.count(F.lit(1)).alias("d")).first()
-    if not stats["n"]:
-        return None
-    target = q * stats["n"]
-    blocked = with_blocks(grouped, "v", block_count(stats["d"]))
-    totals = sorted((r["block"], r["t"]) for r in blocked.groupBy("block").agg(F.sum("c").alias("t")).collect())
-    offset, chosen = 0, totals[-1][0]
-    for block, total in totals:
-        if offset + total >= target:
-            chosen = block
-            break
-        offset += total
-    inside = blocked.where(F.col("block") == chosen)
-    running = F.sum("c").over(Window.orderBy("v").rowsBetween(Window.unboundedPreceding, 0))
-    return inside.withColumn("cum", F.lit(offset) + running).where(F.col("cum") >= F.lit(target)).agg(
-        F.min("v")).first()[0]
+    # one row per distinct value, kept for the next small jobs so the input
+    # (often a join + dedup) is computed once
+    grouped = df.where(x.isNotNull() & ~F.isnan(x)).groupBy(x.alias("v")).agg(
+        F.count(F.lit(1)).alias("c")).persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        stats = grouped.agg(F.sum("c").alias("n"), F.count(F.lit(1)).alias("d")).first()
+        if not stats["n"]:
+            return None
+        target = q * stats["n"]
+        blocked = with_blocks(grouped, "v", block_count(stats["d"]))
+        totals = sorted((r["block"], r["t"]) for r in blocked.groupBy("block").agg(F.sum("c").alias("t")).collect())
+        offset, chosen = 0, totals[-1][0]
+        for block, total in totals:
+            if offset + total >= target:
+                chosen = block
+                break
+            offset += total
+        inside = blocked.where(F.col("block") == chosen)
+        running = F.sum("c").over(Window.orderBy("v").rowsBetween(Window.unboundedPreceding, 0))
+        return inside.withColumn("cum", F.lit(offset) + running).where(F.col("cum") >= F.lit(target)).agg(
+            F.min("v")).first()[0]
+    finally:
+        grouped.unpersist()
 
 
 def quantiles(df: DataFrame, columns: Sequence[str], q: float, relative_error: float | None = None) -> dict[str, float | None]:
