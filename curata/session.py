@@ -8,6 +8,7 @@ only fill in settings that are unset, so a cluster's own configuration
 from __future__ import annotations
 
 import os
+import tempfile
 
 from pyspark.sql import SparkSession
 
@@ -30,22 +31,24 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
     )
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
-    ensure_checkpoint_dir(spark)
+    if spark.sparkContext.master.startswith("local") and not (
+            spark.sparkContext._jsc.sc().getCheckpointDir().isDefined() or spark.conf.get("spark.checkpoint.dir", None)):
+        spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="curata-ckpt-"))
     return spark
 
 
-def ensure_checkpoint_dir(spark: SparkSession, fallback: str | None = None) -> str:
-    """Point the SparkContext at the cluster's shared checkpoint folder.
+def checkpoint_dir(spark: SparkSession) -> str:
+    """The checkpoint folder that driver and executors share.
 
-    ``spark.checkpoint.dir`` is read from the session; a folder of our own is
-    used only when the setting is absent (local tests).
+    A folder already set on the SparkContext stays; else ``spark.checkpoint.dir`` is used; with
+    neither, this raises: a folder of the driver's own would not be seen by other machines.
     """
-    path = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
+    context = spark.sparkContext
+    held = context._jsc.sc().getCheckpointDir()
+    if held.isDefined():
+        return held.get()
+    path = spark.conf.get("spark.checkpoint.dir", None) or context.getConf().get("spark.checkpoint.dir", None)
     if not path:
-        if fallback is None:
-            import tempfile
-
-            fallback = tempfile.mkdtemp(prefix="curata-ckpt-")
-        path = fallback
-    spark.sparkContext.setCheckpointDir(path)
-    return path
+        raise ValueError("no checkpoint folder: set spark.checkpoint.dir to a folder that all machines share")
+    context.setCheckpointDir(path)
+    return context._jsc.sc().getCheckpointDir().get()

@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 
-from curata.session import ensure_checkpoint_dir
+from curata.session import checkpoint_dir
 
 
 def write_table(df: DataFrame, path: str, mode: str = "overwrite", partition_by: list[str] | None = None) -> None:
@@ -26,5 +26,5 @@ def persist(df: DataFrame) -> DataFrame:
 
 
 def checkpoint_table(df: DataFrame) -> DataFrame:
-    ensure_checkpoint_dir(df.sparkSession)
+    checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
