@@ -6,8 +6,10 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from curata.llm import language_id, piece_bpe, token_files
+from curata.llm import blob_ledger, language_id, personal_data, piece_bpe, token_files
 from curata.llm.common import keyed_bucket, shared_path, table
+from curata.llm.oracles import PERSONAL_DATA, SECRETS
+from curata.llm.spans import joined
 
 
 def op1_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -26,6 +28,26 @@ def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "held_out", "found.lang_pred", "found.score", "found.margin", "found.rejected")
 
 
+def _count(spans: str, kind: str):
+    return F.size(F.filter(spans, lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+
+
+def _digest(spans: str, kinds: tuple[str, ...]):
+    base = F.filter(spans, lambda s: s["kind"].isin(*kinds))
+    return F.sha2(joined(base).cast("binary"), 256).alias("base_sha256"), joined(F.col(spans)).alias("spans")
+
+
+def op4_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = personal_data.add_spans(table(spark, sf_dir, "documents").select("doc_id", "text")).select("doc_id", F.col("personal_data").alias("s"))
+    scores = F.array_join(F.transform("s", lambda s: s["score"].cast("string")), ",").alias("scores")
+    return found.select("doc_id", *[_count("s", k) for k in personal_data.BASE], *_digest("s", personal_data.BASE), scores)
+
+
+def op9_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = blob_ledger.scan_secrets(table(spark, sf_dir, "documents"), shared_path(spark, "blob-ledger")).withColumnRenamed("spans", "s")
+    return found.select("doc_id", *[_count("s", k) for k in blob_ledger.BASE], *_digest("s", blob_ledger.BASE))
+
+
 def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = shared_path(spark, "token-files")
     token_files.write_token_files(table(spark, sf_dir, "documents"), path, public_tokenizers.path("byte_bpe_50k.json"), end_id=2)
@@ -37,7 +59,12 @@ def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_sentencepiece": op1_sentencepiece,
     "op3_language_id": op3_language_id,
+    "op4_personal_data": op4_personal_data,
+    "op9_secret_scan": op9_secret_scan,
     "op10_token_files": op10_token_files,
 }
 
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {
+    "op4_personal_data": PERSONAL_DATA,
+    "op9_secret_scan": SECRETS,
+}
