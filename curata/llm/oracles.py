@@ -74,3 +74,25 @@ def _secret(i: int, rule: blob_ledger.Rule) -> str:
 
 
 SECRETS = _report([_secret(i, r) for i, r in enumerate(blob_ledger.RULES)], blob_ledger.BASE, "s, place")
+
+#: Lower case of A-Z alone; the words are what is between ASCII white space.
+_WORDS = r"""string_split_regex(trim(regexp_replace(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+', ' ', 'g'), ' '), ' ')"""
+
+#: All pairs that share a shingle, counted; components by repeated minimum over links.
+NEAR_DUPLICATES = f"""
+WITH RECURSIVE words AS (SELECT doc_id, list_filter({_WORDS}, lambda x: x <> '') AS w FROM documents),
+shingles AS MATERIALIZED (
+  SELECT DISTINCT doc_id, hash(array_to_string(w[i:i + 4], ' ')) AS s
+  FROM (SELECT doc_id, w, unnest(range(1, greatest(1, len(w) - 4) + 1)) AS i FROM words WHERE len(w) > 0)),
+sizes AS MATERIALIZED (SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id),
+shared AS (SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS n FROM shingles a JOIN shingles b ON a.s = b.s AND a.doc_id <> b.doc_id GROUP BY ALL),
+links AS MATERIALIZED (
+  SELECT x, y FROM shared JOIN sizes p ON p.doc_id = x JOIN sizes q ON q.doc_id = y
+  WHERE 100 * shared.n >= 75 * (p.n + q.n - shared.n)),
+reach AS (
+  SELECT doc_id AS x, doc_id AS y FROM documents
+  UNION
+  SELECT r.x, l.y FROM reach r JOIN links l ON l.x = r.y)
+SELECT d.doc_id, coalesce(z.n, 0) AS n_shingles, m.c AS component_id, d.doc_id = m.c AS kept
+FROM documents d LEFT JOIN sizes z ON z.doc_id = d.doc_id JOIN (SELECT x, min(y) AS c FROM reach GROUP BY x) m ON m.x = d.doc_id
+"""

@@ -6,9 +6,9 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from curata.llm import blob_ledger, language_id, personal_data, piece_bpe, token_files
+from curata.llm import blob_ledger, language_id, near_duplicates, personal_data, piece_bpe, token_files
 from curata.llm.common import keyed_bucket, shared_path, table
-from curata.llm.oracles import PERSONAL_DATA, SECRETS
+from curata.llm.oracles import NEAR_DUPLICATES, PERSONAL_DATA, SECRETS
 from curata.llm.spans import joined
 
 
@@ -43,6 +43,10 @@ def op4_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", *[_count("s", k) for k in personal_data.BASE], *_digest("s", personal_data.BASE), scores)
 
 
+def op8_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 def op9_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = blob_ledger.scan_secrets(table(spark, sf_dir, "documents"), shared_path(spark, "blob-ledger")).withColumnRenamed("spans", "s")
     return found.select("doc_id", *[_count("s", k) for k in blob_ledger.BASE], *_digest("s", blob_ledger.BASE))
@@ -60,11 +64,13 @@ QUERIES = {
     "op1_sentencepiece": op1_sentencepiece,
     "op3_language_id": op3_language_id,
     "op4_personal_data": op4_personal_data,
+    "op8_near_duplicates": op8_near_duplicates,
     "op9_secret_scan": op9_secret_scan,
     "op10_token_files": op10_token_files,
 }
 
 ORACLES: dict[str, str] = {
     "op4_personal_data": PERSONAL_DATA,
+    "op8_near_duplicates": NEAR_DUPLICATES,
     "op9_secret_scan": SECRETS,
 }
