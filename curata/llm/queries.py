@@ -6,9 +6,9 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from curata.llm import blob_ledger, language_id, near_duplicates, personal_data, piece_bpe, token_files
+from curata.llm import blob_ledger, decontamination, language_id, near_duplicates, personal_data, piece_bpe, token_files, toxicity
 from curata.llm.common import keyed_bucket, shared_path, table
-from curata.llm.oracles import NEAR_DUPLICATES, PERSONAL_DATA, SECRETS
+from curata.llm.oracles import LEAKS, NEAR_DUPLICATES, PERSONAL_DATA, SECRETS
 from curata.llm.spans import joined
 
 
@@ -20,6 +20,11 @@ def op1_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"))
 
 
+def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    leaks = decontamination.find_leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return leaks.drop("score")
+
+
 def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     held_out = keyed_bucket("doc_id", 4) == 2
@@ -43,6 +48,13 @@ def op4_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", *[_count("s", k) for k in personal_data.BASE], *_digest("s", personal_data.BASE), scores)
 
 
+def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    model = toxicity.fit(docs, labels.filter(keyed_bucket("doc_id", 3) != 1))
+    scored = model.score(docs.select("doc_id", "text"))
+    return scored.select("doc_id", (keyed_bucket("doc_id", 3) == 1).alias("held_out"), "score", (F.col("score") >= 0.7).cast("int").alias("predicted"))
+
+
 def op8_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates.near_duplicates(table(spark, sf_dir, "documents"))
 
@@ -62,14 +74,17 @@ def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_sentencepiece": op1_sentencepiece,
+    "op2_decontamination": op2_decontamination,
     "op3_language_id": op3_language_id,
     "op4_personal_data": op4_personal_data,
+    "op7_toxicity": op7_toxicity,
     "op8_near_duplicates": op8_near_duplicates,
     "op9_secret_scan": op9_secret_scan,
     "op10_token_files": op10_token_files,
 }
 
 ORACLES: dict[str, str] = {
+    "op2_decontamination": LEAKS,
     "op4_personal_data": PERSONAL_DATA,
     "op8_near_duplicates": NEAR_DUPLICATES,
     "op9_secret_scan": SECRETS,
