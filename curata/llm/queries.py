@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from curata.llm import blob_ledger, decontamination, language_id, near_duplicates, personal_data, piece_bpe, token_files, toxicity
+from curata.llm import blob_ledger, decontamination, language_id, near_duplicates, personal_data, piece_bpe, site_style, token_files, toxicity
 from curata.llm.common import keyed_bucket, shared_path, table
 from curata.llm.oracles import LEAKS, NEAR_DUPLICATES, PERSONAL_DATA, SECRETS
 from curata.llm.spans import joined
@@ -48,6 +48,10 @@ def op4_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", *[_count("s", k) for k in personal_data.BASE], *_digest("s", personal_data.BASE), scores)
 
 
+def op5_site_style(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return site_style.extract(table(spark, sf_dir, "pages")).withColumn("n_chars", F.length("text").cast("long"))
+
+
 def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
     model = toxicity.fit(docs, labels.filter(keyed_bucket("doc_id", 3) != 1))
@@ -77,6 +81,7 @@ QUERIES = {
     "op2_decontamination": op2_decontamination,
     "op3_language_id": op3_language_id,
     "op4_personal_data": op4_personal_data,
+    "op5_site_style": op5_site_style,
     "op7_toxicity": op7_toxicity,
     "op8_near_duplicates": op8_near_duplicates,
     "op9_secret_scan": op9_secret_scan,
