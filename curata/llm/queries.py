@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from curata.llm import blob_ledger, decontamination, language_id, near_duplicates, personal_data, piece_bpe, site_style, token_files, toxicity
+from curata.llm import blob_ledger, decontamination, language_id, near_duplicates, personal_data, piece_bpe, projected_search, site_style, token_files, toxicity
 from curata.llm.common import keyed_bucket, shared_path, table
 from curata.llm.oracles import LEAKS, NEAR_DUPLICATES, PERSONAL_DATA, SECRETS
 from curata.llm.spans import joined
@@ -52,6 +52,10 @@ def op5_site_style(spark: SparkSession, sf_dir: str) -> DataFrame:
     return site_style.extract(table(spark, sf_dir, "pages")).withColumn("n_chars", F.length("text").cast("long"))
 
 
+def op6_projected_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return projected_search.nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
+
+
 def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
     model = toxicity.fit(docs, labels.filter(keyed_bucket("doc_id", 3) != 1))
@@ -82,6 +86,7 @@ QUERIES = {
     "op3_language_id": op3_language_id,
     "op4_personal_data": op4_personal_data,
     "op5_site_style": op5_site_style,
+    "op6_projected_search": op6_projected_search,
     "op7_toxicity": op7_toxicity,
     "op8_near_duplicates": op8_near_duplicates,
     "op9_secret_scan": op9_secret_scan,
