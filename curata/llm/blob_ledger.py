@@ -18,7 +18,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from curata.llm.spans import located
+from curata.llm.spans import let, located
 
 
 @dataclass(frozen=True)
@@ -90,14 +90,19 @@ def scan(docs: DataFrame, ledger: str, rules: tuple[Rule, ...] = RULES, text: st
     todo.select("blob", tried.alias("rules"), spans.alias("spans")).write.mode("append").parquet(ledger)
 
 
-def findings(docs: DataFrame, ledger: str, rules: tuple[Rule, ...] = RULES, text: str = "text", key: str = "doc_id") -> DataFrame:
-    """(key, blob, spans) for every row of ``docs``; spans by start, then rule as listed."""
+def _found(spark: SparkSession, ledger: str, rules: tuple[Rule, ...]) -> DataFrame:
+    """(blob, spans) of the blobs in which the rules' versions found something."""
     names = F.array(*[F.lit(_name(r)) for r in rules])
-    known = _scans(docs.sparkSession, ledger).filter(F.size("spans") > 0).groupBy("blob").agg(F.flatten(F.collect_list("spans")).alias("spans"))
+    known = _scans(spark, ledger).filter(F.size("spans") > 0).groupBy("blob").agg(F.flatten(F.collect_list("spans")).alias("spans"))
     place = F.create_map(*[x for i, r in enumerate(rules) for x in (F.lit(r.name), F.lit(i))])
     current = F.filter("spans", lambda s: F.array_contains(names, F.concat_ws(":", s["kind"], s["version"].cast("string"))))
     ordered = F.array_sort(F.transform(current, lambda s: F.struct(s["start"], place[s["kind"]].alias("place"), s["kind"], s["end"])))
-    found = known.select("blob", ordered.alias("spans"))
+    return known.select("blob", ordered.alias("spans"))
+
+
+def findings(docs: DataFrame, ledger: str, rules: tuple[Rule, ...] = RULES, text: str = "text", key: str = "doc_id") -> DataFrame:
+    """(key, blob, spans) for every row of ``docs``; spans by start, then rule as listed."""
+    found = _found(docs.sparkSession, ledger, rules)
     rows = _versions(docs, text, key).select(F.col("key").alias(key), "blob")
     return rows.join(found, "blob", "left").select(key, "blob", F.coalesce("spans", F.array().cast("array<struct<start:int,place:int,kind:string,end:int>>")).alias("spans"))
 
@@ -106,3 +111,34 @@ def scan_secrets(docs: DataFrame, ledger: str, rules: tuple[Rule, ...] = RULES,
     """Bring the ledger up to date with ``docs`` and return the findings of its rows."""
     scan(docs, ledger, rules, text, key)
     return findings(docs, ledger, rules, text, key)
+
+
+def masked(text: Column, spans: Column, mark: str = "[SECRET]") -> Column:
+    """The text with each stretch that spans cover replaced by ``mark``; ``spans`` are ordered by start."""
+
+    def merge(done: Column, s: Column) -> Column:
+        last = F.get(done, F.size(done) - 1)
+        joined = F.concat(F.slice(done, 1, F.size(done) - 1), F.array(F.struct(last["start"].alias("start"), F.greatest(last["end"], s["end"]).alias("end"))))
+        return F.when((F.size(done) > 0) & (s["start"] < last["end"]), joined).otherwise(F.concat(done, F.array(F.struct(s["start"], s["end"]))))
+
+    covered = F.aggregate(spans, F.array().cast("array<struct<start:int,end:int>>"), merge)
+
+    def cut(c: Column) -> Column:
+        def piece(i: Column) -> Column:
+            begin = F.when(i == 0, 0).otherwise(F.get(c, i - 1)["end"])
+            end = F.when(i == F.size(c), F.length(text)).otherwise(F.get(c, i)["start"])
+            return F.substring(text, begin + 1, end - begin)
+
+        return F.array_join(F.transform(F.sequence(F.lit(0), F.size(c)), piece), mark)
+
+    return F.when(F.size(spans) > 0, let(covered, cut)).otherwise(text)
+
+
+def mask_secrets(docs: DataFrame, ledger: str, rules: tuple[Rule, ...] = RULES, text: str = "text") -> DataFrame:
+    """The rows of ``docs``, with their own columns, whose texts have their secrets masked."""
+    rows = docs.select(F.struct("*").alias("row_"), F.coalesce(F.col(text).cast("string"), F.lit("")).alias("text_"))
+    rows = rows.withColumn("blob", F.sha2(F.col("text_").cast("binary"), 256))
+    scan(rows, ledger, rules, "text_", "blob")
+    found = rows.join(_found(docs.sparkSession, ledger, rules), "blob", "left")
+    clean = F.when(F.size("spans") > 0, masked(F.col("text_"), F.col("spans"))).otherwise(F.col(f"row_.{text}"))
+    return found.select(*[clean.alias(c) if c == text else F.col(f"row_.{c}") for c in docs.columns])

@@ -29,6 +29,7 @@ from collections import Counter, defaultdict
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -201,21 +202,26 @@ def find_leaks(docs: DataFrame, items: DataFrame, text: str = "text", key: str =
                answer: str | None = None, least_score: float = LEAST_SCORE) -> DataFrame:
     """(doc_id, item_id, score, n_question, question_found, n_answer, answer_found) for each text and test item in it."""
     rows = docs.select(F.col(key).alias("key"), F.col(text).cast("string").alias("text"))
-    tests = items.select(F.col(item).alias("item"), F.col(question).cast("string").alias("q"), (F.col(answer).cast("string") if answer else F.lit(None).cast("string")).alias("a"))
-    tests = tests.filter("coalesce(q, a) IS NOT NULL").distinct()
-    chars = tests.agg(F.sum(F.coalesce(F.length("q"), F.lit(0)) + F.coalesce(F.length("a"), F.lit(0)))).first()[0] or 0
-    shards = max(1, math.ceil(chars / SHARD_CHARS))
+    tests, shards = _shards(items, item, question, answer)
     schema = T.StructType([T.StructField(key, rows.schema["key"].dataType), T.StructField(item, tests.schema["item"].dataType), T.StructField("score", T.DoubleType()),
                            *[T.StructField(n, T.LongType()) for n in ("n_question", "question_found", "n_answer", "answer_found")]])
     out = None
-    for shard in range(shards):
-        part = tests if shards == 1 else tests.filter(F.pmod(F.xxhash64("item", "q", "a"), F.lit(shards)) == shard)
-        held = docs.sparkSession.sparkContext.broadcast([tuple(r) for r in part.orderBy("item", "q", "a").collect()])
+    for held in shards:
         found = rows.mapInArrow(_searcher(held, least_score, schema), schema)
         out = found if out is None else out.unionByName(found)
     return out
 
 
+def _shards(items: DataFrame, item: str, question: str, answer: str | None) -> tuple[DataFrame, list]:
+    """The test items and their shards, each of a checked size, on all executors."""
+    tests = items.select(F.col(item).alias("item"), F.col(question).cast("string").alias("q"), (F.col(answer).cast("string") if answer else F.lit(None).cast("string")).alias("a"))
+    tests = tests.filter("coalesce(q, a) IS NOT NULL").distinct()
+    chars = tests.agg(F.sum(F.coalesce(F.length("q"), F.lit(0)) + F.coalesce(F.length("a"), F.lit(0)))).first()[0] or 0
+    n = max(1, math.ceil(chars / SHARD_CHARS))
+    parts = [tests if n == 1 else tests.filter(F.pmod(F.xxhash64("item", "q", "a"), F.lit(n)) == i) for i in range(n)]
+    return tests, [items.sparkSession.sparkContext.broadcast([tuple(r) for r in p.orderBy("item", "q", "a").collect()]) for p in parts]
+
+
 def _searcher(held, least_score: float, schema: T.StructType):
     from pyspark.sql.pandas.types import to_arrow_schema
 
@@ -230,8 +236,19 @@ def _searcher(held, least_score: float, schema: T.StructType):
     return search
 
 
-def drop_leaking(docs: DataFrame, items: DataFrame, text: str = "text", key: str = "doc_id", **how) -> DataFrame:
-    """The rows of ``docs``, with their own columns, that hold no test item; decided for each row by its text."""
-    marked = docs.withColumn("leak_text", F.xxhash64(F.col(text).cast("string")))
-    leaks = find_leaks(marked, items, text, "leak_text", **how).select("leak_text").distinct()
-    return marked.join(leaks, "leak_text", "left_anti").select(*docs.columns)
+def drop_leaking(docs: DataFrame, items: DataFrame, text: str = "text", item: str = "item_id", question: str = "text", answer: str | None = None,
+                 least_score: float = LEAST_SCORE) -> DataFrame:
+    """The rows of ``docs``, with their own columns, that hold no test item."""
+
+    def holds(held):
+        @F.pandas_udf("boolean")
+        def found(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+            index = TestIndex(held.value, least_score)
+            for texts in batches:
+                yield texts.map(lambda t: any(True for _ in index.leaks(t))).astype(bool)
+
+        return found(F.coalesce(F.col(text).cast("string"), F.lit("")))
+
+    for held in _shards(items, item, question, answer)[1]:
+        docs = docs.filter(~holds(held))
+    return docs

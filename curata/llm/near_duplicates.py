@@ -312,7 +312,7 @@ def near_duplicates(docs: DataFrame, text: str = "text", key: str = "doc_id") ->
 def keep_one_of_each(docs: DataFrame, text: str = "text", key: str = "doc_id") -> DataFrame:
     """The rows of ``docs``, with their own columns, that stand for their group; of equal rows one."""
     kept = _placed(docs, text, key).filter("doc = component").select(F.col("doc").alias("kept_doc"), F.col("text_hash").alias("kept_hash")).distinct()
-    marked = docs.withColumn("kept_text", F.xxhash64(F.col(text).cast("string")))
-    once = marked.filter(F.col(key).isNotNull()).dropDuplicates([key, "kept_text"])
-    stay = once.join(kept, (F.col(key).cast("long") == F.col("kept_doc")) & (F.col("kept_text") == F.col("kept_hash")), "left_semi")
-    return stay.unionByName(marked.filter(F.col(key).isNull())).select(*docs.columns)
+    rows = docs.select(F.struct("*").alias("row_"), F.col(key).cast("long").alias("doc_"), F.xxhash64(F.col(text).cast("string")).alias("hash_"))
+    once = rows.filter("doc_ IS NOT NULL").dropDuplicates(["doc_", "hash_"])
+    stay = once.join(kept, (F.col("doc_") == F.col("kept_doc")) & (F.col("hash_") == F.col("kept_hash")), "left_semi")
+    return stay.unionByName(rows.filter("doc_ IS NULL")).select("row_.*")
