@@ -18,15 +18,15 @@ from pyspark.sql import functions as F
 ROWS_PER_BLOCK = 2_000_000
 
 
-def block_count(n_distinct: int, minimum: int = 8, maximum: int = 100_000) -> int:
-    return int(min(maximum, max(minimum, math.ceil(n_distinct / ROWS_PER_BLOCK))))
+def block_count(n_distinct: int, minimum: int = 8) -> int:
+    return max(minimum, math.ceil(n_distinct / ROWS_PER_BLOCK))
 
 
 def with_blocks(grouped: DataFrame, value: str, blocks: int, out: str = "block") -> DataFrame:
     """Add a block number (double, ascending with ``value``) to a table with one row per distinct value."""
     probs = [i / blocks for i in range(1, blocks)]
     bounds = grouped.approxQuantile(value, probs, 1.0 / (4 * blocks)) if probs else []
-    splits = [float("-inf")] + sorted(set(bounds)) + [float("inf")]
+    splits = [float("-inf")] + sorted({b for b in bounds if math.isfinite(b)}) + [float("inf")]
     if len(splits) < 3:   # one block: Bucketizer needs at least one inner bound
         return grouped.withColumn(out, F.lit(0.0))
     return Bucketizer(splits=splits, inputCol=value, outputCol=out).transform(grouped)

@@ -53,10 +53,11 @@ def fit_timed(estimator, train: DataFrame):
 
 
 def score(model, df: DataFrame, keep=("row_key", "label")) -> DataFrame:
-    """M4: rawPrediction, probability and prediction, plus score = P(label 1)."""
+    """M4: prediction, raw_prediction and probability (arrays), plus score = P(label 1)."""
     out = model.transform(df)
     cols = [c for c in keep if c in out.columns]
-    return out.select(*cols, "prediction", vector_to_array("probability")[1].alias("score"))
+    return out.select(*cols, "prediction", vector_to_array("rawPrediction").alias("raw_prediction"),
+                      vector_to_array("probability").alias("probability")).withColumn("score", F.col("probability")[1])
 
 
 def linear_terms(model) -> list[tuple[str, int, float]]:

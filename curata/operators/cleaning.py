@@ -34,6 +34,12 @@ def sentinels_to_null(df: DataFrame, sentinels: Sequence[str] = ("?",), columns:
     return df.withColumns({c: F.when(F.col(c).isin(sentinels), F.lit(None).cast("string")).otherwise(F.col(c)) for c in columns})
 
 
+def column_nulls(df: DataFrame, threshold: float = 0.40) -> DataFrame:
+    """C2 by column: (column_name, null_share, dropped) from ONE aggregate."""
+    wide = df.agg(*[F.avg(F.col(c).isNull().cast("double")).alias(c) for c in df.columns])
+    return wide.unpivot([], df.columns, "column_name", "null_share").withColumn("dropped", F.coalesce(F.col("null_share") > threshold, F.lit(False)))
+
+
 def null_fractions(df: DataFrame, columns: Sequence[str] | None = None) -> dict[str, float | None]:
     """Share of NULL per column from ONE aggregate (NaN is not NULL here)."""
     cols = list(columns) if columns is not None else df.columns
@@ -95,53 +101,60 @@ def encode_target(df: DataFrame, target: str = "readmitted", positive: str = "<3
     return df.withColumn(label, F.when(F.col(target) == F.lit(positive), 1).otherwise(0).cast("int")).drop(target)
 
 
-def exact_quantile(df: DataFrame, column: str, q: float) -> float | None:
-    """Exact ``percentile_disc``: the smallest value whose cumulative share of
-    the non-null rows reaches q.
-
-    Distributed: rows are grouped by value (partial aggregation, so a value
-    holding a third of the rows is one row per task), distinct values are cut
-    into contiguous blocks, only the per-block totals reach the driver, and a
-    running sum runs inside the one block that holds the target rank.  No
-    task ever holds more than one block of distinct values.
+def exact_quantiles(df: DataFrame, columns: Sequence[str], q: float) -> dict[str, float | None]:
+    """Exact ``percentile_disc`` of each column: the smallest value whose
+    cumulative share of the non-null rows reaches q.  NaN is ignored.
+
+    Distributed: (column, value) pairs of all columns are counted in one
+    grouped aggregate (a value holding a third of the rows is one row per
+    task) that is kept while its small jobs run; the distinct values of a
+    column are cut into contiguous blocks, only block totals reach the driver,
+    and a running sum runs inside the one block that holds the target rank.
     """
-    x = F.col(column).cast("double")
-    # one row per distinct value, kept for the next small jobs so the input
-    # (often a join + dedup) is computed once
-    grouped = df.where(x.isNotNull() & ~F.isnan(x)).groupBy(x.alias("v")).agg(
-        F.count(F.lit(1)).alias("c")).persist(StorageLevel.MEMORY_AND_DISK)
+    if not columns:
+        return {}
+    pairs = df.select(F.inline(F.array(*[F.struct(F.lit(i).alias("i"), F.col(c).cast("double").alias("v")) for i, c in enumerate(columns)])))
+    grouped = pairs.where(F.col("v").isNotNull() & ~F.isnan("v")).groupBy("i", "v").agg(F.count(F.lit(1)).alias("c")).persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        stats = grouped.agg(F.sum("c").alias("n"), F.count(F.lit(1)).alias("d")).first()
-        if not stats["n"]:
-            return None
-        target = q * stats["n"]
-        blocked = with_blocks(grouped, "v", block_count(stats["d"]))
+        sizes = {r["i"]: (r["n"], r["d"]) for r in grouped.groupBy("i").agg(F.sum("c").alias("n"), F.count(F.lit(1)).alias("d")).collect()}
+        return {c: _quantile(grouped.where(F.col("i") == i), *sizes[i], q) if i in sizes else None for i, c in enumerate(columns)}
+    finally:
+        grouped.unpersist()
+
+
+def _quantile(grouped: DataFrame, n: int, distinct: int, q: float) -> float:
+    """The quantile of a counted column (v, c) with ``n`` rows."""
+    target, offset, inside = q * n, 0, grouped
+    blocks = block_count(distinct, minimum=1)
+    if blocks > 1:
+        blocked = with_blocks(grouped, "v", blocks)
         totals = sorted((r["block"], r["t"]) for r in blocked.groupBy("block").agg(F.sum("c").alias("t")).collect())
-        offset, chosen = 0, totals[-1][0]
+        chosen = totals[-1][0]
         for block, total in totals:
             if offset + total >= target:
                 chosen = block
                 break
             offset += total
         inside = blocked.where(F.col("block") == chosen)
-        running = F.sum("c").over(Window.orderBy("v").rowsBetween(Window.unboundedPreceding, 0))
-        return inside.withColumn("cum", F.lit(offset) + running).where(F.col("cum") >= F.lit(target)).agg(
-            F.min("v")).first()[0]
-    finally:
-        grouped.unpersist()
+    running = F.sum("c").over(Window.orderBy("v").rowsBetween(Window.unboundedPreceding, 0))
+    return inside.withColumn("cum", F.lit(offset) + running).where(F.col("cum") >= F.lit(target)).agg(F.min("v")).first()[0]
+
+
+def exact_quantile(df: DataFrame, column: str, q: float) -> float | None:
+    return exact_quantiles(df, [column], q)[column]
 
 
 def quantiles(df: DataFrame, columns: Sequence[str], q: float, relative_error: float | None = None) -> dict[str, float | None]:
     """q-quantile per column.
 
-    ``relative_error=None``: exact (``exact_quantile``, a few small jobs per
-    column).  A number: ``percentile_approx`` (bounded Greenwald-Khanna
-    sketch) for all columns in ONE aggregate.
+    ``relative_error=None``: exact (``exact_quantiles``).  A number:
+    ``percentile_approx`` (bounded Greenwald-Khanna sketch) for all columns in
+    ONE aggregate.
     """
     if not columns:
         return {}
     if relative_error is None:
-        return {c: exact_quantile(df, c, q) for c in columns}
+        return exact_quantiles(df, columns, q)
     acc = max(1, int(round(1.0 / relative_error)))
     row = df.agg(*[F.percentile_approx(F.col(c), q, acc).cast("double").alias(f"q{i}")
                    for i, c in enumerate(columns)]).first()
@@ -169,49 +182,68 @@ def cap_outliers(df: DataFrame, columns: Sequence[str] = ("time_in_hospital",),
 
 
 def clean(df: DataFrame, spec: EncounterSpec = DEFAULT_SPEC, keep_key: bool = True,
-          relative_error: float | None = None) -> DataFrame:
-    """C1 -> C2 -> C3 -> C4 -> C5 -> C6 -> C7 -> C8."""
-    df = sentinels_to_null(df, spec.sentinels)
-    df = drop_sparse_columns(df, spec.sparse_threshold, protect=[spec.key] if keep_key else [])
+          relative_error: float | None = None, valid_max: float | None = None, held: list[DataFrame] | None = None) -> DataFrame:
+    """C1 -> C2 -> C3 -> C4 -> C5 -> C6 -> C7 -> C8.
+
+    The null shares, the cap and the result need the rows at different stages.
+    The input is persisted while the shares are counted and the deduplicated
+    rows are made, then released; the deduplicated rows stay persisted for the
+    cap and the result.  They are added to ``held`` for the caller to
+    unpersist once the result is no longer needed.
+    """
+    source = sentinels_to_null(df, spec.sentinels).persist(StorageLevel.MEMORY_AND_DISK)
+    df = drop_sparse_columns(source, spec.sparse_threshold, protect=[spec.key] if keep_key else [])
     df = drop_identifiers(df, spec.id_columns, key=spec.key if keep_key else None, key_alias=spec.row_key)
     df = drop_null_critical(df, spec.critical_columns)
     df = drop_invalid_category(df, spec.category_column, spec.invalid_category)
     df = dedup_rows(df, spec.row_key if keep_key else None)
-    df = encode_target(df, spec.target, spec.positive_target, spec.label)
-    return cap_outliers(df, spec.cap_columns, spec.cap_quantile, relative_error)
+    df = encode_target(df, spec.target, spec.positive_target, spec.label).persist(StorageLevel.MEMORY_AND_DISK)
+    if held is not None:
+        held.append(df)
+    out = cap_outliers(df, spec.cap_columns, spec.cap_quantile, relative_error, valid_max)
+    if not existing(df, spec.cap_columns):
+        df.count()
+    source.unpersist()
+    return out
 
 
 def cleaning_audit(df: DataFrame, spec: EncounterSpec = DEFAULT_SPEC) -> DataFrame:
-    """Rows in/out of each row-removing step of ``clean``.
+    """Rows in/out of each row-removing step of ``clean``, as four rows.
 
-    The filter steps are counted from flags in ONE pass; the dedup count is a
-    second aggregate.  rows_in of a step is rows_out of the one before (a
-    window over the four step rows only).
+    The rows are grouped once by all columns but the ids, with a count.  Null
+    shares are weighted sums over the groups, the filter steps sums of group
+    sizes, and the dedup count the number of groups left once the sparse
+    columns are gone; the input is read once.
     """
     staged = sentinels_to_null(df, spec.sentinels)
-    staged = drop_sparse_columns(staged, spec.sparse_threshold, protect=[spec.key])
-    staged = drop_identifiers(staged, spec.id_columns, key=spec.key, key_alias=spec.row_key)
-    crit = existing(staged, spec.critical_columns)
     _require(staged, spec.category_column, "cleaning_audit")
-    not_null = F.lit(True)
-    for c in crit:
-        not_null = not_null & F.col(c).isNotNull()
-    valid = not_null & F.coalesce(F.col(spec.category_column) != F.lit(spec.invalid_category), F.lit(False))
-    flags = staged.agg(
-        F.count(F.lit(1)).alias("n0"), F.count_if(not_null).alias("n1"), F.count_if(valid).alias("n2"))
-    filters = flags.select(F.stack(
-        F.lit(3),
-        F.lit(0), F.lit("input"), F.col("n0"),
-        F.lit(1), F.lit("drop_null_critical"), F.col("n1"),
-        F.lit(2), F.lit("drop_invalid_category"), F.col("n2"),
-    ).alias("step_no", "step", "rows_out"))
-    after_filters = drop_invalid_category(drop_null_critical(staged, spec.critical_columns),
-                                          spec.category_column, spec.invalid_category)
-    dedup = dedup_rows(after_filters, spec.row_key).agg(F.count(F.lit(1)).alias("rows_out")).select(
-        F.lit(3).alias("step_no"), F.lit("dedup_rows").alias("step"), "rows_out")
-    steps = filters.unionByName(dedup)
-    prev = F.lag("rows_out").over(Window.orderBy("step_no"))
-    return steps.select(
-        F.col("step_no").cast("int").alias("step_no"), "step",
-        F.coalesce(prev, F.col("rows_out")).alias("rows_in"), "rows_out",
-    ).orderBy("step_no")
+    columns = [c for c in staged.columns if c not in spec.id_columns]
+    groups = staged.groupBy(*columns).agg(F.count(F.lit(1)).alias("n_")).persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        total = F.sum("n_").cast("double")
+        shares = groups.agg(*[F.try_divide(F.sum(F.when(F.col(c).isNull(), F.col("n_")).otherwise(0)), total).alias(c) for c in columns]).first()
+        kept = [c for c in columns if not (shares[c] is not None and shares[c] > spec.sparse_threshold)]
+        _require(staged.select(*kept), spec.category_column, "cleaning_audit")
+        not_null = F.lit(True)
+        for c in existing(staged.select(*kept), spec.critical_columns):
+            not_null = not_null & F.col(c).isNotNull()
+        valid = not_null & F.coalesce(F.col(spec.category_column) != F.lit(spec.invalid_category), F.lit(False))
+        size = lambda cond: F.coalesce(F.sum(F.when(cond, F.col("n_"))), F.lit(0))
+        flags = groups.agg(size(F.lit(True)).alias("n0"), size(not_null).alias("n1"), size(valid).alias("n2")).first()
+        distinct = groups.where(valid).select(*kept).distinct().count()
+    finally:
+        groups.unpersist()
+    counts = [flags["n0"], flags["n1"], flags["n2"], distinct]
+    steps = ("input", "drop_null_critical", "drop_invalid_category", "dedup_rows")
+    rows = [(i, step, counts[max(0, i - 1)], counts[i]) for i, step in enumerate(steps)]
+    return df.sparkSession.createDataFrame(rows, "step_no int, step string, rows_in bigint, rows_out bigint")
+
+
+def range_audit(df: DataFrame, limits: Sequence[tuple[str, float]]) -> DataFrame:
+    """Rows above the known valid range of each column: (column_name, valid_max, n_rows, n_over), one aggregate."""
+    present = [(c, m) for c, m in limits if c in df.columns]
+    wide = df.agg(F.count(F.lit(1)).alias("n_rows"), *[F.count_if(F.col(c) > m).alias(f"o{i}") for i, (c, m) in enumerate(present)])
+    entries = [F.struct(F.lit(c).alias("column_name"), F.lit(float(m)).alias("valid_max"), F.col("n_rows"), F.col(f"o{i}").alias("n_over")) for i, (c, m) in enumerate(present)]
+    if not entries:
+        return df.sparkSession.createDataFrame([], "column_name string, valid_max double, n_rows bigint, n_over bigint")
+    return wide.select(F.inline(F.array(*entries)))

@@ -13,103 +13,112 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from curata.functions.blocks import with_blocks
+from curata.functions.blocks import block_count, with_blocks
 from curata.functions.exprs import safe_div
 
 METRICS = ("auc_roc", "accuracy", "f1", "weighted_precision", "weighted_recall")
 
 
 def confusion_counts(df: DataFrame, label: str = "label", prediction: str = "prediction") -> DataFrame:
-    """V6: one row (tn, fp, fn, tp) from ONE aggregate."""
+    """V6: one row (tn, fp, fn, tp, n_other) from ONE aggregate; ``n_other``
+    counts rows whose label or prediction is not 0 or 1, so the five add up to
+    the input."""
     y = F.col(label).cast("double")
     p = F.col(prediction).cast("double")
-    return df.agg(
-        F.count_if((y == 0) & (p == 0)).alias("tn"),
-        F.count_if((y == 0) & (p == 1)).alias("fp"),
-        F.count_if((y == 1) & (p == 0)).alias("fn"),
-        F.count_if((y == 1) & (p == 1)).alias("tp"),
-    )
+    cells = {"tn": (y == 0) & (p == 0), "fp": (y == 0) & (p == 1), "fn": (y == 1) & (p == 0), "tp": (y == 1) & (p == 1)}
+    known = F.coalesce(y.isin(0.0, 1.0) & p.isin(0.0, 1.0), F.lit(False))
+    return df.agg(*[F.count_if(c).alias(n) for n, c in cells.items()], F.count_if(~known).alias("n_other"))
 
 
-def _zero_div(num, den):
-    return F.coalesce(safe_div(num, den), F.lit(0.0))
+def confusion_by(df: DataFrame, by: str = "model", label: str = "label", prediction: str = "prediction") -> DataFrame:
+    """V6 for several scored tables in one: rows by (``by``, label, prediction), one grouped aggregate."""
+    return df.groupBy(by, F.col(label).cast("double").alias("label"), F.col(prediction).cast("double").alias("prediction")).agg(
+        F.count(F.lit(1)).alias("n"))
 
 
 def classification_metrics(df: DataFrame, label: str = "label", prediction: str = "prediction") -> DataFrame:
-    """V2-V5 for binary labels: accuracy and class-frequency-weighted
-    precision, recall and F1 over the classes present in ``label``."""
-    c = confusion_counts(df, label, prediction)
-    tn, fp, fn, tp = (F.col(x).cast("double") for x in ("tn", "fp", "fn", "tp"))
-    n = tn + fp + fn + tp
-    n1, n0 = tp + fn, tn + fp                      # true class sizes
-    prec1, prec0 = _zero_div(tp, tp + fp), _zero_div(tn, tn + fn)
-    rec1, rec0 = _zero_div(tp, n1), _zero_div(tn, n0)
-    f1_1 = _zero_div(2 * prec1 * rec1, prec1 + rec1)
-    f1_0 = _zero_div(2 * prec0 * rec0, prec0 + rec0)
-    w1, w0 = safe_div(n1, n), safe_div(n0, n)
-
-    def weighted(m0, m1):
-        return w0 * m0 + w1 * m1
-
-    return c.select(
-        (F.col("tn") + F.col("fp") + F.col("fn") + F.col("tp")).alias("n_rows"),
-        safe_div(tp + tn, n).alias("accuracy"),
-        weighted(f1_0, f1_1).alias("f1"),
-        weighted(prec0, prec1).alias("weighted_precision"),
-        weighted(rec0, rec1).alias("weighted_recall"),
-    )
+    """V2-V5 for any number of classes: accuracy and class-frequency-weighted
+    precision, recall and F1 over the classes present in ``label``.
+
+    Rows are grouped by (label, prediction) first; what follows works on one
+    row per cell.  Rows without label or prediction are counted in
+    ``n_unclassified`` and take no part in the metrics.
+    """
+    y, p = (F.col(c).cast("double") for c in (label, prediction))
+    cells = df.groupBy(F.when(~F.isnan(y), y).alias("y"), F.when(~F.isnan(p), p).alias("p")).agg(F.count(F.lit(1)).alias("n"))
+    both = F.col("y").isNotNull() & F.col("p").isNotNull()
+    entry = lambda c, t, h, q: F.struct(c.alias("c"), t.alias("true"), h.alias("hit"), q.alias("predicted"))
+    n, zero = F.col("n"), F.lit(0).cast("long")
+    parts = F.when(both, F.array(entry(F.col("y"), n, F.when(F.col("y") == F.col("p"), n).otherwise(zero), zero), entry(F.col("p"), zero, zero, n))).otherwise(
+        F.array(entry(F.lit(None).cast("double"), n, zero, zero)))
+    by_class = cells.select(F.inline(parts)).groupBy("c").agg(*[F.sum(x).cast("double").alias(x) for x in ("true", "hit", "predicted")])
+    classes = by_class.withColumn("precision", _zero_div(F.col("hit"), F.col("predicted"))).withColumn("recall", _zero_div(F.col("hit"), F.col("true")))
+    classes = classes.withColumn("f1", _zero_div(2 * F.col("precision") * F.col("recall"), F.col("precision") + F.col("recall")))
+    of = lambda x: F.sum(F.when(F.col("c").isNotNull(), x))
+    weighted = lambda m: safe_div(of(F.col("true") * F.col(m)), of(F.col("true")))
+    return classes.agg(
+        F.coalesce(of(F.col("true")), F.lit(0.0)).cast("long").alias("n_rows"),
+        F.coalesce(F.sum(F.when(F.col("c").isNull(), F.col("true"))), F.lit(0.0)).cast("long").alias("n_unclassified"),
+        safe_div(of(F.col("hit")), of(F.col("true"))).alias("accuracy"),
+        weighted("f1").alias("f1"), weighted("precision").alias("weighted_precision"), weighted("recall").alias("weighted_recall"))
+
+
+def _zero_div(num, den):
+    return F.coalesce(safe_div(num, den), F.lit(0.0))
 
 
 def auc_roc(df: DataFrame, label: str = "label", score: str = "score", blocks: int | None = None) -> DataFrame:
-    """V1: exact area under the ROC curve, with ties averaged.
+    """V1: exact area under the ROC curve, with ties averaged, as one row
+    (auc_roc, n_pos, n_neg, n_unscored).
 
     AUC = sum over distinct scores s of pos(s) * (neg(<s) + neg(s)/2) / (P*N).
     neg(<s) is a prefix sum in score order, computed without a global sort
-    in one task: distinct scores are cut into contiguous blocks at
-    approximate quantiles (a bounded sketch, ``blocks`` numbers reach the
-    driver); each block runs its own running sum, and a block's offset is a
+    in one task: distinct scores (infinite ones too) are cut into contiguous
+    blocks at approximate quantiles (a bounded sketch, ``blocks`` numbers reach
+    the driver); each block runs its own running sum, and a block's offset is a
     running sum over the per-block totals (``blocks`` rows, broadcast).
-    A skewed score is one row after the first aggregate.  One class only:
-    NULL.
+    A skewed score is one row after the first aggregate, which is kept while
+    its small jobs run, so the input is computed once.  Rows without label or
+    score (NULL or NaN) are counted in ``n_unscored``.  One class only: NULL.
     """
-    spark = df.sparkSession
-    grouped = df.where(F.col(score).isNotNull() & ~F.isnan(F.col(score).cast("double"))).groupBy(
-        F.col(score).cast("double").alias("s")).agg(
-        F.count_if(F.col(label) == 1).cast("double").alias("pos"),
-        F.count_if(F.col(label) != 1).cast("double").alias("neg"))
-    if blocks is None:
-        blocks = max(8, 2 * int(spark.conf.get("spark.sql.shuffle.partitions")))
-    blocked = with_blocks(grouped, "s", blocks)
-    within = Window.partitionBy("block").orderBy("s").rowsBetween(Window.unboundedPreceding, -1)
-    ranked = blocked.withColumn("neg_before", F.coalesce(F.sum("neg").over(within), F.lit(0.0)))
-    totals = blocked.groupBy("block").agg(F.sum("neg").alias("block_neg"))
-    offsets = totals.withColumn(
-        "offset", F.coalesce(F.sum("block_neg").over(Window.orderBy("block").rowsBetween(Window.unboundedPreceding, -1)),
-                             F.lit(0.0))).select("block", "offset")
-    joined = ranked.join(F.broadcast(offsets), "block")
-    agg = joined.agg(
-        F.sum(F.col("pos") * (F.col("offset") + F.col("neg_before") + F.col("neg") / 2.0)).alias("u"),
-        F.sum("pos").alias("p"), F.sum("neg").alias("n"))
-    return agg.select(
-        safe_div(F.col("u"), F.col("p") * F.col("n")).alias("auc_roc"),
-        F.col("p").cast("long").alias("n_pos"), F.col("n").cast("long").alias("n_neg"))
+    s = F.col(score).cast("double")
+    known = s.isNotNull() & ~F.isnan(s) & F.col(label).isNotNull()
+    grouped = df.groupBy(F.when(known, s).alias("s")).agg(
+        F.count_if(known & (F.col(label) == 1)).cast("double").alias("pos"),
+        F.count_if(known & (F.col(label) != 1)).cast("double").alias("neg"),
+        F.count_if(~known).alias("unscored")).persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        sizes = grouped.agg(F.count("s").alias("distinct"), F.coalesce(F.sum("unscored"), F.lit(0)).alias("unscored")).first()
+        blocked = with_blocks(grouped.where("s IS NOT NULL"), "s", blocks or block_count(sizes["distinct"]))
+        within = Window.partitionBy("block").orderBy("s").rowsBetween(Window.unboundedPreceding, -1)
+        ranked = blocked.withColumn("neg_before", F.coalesce(F.sum("neg").over(within), F.lit(0.0)))
+        totals = blocked.groupBy("block").agg(F.sum("neg").alias("block_neg"))
+        before = F.sum("block_neg").over(Window.orderBy("block").rowsBetween(Window.unboundedPreceding, -1))
+        offsets = totals.select("block", F.coalesce(before, F.lit(0.0)).alias("offset"))
+        row = ranked.join(F.broadcast(offsets), "block").agg(
+            F.sum(F.col("pos") * (F.col("offset") + F.col("neg_before") + F.col("neg") / 2.0)).alias("u"),
+            F.sum("pos").alias("p"), F.sum("neg").alias("n")).first()
+    finally:
+        grouped.unpersist()
+    pos, neg = row["p"] or 0.0, row["n"] or 0.0
+    auc = row["u"] / (pos * neg) if pos and neg else None
+    return df.sparkSession.createDataFrame([(auc, int(pos), int(neg), int(sizes["unscored"]))], "auc_roc double, n_pos bigint, n_neg bigint, n_unscored bigint")
 
 
 def evaluate(df: DataFrame, label: str = "label", prediction: str = "prediction", score: str = "score") -> DataFrame:
-    """All five metrics of one scored table in one row (two one-row
-    aggregates joined on a constant key)."""
-    auc = auc_roc(df, label, score).withColumn("_k", F.lit(1))
-    cls = classification_metrics(df, label, prediction).withColumn("_k", F.lit(1))
-    return auc.join(cls, "_k").drop("_k")
+    """All five metrics of one scored table in one row."""
+    auc = auc_roc(df, label, score).first()
+    cls = classification_metrics(df, label, prediction)
+    return cls.select(F.lit(auc["auc_roc"]).cast("double").alias("auc_roc"), *[F.lit(auc[c]).alias(c) for c in ("n_pos", "n_neg", "n_unscored")], "*")
 
 
 def leaderboard(rows: DataFrame, digits: int = 4) -> DataFrame:
     """V7: metrics rounded for display (one row per model)."""
-    return rows.select("position", "model", *[F.round(m, digits).alias(m) for m in METRICS],
-                       *[F.round(c, 2).alias(c) for c in rows.columns if c.endswith("_seconds")])
+    return rows.select("position", "model", *[F.round(m, digits).alias(m) for m in METRICS])
 
 
 def best_model(board: DataFrame, metric: str = "f1") -> DataFrame:

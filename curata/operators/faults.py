@@ -88,9 +88,10 @@ def fault_plan(df: DataFrame, spec: EncounterSpec = DEFAULT_SPEC) -> list[tuple[
     ]
 
 
-def inject_faults(df: DataFrame, spec: EncounterSpec = DEFAULT_SPEC) -> DataFrame:
-    """All four faults in one projection."""
-    return df.withColumns({f.column: expr for f, expr in fault_plan(df, spec)})
+def inject_faults(df: DataFrame, spec: EncounterSpec = DEFAULT_SPEC, clean_target: str | None = None) -> DataFrame:
+    """All four faults in one projection; with ``clean_target`` the target before the faults is kept under that name."""
+    columns = {f.column: expr for f, expr in fault_plan(df, spec)}
+    return df.withColumns(columns | ({clean_target: F.col(spec.target)} if clean_target else {}))
 
 
 def _looks_corrupt(f: Fault, c: Column) -> Column:

@@ -9,21 +9,20 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from curata.functions.exprs import existing, is_missing, safe_div
+from curata.functions.exprs import existing, is_missing
 from curata.spec import SENTINELS, SPARSE_THRESHOLD
 
 
 def class_distribution(df: DataFrame, column: str) -> DataFrame:
     """Count per class, largest first, with its share in percent (1 decimal).
 
-    The share's total comes from a window over the grouped result, which has
-    one row per class (a handful), never from the row data.
+    The share's total is a scalar subquery over the grouped result.
     """
     counts = df.groupBy(column).agg(F.count(F.lit(1)).alias("n"))
-    total = F.sum("n").over(Window.partitionBy())
+    total = counts.select(F.sum("n")).scalar()
     return counts.withColumn("pct", F.round(F.col("n") * 100.0 / total, 1)).orderBy(F.desc("n"), column)
 
 
@@ -55,13 +54,18 @@ def missing_rates(
     )
 
 
+def _finite(x: Column) -> Column:
+    return F.coalesce(~F.isnan(x) & (F.abs(x) < F.lit(float("inf"))), F.lit(False))
+
+
 def value_ranges(df: DataFrame, columns: Sequence[str]) -> dict[str, tuple[float | None, float | None]]:
-    """min and max of each column as doubles, from one aggregate job."""
+    """min and max of the finite values of each column as doubles, from one aggregate job."""
     if not columns:
         return {}
     aggs = []
     for i, c in enumerate(columns):
-        aggs += [F.min(F.col(c).cast("double")).alias(f"lo{i}"), F.max(F.col(c).cast("double")).alias(f"hi{i}")]
+        x = F.col(c).cast("double")
+        aggs += [F.min(F.when(_finite(x), x)).alias(f"lo{i}"), F.max(F.when(_finite(x), x)).alias(f"hi{i}")]
     row = df.agg(*aggs).first()
     return {c: (row[f"lo{i}"], row[f"hi{i}"]) for i, c in enumerate(columns)}
 
@@ -69,67 +73,68 @@ def value_ranges(df: DataFrame, columns: Sequence[str]) -> dict[str, tuple[float
 def histogram(df: DataFrame, columns: Sequence[str], bins: int = 30) -> DataFrame:
     """Equal-width histogram of each numeric column over its own min..max.
 
-    Same bins as ``numpy.histogram(x, bins)``: the last bin is closed, NULLs
-    are ignored, and a constant column is widened to lo-0.5..lo+0.5 (so all
-    values fall into the middle bin).  Missing columns are skipped.  Empty
-    bins are not emitted.  Output: column_name, bin, bin_lo, bin_hi, n.
+    Same counts as ``numpy.histogram(x, bins)``: edges are i * width + lo, the
+    bin found by division is corrected against the edges, the last bin is
+    closed, and a constant column is widened to lo-0.5..lo+0.5.  NULLs are
+    ignored; NaN and infinite values are counted in a row with bin -1 and no
+    edges.  Missing columns are skipped, empty bins are not emitted.
+    Output: column_name, bin, bin_lo, bin_hi, n.
     """
     cols = existing(df, columns)
     ranges = value_ranges(df, cols)
-    stack_args, lo_case, width_case = [], None, None
+    stack_args: list[Column] = []
+    edges: list[tuple[str, float, float, float]] = []
     for c in cols:
         lo, hi = ranges[c]
-        if lo is None:
-            continue
         x = F.col(c).cast("double")
-        if hi > lo:
-            # least() skips NULLs, so guard NULL explicitly (else NULL -> last bin)
-            b = F.when(x.isNotNull(), F.least(F.floor((x - F.lit(lo)) * F.lit(bins) / F.lit(hi - lo)), F.lit(bins - 1)))
-            origin, width = lo, (hi - lo) / bins
+        if lo is not None:
+            lo, hi = (lo, hi) if hi > lo else (lo - 0.5, lo + 0.5)
+            width = (hi - lo) / bins
+            guess = F.least(F.floor((x - F.lit(lo)) / F.lit(hi - lo) * F.lit(float(bins))).cast("int"), F.lit(bins - 1))
+            low = guess * F.lit(width) + F.lit(lo)
+            high = F.when(guess == bins - 1, F.lit(hi)).otherwise((guess + 1) * F.lit(width) + F.lit(lo))
+            inside = F.when(x < low, guess - 1).when((x >= high) & (guess != bins - 1), guess + 1).otherwise(guess)
+            edges.append((c, lo, hi, width))
         else:
-            b = F.when(x.isNotNull(), F.lit(bins // 2))
-            origin, width = lo - 0.5, 1.0 / bins
-        stack_args += [F.lit(c), b.cast("int")]
-        is_c = F.col("column_name") == c
-        lo_case = (F.when(is_c, F.lit(origin)) if lo_case is None else lo_case.when(is_c, F.lit(origin)))
-        width_case = (F.when(is_c, F.lit(width)) if width_case is None else width_case.when(is_c, F.lit(width)))
+            inside = F.lit(None).cast("int")
+        stack_args += [F.lit(c), F.when(_finite(x), inside).when(x.isNotNull(), -1).cast("int")]
     if not stack_args:
         return df.sparkSession.createDataFrame([], "column_name string, bin int, bin_lo double, bin_hi double, n bigint")
     pairs = df.select(F.stack(F.lit(len(stack_args) // 2), *stack_args).alias("column_name", "bin"))
     counts = pairs.where(F.col("bin").isNotNull()).groupBy("column_name", "bin").agg(F.count(F.lit(1)).alias("n"))
-    return counts.select(
-        "column_name", "bin",
-        (lo_case + F.col("bin") * width_case).alias("bin_lo"),
-        (lo_case + (F.col("bin") + 1) * width_case).alias("bin_hi"),
-        "n",
-    ).orderBy("column_name", "bin")
+
+    def edge(i: Column) -> Column:
+        out = F.lit(None).cast("double")
+        for c, lo, hi, width in edges:
+            out = F.when(F.col("column_name") == c, F.when(i == bins, F.lit(hi)).otherwise(i * F.lit(width) + F.lit(lo))).otherwise(out)
+        return F.when(F.col("bin") >= 0, out)
+
+    return counts.select("column_name", "bin", edge(F.col("bin")).alias("bin_lo"), edge(F.col("bin") + 1).alias("bin_hi"), "n").orderBy("column_name", "bin")
 
 
 def correlations(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Pearson correlation of every pair, pairwise-complete, in long form.
 
-    Each row is stacked into one (col_a, col_b, x, y) entry per pair (i <= j),
-    with x and y NULL unless both values are present, and grouped by pair:
-    cov / (sd_x * sd_y).  The partial aggregate leaves one row per pair and
-    task before the shuffle, and the plan stays small for any column count.
-    A constant column gives NULL (``F.corr`` would raise a division by zero
-    under ANSI mode).  The result is mirrored and has the diagonal.
+    One global aggregate holds the central moments of every pair (i <= j) over
+    the rows in which both values are present; its one row is unpivoted and
+    mirrored.  No row is made per pair and input row.  A constant column gives
+    NULL (``F.corr`` would raise a division by zero under ANSI mode).  Without
+    a matching column the result is empty.
     """
     cols = existing(df, columns)
-    entries = []
-    for i, a in enumerate(cols):
-        for b in cols[i:]:
-            xa, xb = f"CAST(`{a}` AS DOUBLE)", f"CAST(`{b}` AS DOUBLE)"
-            both = f"{xa} IS NOT NULL AND {xb} IS NOT NULL AND NOT isnan({xa}) AND NOT isnan({xb})"
-            entries += [f"'{a}'", f"'{b}'", f"CASE WHEN {both} THEN {xa} END", f"CASE WHEN {both} THEN {xb} END"]
-    n_pairs = len(entries) // 4
-    long = df.selectExpr(f"stack({n_pairs}, {', '.join(entries)}) AS (col_a, col_b, x, y)")
-    stats = long.groupBy("col_a", "col_b").agg(
-        safe_div(F.covar_pop("x", "y"), F.stddev_pop("x") * F.stddev_pop("y")).alias("corr"))
-    same = F.struct(F.col("col_a").alias("col_a"), F.col("col_b").alias("col_b"), F.col("corr").alias("corr"))
-    swapped = F.struct(F.col("col_b").alias("col_a"), F.col("col_a").alias("col_b"), F.col("corr").alias("corr"))
-    both_ways = F.when(F.col("col_a") == F.col("col_b"), F.array(same)).otherwise(F.array(same, swapped))
-    return stats.select(F.inline(both_ways))
+    if not cols:
+        return df.sparkSession.createDataFrame([], "col_a string, col_b string, corr double")
+    name = lambda c: "`" + c.replace("`", "``") + "`"
+    values = df.select(*[F.when(~F.isnan(F.col(name(c)).cast("double")), F.col(name(c)).cast("double")).alias(f"v{i}") for i, c in enumerate(cols)])
+    aggs, pairs = [], []
+    for i in range(len(cols)):
+        for j in range(i, len(cols)):
+            x = f"CASE WHEN v{j} IS NOT NULL THEN v{i} END" if i != j else f"v{i}"
+            y = f"CASE WHEN v{i} IS NOT NULL THEN v{j} END" if i != j else f"v{j}"
+            aggs.append(F.expr(f"covar_pop({x}, {y}) / nullif(stddev_pop({x}) * stddev_pop({y}), 0D) AS r{i}_{j}"))
+            pairs += [(cols[i], cols[j], f"r{i}_{j}")] + ([(cols[j], cols[i], f"r{i}_{j}")] if i != j else [])
+    entries = [F.struct(F.lit(a).alias("col_a"), F.lit(b).alias("col_b"), F.col(r).alias("corr")) for a, b, r in pairs]
+    return values.agg(*aggs).select(F.inline(F.array(*entries)))
 
 
 def correlation_heatmap(df: DataFrame, columns: Sequence[str], digits: int = 2) -> DataFrame:

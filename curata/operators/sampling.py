@@ -1,8 +1,10 @@
 """Keyed split, class weights and nested samples (W1, W2, L1 sampling).
 
 ``randomSplit`` and ``sample`` depend on the partition layout of their
-input; a draw from the row key does not, and it needs no shuffle.  The two
-parts of a split are disjoint and together complete by construction.
+input; a draw from the row key does not, and it needs no shuffle.  Every row
+has a draw, also with a NULL key, so the two parts of a split are disjoint
+and together complete.  With a group key (a patient, say) all rows of a group
+are on one side.
 """
 
 from __future__ import annotations
@@ -21,7 +23,7 @@ def tag_split(df: DataFrame, key: str = "row_key", fraction: float = 0.8, seed:
 
 def split_by_key(df: DataFrame, key: str = "row_key", fraction: float = 0.8, seed: int = 42) -> tuple[DataFrame, DataFrame]:
     u = hash_uniform(seed, key)
-    return df.where(u < fraction), df.where(~(u < fraction))
+    return df.where(u < fraction), df.where(u >= fraction)
 
 
 def nested_sample(df: DataFrame, fraction: float, key: str = "row_key", seed: int = 44) -> DataFrame:

@@ -10,6 +10,7 @@ block lost with an executor is recomputed to the same rows.
 from __future__ import annotations
 
 import threading
+import time
 from concurrent.futures import ThreadPoolExecutor
 from functools import cached_property
 
@@ -25,32 +26,47 @@ from curata.operators.preprocess import fit_preprocessing
 from curata.operators.sampling import add_class_weights, tag_split
 from curata.sources.encounters import encounters
 from curata.sources.sinks import persist
-from curata.spec import DEFAULT_SPEC, EncounterSpec
+from curata.spec import DEFAULT_SPEC, VALID_MAX, EncounterSpec
 
 
-def prepared_table(spark: SparkSession, sf_dir: str, spec: EncounterSpec = DEFAULT_SPEC, faults: bool = True) -> DataFrame:
+def prepared_table(spark: SparkSession, sf_dir: str, spec: EncounterSpec = DEFAULT_SPEC, faults: bool = True,
+                   valid_max: float | None = None, held: list[DataFrame] | None = None) -> DataFrame:
     """encounters -> (faults) -> clean -> features."""
     df = encounters(spark, sf_dir)
     if faults:
         df = inject_faults(df, spec)
-    return engineer_features(clean(df, spec))
+    return engineer_features(clean(df, spec, valid_max=valid_max, held=held))
 
 
 class Artifacts:
-    def __init__(self, spark: SparkSession, sf_dir: str, spec: EncounterSpec = DEFAULT_SPEC):
-        self.spark, self.sf_dir, self.spec = spark, sf_dir, spec
+    """Tables and models of one run.  Persisted tables are released by ``release``."""
+
+    def __init__(self, spark: SparkSession, sf_dir: str, spec: EncounterSpec = DEFAULT_SPEC, faults: bool = True, valid_max: float | None = None):
+        self.spark, self.sf_dir, self.spec, self.faults, self.valid_max = spark, sf_dir, spec, faults, valid_max
         self.fit_seconds: dict[str, float] = {}
+        self.score_seconds: dict[str, float] = {}
+        self._held: list[DataFrame] = []
+        self._models: dict = {}
+        self._preds: dict[str, DataFrame] = {}
+        self._locks = {name: threading.Lock() for name in clf.MODEL_ORDER}
+
+    def _keep(self, df: DataFrame) -> DataFrame:
+        self._held.append(persist(df))
+        return df
+
+    def release(self) -> None:
+        """Unpersist every table of this run; it is made again if asked for."""
+        for df in self._held:
+            df.unpersist()
+        self._held.clear()
+        self._preds.clear()
+        for name in ("prepared", "tagged", "weighted_train", "transformed", "vectors"):
+            self.__dict__.pop(name, None)
 
     @cached_property
     def prepared(self) -> DataFrame:
-        """Cleaning reads its input three times (null shares, cap quantile,
-        output); the faulted input is kept for those passes and released once
-        the prepared table itself is materialised."""
-        raw = persist(inject_faults(encounters(self.spark, self.sf_dir), self.spec))
-        out = persist(engineer_features(clean(raw, self.spec)))
-        out.count()
-        raw.unpersist()
-        return out
+        """``clean`` reads its input once and leaves the deduplicated rows persisted."""
+        return prepared_table(self.spark, self.sf_dir, self.spec, self.faults, self.valid_max, self._held)
 
     @cached_property
     def tagged(self) -> DataFrame:
@@ -68,52 +84,64 @@ class Artifacts:
 
     @cached_property
     def transformed(self) -> DataFrame:
-        """All rows (train and test) through the fitted preprocessing."""
-        return persist(self.prep_model.transform(self.tagged))
+        """All rows (train and test) through the fitted preprocessing; a projection of the persisted rows."""
+        return self.prep_model.transform(self.tagged)
 
     @cached_property
-    def train_vectors(self) -> DataFrame:
+    def vectors(self) -> DataFrame:
+        """The one cached table of vectors: key, split, label, weight, features."""
         s = self.spec
-        train, _ = self.weighted_train
-        return persist(self.prep_model.transform(train).select(s.row_key, s.label, s.weight_col, "features"))
+        ratio = self.weighted_train[1]
+        weight = F.when(F.col(s.label) == 1, F.lit(float(ratio))).otherwise(F.lit(1.0))
+        return self._keep(self.transformed.select(s.row_key, "split", s.label, weight.alias(s.weight_col), "features"))
 
-    @cached_property
+    @property
+    def train_vectors(self) -> DataFrame:
+        return self.vectors.where(F.col("split") == "train")
+
+    @property
     def test_vectors(self) -> DataFrame:
-        s = self.spec
-        return persist(self.transformed.where(F.col("split") == "test").select(s.row_key, s.label, "features"))
+        return self.vectors.where(F.col("split") == "test")
 
     def model(self, name: str):
-        cache = self.__dict__.setdefault("_models", {})
-        with self._fit_lock(name):
-            if name not in cache:
+        with self._locks[name]:
+            if name not in self._models:
                 est = clf.classifiers(self.spec.weight_col)[name]
-                cache[name], self.fit_seconds[name] = clf.fit_timed(est, self.train_vectors)
-        return cache[name]
-
-    def _fit_lock(self, name: str) -> threading.Lock:
-        with _lock:
-            return self.__dict__.setdefault("_locks", {}).setdefault(name, threading.Lock())
+                self._models[name], self.fit_seconds[name] = clf.fit_timed(est, self.train_vectors)
+        return self._models[name]
 
     def fit_all(self, parallelism: int = 3) -> None:
         """Fit the classifiers concurrently on the shared persisted vectors
         (as CrossValidator's ``parallelism`` does): each fit is a series of
         small jobs, so concurrent fits keep the executors busy."""
-        self.train_vectors.count()
+        self.vectors.count()
         with ThreadPoolExecutor(max_workers=max(1, parallelism)) as pool:
             list(pool.map(self.model, clf.MODEL_ORDER))
 
     def predictions(self, name: str) -> DataFrame:
-        cache = self.__dict__.setdefault("_preds", {})
-        if name not in cache:
-            cache[name] = persist(clf.score(self.model(name), self.test_vectors))
-        return cache[name]
+        """Scored test rows of one model; scored once, timed apart from the fit."""
+        if name not in self._preds:
+            model = self.model(name)
+            start = time.perf_counter()
+            self._preds[name] = self._keep(clf.score(model, self.test_vectors))
+            self._preds[name].count()
+            self.score_seconds[name] = time.perf_counter() - start
+        return self._preds[name]
+
+    def all_predictions(self) -> DataFrame:
+        """Scored test rows of all models with the model's name."""
+        self.fit_all()
+        out = None
+        for name in clf.MODEL_ORDER:
+            rows = self.predictions(name).select(F.lit(name).alias("model"), "*")
+            out = rows if out is None else out.unionByName(rows)
+        return out
 
     def metrics_row(self, name: str) -> DataFrame:
-        pos = clf.MODEL_ORDER.index(name) + 1 if name in clf.MODEL_ORDER else 99
+        pos = clf.MODEL_ORDER.index(name) + 1
         return evaluate(self.predictions(name), self.spec.label, "prediction", "score").select(
             F.lit(pos).alias("position"), F.lit(name).alias("model"),
-            "auc_roc", "accuracy", "f1", "weighted_precision", "weighted_recall",
-            F.lit(float(self.fit_seconds.get(name, 0.0))).alias("fit_seconds"))
+            "auc_roc", "accuracy", "f1", "weighted_precision", "weighted_recall")
 
     def leaderboard_rows(self) -> DataFrame:
         out = None
@@ -124,13 +152,47 @@ class Artifacts:
         return out
 
 
+#: The variants of the resilience table: (name, faults injected, valid range applied).
+VARIANTS = (("clean", False, False), ("corrupted_then_cleaned", True, False), ("corrupted_then_cleaned_valid_range", True, True))
+
+
+def resilience(spark: SparkSession, sf_dir: str, spec: EncounterSpec = DEFAULT_SPEC) -> DataFrame:
+    """Metrics of every classifier on clean input, on corrupted-then-cleaned
+    input, and with values beyond the known valid range set to NULL first."""
+    limit = dict(VALID_MAX)[spec.cap_columns[0]]
+    out = None
+    for variant, faults, ranged in VARIANTS:
+        run = Artifacts(spark, sf_dir, spec, faults, limit if ranged else None)
+        rows = [(variant, *r) for r in run.leaderboard_rows().collect()]
+        run.release()
+        out = rows if out is None else out + rows
+    return spark.createDataFrame(out, "variant string, position int, model string, auc_roc double, accuracy double, f1 double, "
+                                      "weighted_precision double, weighted_recall double")
+
+
 _lock = threading.Lock()
-_memo: dict[tuple, Artifacts] = {}
+_memo: dict[tuple, tuple[tuple, Artifacts]] = {}
+
+
+def _files(spark: SparkSession, sf_dir: str) -> tuple:
+    """Paths, sizes and times of the source files."""
+    out = []
+    for name in ("orders", "customer", "lineitem"):
+        path = spark._jvm.org.apache.hadoop.fs.Path(f"{sf_dir.rstrip('/')}/{name}.parquet")
+        for f in path.getFileSystem(spark._jsc.hadoopConfiguration()).listStatus(path):
+            out.append((f.getPath().toString(), f.getLen(), f.getModificationTime()))
+    return tuple(sorted(out))
 
 
 def artifacts(spark: SparkSession, sf_dir: str, spec: EncounterSpec = DEFAULT_SPEC) -> Artifacts:
-    key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"), spec)
+    """The run over a folder in this session; a new one, with the old one released, once its files have changed."""
+    key, files = (spark.sparkContext.applicationId, sf_dir.rstrip("/"), spec), _files(spark, sf_dir)
     with _lock:
-        if key not in _memo:
-            _memo[key] = Artifacts(spark, sf_dir, spec)
-        return _memo[key]
+        for old in [k for k in _memo if k[0] != key[0]]:
+            del _memo[old]
+        held = _memo.get(key)
+        if held is None or held[0] != files:
+            if held:
+                held[1].release()
+            _memo[key] = (files, Artifacts(spark, sf_dir, spec))
+        return _memo[key][1]

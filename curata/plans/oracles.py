@@ -10,6 +10,7 @@ property tests.
 from __future__ import annotations
 
 from curata.functions.keyed import hash_uniform_sql as U
+from curata.operators.classifiers import MODEL_ORDER
 from curata.sources.encounters import with_encounters
 from curata.spec import AGE_BRACKETS, CATEGORICAL_COLUMNS, CORRELATION_COLUMNS, HISTOGRAM_COLUMNS, NUMERIC_COLUMNS
 
@@ -83,16 +84,18 @@ def _missing_sql() -> str:
 
 
 def _hist_sql() -> str:
+    """Bins by division, then corrected against the edges i * width + lo, as NumPy does."""
     parts = []
     for c in HISTOGRAM_COLUMNS:
         parts.append(
-            f"SELECT '{c}' AS column_name, s.lo, s.hi, "
-            f"CAST(CASE WHEN s.hi > s.lo THEN LEAST(FLOOR(({c}{D} - s.lo) * 30 / (s.hi - s.lo)), 29) ELSE 15 END AS INT) AS bin "
+            f"SELECT '{c}' AS column_name, {c}{D} AS x, CASE WHEN s.hi > s.lo THEN s.lo ELSE s.lo - 0.5{D} END AS lo, "
+            f"CASE WHEN s.hi > s.lo THEN s.hi ELSE s.lo + 0.5{D} END AS hi "
             f"FROM encounters, (SELECT MIN({c}){D} AS lo, MAX({c}){D} AS hi FROM encounters) s WHERE {c} IS NOT NULL")
-    return (W() + "SELECT column_name, bin, "
-            "ROUND(CASE WHEN hi > lo THEN lo + bin * ((hi - lo) / 30) ELSE lo - 0.5 + bin * (1.0 / 30) END, 6) AS bin_lo, "
-            "ROUND(CASE WHEN hi > lo THEN lo + (bin + 1) * ((hi - lo) / 30) ELSE lo - 0.5 + (bin + 1) * (1.0 / 30) END, 6) AS bin_hi, "
-            "COUNT(*) AS n FROM (" + " UNION ALL ".join(parts) + ") t GROUP BY column_name, bin, lo, hi")
+    return (W() + f"""
+SELECT column_name, bin, ROUND(bin * w + lo, 6) AS bin_lo, ROUND(CASE WHEN bin = 29 THEN hi ELSE (bin + 1) * w + lo END, 6) AS bin_hi, COUNT(*) AS n FROM (
+  SELECT column_name, lo, hi, w, CAST(CASE WHEN x < g * w + lo THEN g - 1 WHEN g < 29 AND x >= (g + 1) * w + lo THEN g + 1 ELSE g END AS INT) AS bin FROM (
+    SELECT *, (hi - lo) / 30{D} AS w, LEAST(CAST(FLOOR((x - lo) / (hi - lo) * 30{D}) AS INT), 29) AS g FROM ({" UNION ALL ".join(parts)}) t) u) v
+GROUP BY column_name, bin, lo, hi, w""")
 
 
 def _corr_expr(a: str, b: str) -> str:
@@ -198,11 +201,9 @@ def _indexed_sql() -> str:
 
 
 def _one_hot_sql() -> str:
-    joins = " ".join(f"LEFT JOIN lab_{c} ON t.{c} = lab_{c}.v" for c in CATEGORICAL_COLUMNS)
     parts = [f"SELECT t.row_key, '{c}' AS column_name, CAST(nlab.{c} AS INT) AS vec_size, "
              f"CAST(lab_{c}.idx AS INT) AS hot_slot FROM tagged t CROSS JOIN nlab LEFT JOIN lab_{c} ON t.{c} = lab_{c}.v"
              for c in CATEGORICAL_COLUMNS]
-    del joins
     return W(*PREP_CHAIN, *_label_ctes()) + " UNION ALL ".join(parts)
 
 
@@ -228,7 +229,8 @@ def _scaled_sql() -> str:
 CONF = ("conf AS (SELECT COUNT(*) FILTER (WHERE label = 0 AND prediction = 0) AS tn, "
         "COUNT(*) FILTER (WHERE label = 0 AND prediction = 1) AS fp, "
         "COUNT(*) FILTER (WHERE label = 1 AND prediction = 0) AS fn, "
-        "COUNT(*) FILTER (WHERE label = 1 AND prediction = 1) AS tp FROM scored2)")
+        "COUNT(*) FILTER (WHERE label = 1 AND prediction = 1) AS tp, "
+        "COUNT(*) FILTER (WHERE NOT COALESCE(label IN (0, 1) AND prediction IN (0, 1), false)) AS n_other FROM scored2)")
 
 
 def _metrics_sql() -> str:
@@ -239,7 +241,7 @@ def _metrics_sql() -> str:
          f"f AS (SELECT *, COALESCE(2 * p1 * r1 / NULLIF(p1 + r1, 0), 0) AS f1_1, "
          f"COALESCE(2 * p0 * r0 / NULLIF(p0 + r0, 0), 0) AS f1_0 FROM pr)")
     return (W(SCORED, CONF, c) +
-            "SELECT n_rows, ROUND((tp + tn) / NULLIF(n_rows" + D + ", 0), 6) AS accuracy, "
+            "SELECT n_rows, (SELECT n_other FROM conf) AS n_unclassified, ROUND((tp + tn) / NULLIF(n_rows" + D + ", 0), 6) AS accuracy, "
             "ROUND(w0 * f1_0 + w1 * f1_1, 6) AS f1, ROUND(w0 * p0 + w1 * p1, 6) AS weighted_precision, "
             "ROUND(w0 * r0 + w1 * r1, 6) AS weighted_recall FROM f")
 
@@ -250,7 +252,8 @@ def _auc_sql() -> str:
          "c AS (SELECT *, COALESCE(SUM(neg) OVER (ORDER BY s ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS below "
          "FROM g)")
     return (W(SCORED, g) + "SELECT ROUND(SUM(pos * (below + neg / 2.0" + D + ")) / NULLIF(SUM(pos) * SUM(neg), 0), 6) "
-            "AS auc_roc, CAST(SUM(pos) AS BIGINT) AS n_pos, CAST(SUM(neg) AS BIGINT) AS n_neg FROM c")
+            "AS auc_roc, CAST(SUM(pos) AS BIGINT) AS n_pos, CAST(SUM(neg) AS BIGINT) AS n_neg, "
+            "(SELECT COUNT(*) FROM scored2 WHERE score IS NULL OR label IS NULL) AS n_unscored FROM c")
 
 
 def _curve_rows_sql() -> str:
@@ -260,6 +263,34 @@ def _curve_rows_sql() -> str:
     return W(*CHAIN, PREPARED) + " UNION ALL ".join(parts)
 
 
+def _column_nulls_sql() -> str:
+    parts = [f"SELECT '{c}' AS column_name, AVG(CASE WHEN {c} IS NULL THEN 1 ELSE 0 END{D}) AS r FROM c1" for c, _ in ENC_COLUMNS]
+    return W(FAULTED, C1) + "SELECT column_name, ROUND(r, 6) AS null_share, r > 0.4" + D + " AS dropped FROM (" + " UNION ALL ".join(parts) + ") t"
+
+
+def _models_sql(names) -> str:
+    return " UNION ALL ".join(f"SELECT '{n}' AS model" for n in names)
+
+
+def _rule_board_sql() -> str:
+    """Three thresholds of the fixed score as models, metrics by model from the definitions."""
+    rules = " UNION ALL ".join(f"SELECT {i} AS position, '{n}' AS model, {t}{D} AS least" for i, n, t in ((1, "low rule", 0.2), (2, "middle rule", 0.3), (3, "same as middle", 0.3)))
+    auc = ("g AS (SELECT score AS s, COUNT(*) FILTER (WHERE label = 1)" + D + " AS pos, COUNT(*) FILTER (WHERE label <> 1)" + D +
+           " AS neg FROM scored2 GROUP BY score), "
+           "below AS (SELECT *, COALESCE(SUM(neg) OVER (ORDER BY s ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS b FROM g), "
+           "auc AS (SELECT SUM(pos * (b + neg / 2.0" + D + ")) / NULLIF(SUM(pos) * SUM(neg), 0) AS auc_roc FROM below)")
+    cells = (f"rules AS ({rules}), cells AS (SELECT position, model, label AS y, CASE WHEN score >= least THEN 1 ELSE 0 END AS p, COUNT(*){D} AS n "
+             "FROM scored2 CROSS JOIN rules GROUP BY ALL), "
+             "classes AS (SELECT position, model, c, SUM(CASE WHEN y = c THEN n ELSE 0 END) AS t, SUM(CASE WHEN y = c AND p = c THEN n ELSE 0 END) AS h, "
+             "SUM(CASE WHEN p = c THEN n ELSE 0 END) AS q FROM cells CROSS JOIN (SELECT 0 AS c UNION ALL SELECT 1) k GROUP BY ALL), "
+             "rates AS (SELECT *, COALESCE(h / NULLIF(q, 0), 0) AS pr, COALESCE(h / NULLIF(t, 0), 0) AS re FROM classes), "
+             "scores AS (SELECT *, COALESCE(2 * pr * re / NULLIF(pr + re, 0), 0) AS fm FROM rates)")
+    board = ("board AS (SELECT position, model, ROUND((SELECT auc_roc FROM auc), 4) AS auc_roc, ROUND(SUM(h) / SUM(t), 4) AS accuracy, "
+             "ROUND(SUM(t * fm) / SUM(t), 4) AS f1, ROUND(SUM(t * pr) / SUM(t), 4) AS weighted_precision, ROUND(SUM(t * re) / SUM(t), 4) AS weighted_recall "
+             "FROM scores GROUP BY position, model)")
+    return W(SCORED, auc, cells, board)
+
+
 # DuckDB 2.0.0 raises an internal "dict-surviving cache" error on this filter
 # over the string columns of the view; an identity CASE on each string column
 # (encounter_id is never NULL) avoids it without changing any value.
@@ -268,7 +299,30 @@ _FLAT = ", ".join(f"CASE WHEN encounter_id IS NULL THEN NULL ELSE {c} END AS {c}
 
 ORACLES: dict[str, str] = {
     "scan_encounters": W() + "SELECT * FROM encounters",
-    "source_profile": W() + "SELECT COUNT(*) AS n_rows, CAST(19 AS INT) AS n_cols FROM encounters",
+    "source_profile": W() + ("SELECT (SELECT COUNT(*) FROM encounters) AS n_rows, CAST(COUNT(DISTINCT name) AS INT) AS n_cols FROM "
+                             "(SELECT COLUMNS(*)::VARCHAR FROM encounters LIMIT 1) UNPIVOT INCLUDE NULLS (v FOR name IN (COLUMNS(*)))"),
+    "scan_csv": W(FAULTED, C1) + "SELECT * FROM c1",
+    "csv_bad_fields": ("SELECT COUNT(*) AS n_rows, COUNT(*) FILTER (WHERE o_orderkey % 7 = 0) AS n_bad, "
+                       "CAST(SUM(o_custkey) FILTER (WHERE o_orderkey % 7 <> 0) AS BIGINT) AS total FROM orders"),
+    "column_nulls": _column_nulls_sql(),
+    "range_audit": W(FAULTED) + ("SELECT 'time_in_hospital' AS column_name, 14.0" + D + " AS valid_max, COUNT(*) AS n_rows, "
+                                 "COUNT(*) FILTER (WHERE time_in_hospital > 14) AS n_over FROM faulted"),
+    "patient_split": W() + f"SELECT encounter_id, patient_nbr, CASE WHEN {_lt(42, 0.8, 'patient_nbr')} THEN 'train' ELSE 'test' END AS split FROM encounters",
+    "flipped_labels": W() + (f"SELECT CAST(readmitted = '<30' AS INT) AS clean_label, CAST(({FLIP}) = '<30' AS INT) AS label, COUNT(*) AS n "
+                             "FROM encounters GROUP BY ALL"),
+    "preprocess_pipeline": W(*PREP_CHAIN, *_label_ctes()) + (
+        f"SELECT row_key, split, label, CAST({len(NUMERIC_COLUMNS)} + " + " + ".join(f"nlab.{c}" for c in CATEGORICAL_COLUMNS) +
+        " AS INT) AS n_features FROM tagged CROSS JOIN nlab"),
+    "scored_test_keys": W(*CHAIN, PREPARED, TAGGED) + (
+        f"SELECT m.model, row_key, label, CAST(2 AS INT) AS n_raw, 1.0{D} AS total_probability FROM tagged CROSS JOIN ({_models_sql(MODEL_ORDER)}) m WHERE split = 'test'"),
+    "importance_totals": W(*PREP_CHAIN, *_label_ctes()) + (
+        f"SELECT m.model, CAST({len(NUMERIC_COLUMNS)} + " + " + ".join(f"nlab.{c}" for c in CATEGORICAL_COLUMNS) +
+        f" AS INT) AS n_features, 1.0{D} AS total_importance FROM nlab CROSS JOIN ({_models_sql(MODEL_ORDER[1:])}) m"),
+    "model_test_rows": W(*CHAIN, PREPARED, TAGGED) + (
+        f"SELECT m.model, label, COUNT(*) AS n FROM tagged CROSS JOIN ({_models_sql(MODEL_ORDER)}) m WHERE split = 'test' GROUP BY ALL"),
+    "rule_leaderboard": _rule_board_sql() + "SELECT * FROM board",
+    "rule_best_model": _rule_board_sql() + "SELECT * FROM board ORDER BY f1 DESC, position LIMIT 1",
+    "rule_metric_comparison": _rule_board_sql() + "SELECT position, model, metric, value FROM (UNPIVOT board ON auc_roc, accuracy, f1, weighted_precision, weighted_recall INTO NAME metric VALUE value)",
     "class_distribution": W() + ("SELECT readmitted, COUNT(*) AS n, ROUND(COUNT(*) * 100.0" + D +
                                  " / SUM(COUNT(*)) OVER ()" + D + ", 1) AS pct FROM encounters GROUP BY readmitted"),
     "age_distribution": W() + "SELECT age, COUNT(*) AS n FROM encounters GROUP BY age",
@@ -311,6 +365,6 @@ ORACLES: dict[str, str] = {
     "scale_features": _scaled_sql(),
     "auc_roc": _auc_sql(),
     "classification_metrics": _metrics_sql(),
-    "confusion_matrix": W(SCORED, CONF) + "SELECT tn, fp, fn, tp FROM conf",
+    "confusion_matrix": W(SCORED, CONF) + "SELECT tn, fp, fn, tp, n_other FROM conf",
     "learning_curve_rows": _curve_rows_sql(),
 }

@@ -8,6 +8,7 @@ the SQL oracles; counts are bigint, flags int/double as in the operators.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.ml.functions import vector_to_array
@@ -22,10 +23,13 @@ from curata.operators import faults as fx
 from curata.operators import features as ft
 from curata.operators import profiling as pf
 from curata.operators.curve import curve_rows, learning_curve
-from curata.plans.artifacts import artifacts, prepared_table
+from curata.operators.sampling import tag_split
+from curata.plans.artifacts import artifacts, prepared_table, resilience
+from curata.session import checkpoint_dir
 from curata.sources.encounters import encounters
-from curata.sources.files import source_profile
-from curata.spec import DEFAULT_SPEC as SPEC
+from curata.sources.files import read_csv, source_profile, try_cast_columns
+from curata.sources.tables import load_table
+from curata.spec import DEFAULT_SPEC as SPEC, VALID_MAX
 
 Query = Callable[[SparkSession, str], DataFrame]
 DIGITS = 6
@@ -62,6 +66,23 @@ def q_source_profile(spark, d):
     return source_profile(encounters(spark, d))
 
 
+def q_scan_csv(spark, d):
+    """The faulted rows written as CSV text and read back: everything as text, sentinels to NULL, then cast."""
+    path = f"{checkpoint_dir(spark).rstrip('/')}/csv-{uuid.uuid4().hex}"
+    rows = _faulted(spark, d)
+    rows.write.option("header", True).option("nullValue", "").csv(path)
+    text = read_csv(spark, path, ", ".join(f"`{c}` STRING" for c in rows.columns), bad_record=None)
+    return try_cast_columns(cl.sentinels_to_null(text, SPEC.sentinels), {c: t for c, t in rows.dtypes if t != "string"})
+
+
+def q_csv_bad_fields(spark, d):
+    """Lines of the CSV form of orders whose fields do not fit a numeric priority column, counted beside the good ones."""
+    path = f"{checkpoint_dir(spark).rstrip('/')}/csv-{uuid.uuid4().hex}"
+    orders = load_table(spark, d, "orders").select("o_orderkey", F.when(F.col("o_orderkey") % 7 == 0, F.lit("?")).otherwise(F.col("o_custkey").cast("string")).alias("value"))
+    orders.write.option("header", True).csv(path)
+    return read_csv(spark, path, "o_orderkey BIGINT, value BIGINT").agg(F.count(F.lit(1)).alias("n_rows"), F.count("bad_record").alias("n_bad"), F.sum("value").alias("total"))
+
+
 # --- P: profiling -----------------------------------------------------------
 def q_class_distribution(spark, d):
     return pf.class_distribution(encounters(spark, d), SPEC.target)
@@ -117,6 +138,15 @@ def q_drop_sparse_columns(spark, d):
     return cl.drop_sparse_columns(cl.sentinels_to_null(_faulted(spark, d), SPEC.sentinels), SPEC.sparse_threshold)
 
 
+def q_column_nulls(spark, d):
+    nulls = cl.column_nulls(cl.sentinels_to_null(_faulted(spark, d), SPEC.sentinels), SPEC.sparse_threshold)
+    return _round_doubles(nulls)
+
+
+def q_range_audit(spark, d):
+    return cl.range_audit(_faulted(spark, d), VALID_MAX)
+
+
 def q_drop_identifiers(spark, d):
     return cl.drop_identifiers(encounters(spark, d), SPEC.id_columns, key=SPEC.key, key_alias=SPEC.row_key)
 
@@ -184,6 +214,19 @@ def q_class_weights(spark, d):
                                        F.lit(float(ratio)).alias("balance_ratio")))
 
 
+def q_patient_split(spark, d):
+    """Split by patient: all encounters of a patient are on one side."""
+    rows = encounters(spark, d).select("encounter_id", "patient_nbr")
+    return tag_split(rows, "patient_nbr", SPEC.train_fraction, SPEC.split_seed)
+
+
+def q_flipped_labels(spark, d):
+    """Label before and after the faults, counted: what an evaluation on corrupted labels misses."""
+    rows = fx.inject_faults(encounters(spark, d), SPEC, clean_target="clean_target")
+    label = lambda c: (F.col(c) == SPEC.positive_target).cast("int")
+    return rows.groupBy(label("clean_target").alias("clean_label"), label(SPEC.target).alias("label")).agg(F.count(F.lit(1)).alias("n"))
+
+
 # --- X: preprocessing -----------------------------------------------------------
 def q_impute_median(spark, d):
     a = artifacts(spark, d, SPEC)
@@ -250,7 +293,35 @@ def q_train_random_forest(spark, d):
 
 
 def q_score_test_set(spark, d):
-    return artifacts(spark, d, SPEC).predictions("Logistic Regression")
+    return artifacts(spark, d, SPEC).all_predictions()
+
+
+def q_scored_test_keys(spark, d):
+    """What is exact of the scored rows: which rows, labels and array sizes each model returns."""
+    rows = artifacts(spark, d, SPEC).all_predictions()
+    total = F.round(F.aggregate("probability", F.lit(0.0), lambda a, x: a + x), DIGITS)
+    return rows.select("model", SPEC.row_key, SPEC.label, F.size("raw_prediction").alias("n_raw"), total.alias("total_probability"))
+
+
+def q_importance_totals(spark, d):
+    """Slots and sum of importances of the tree models."""
+    a = artifacts(spark, d, SPEC)
+    rows = [(name, len(v), round(sum(x for _, x in v), DIGITS)) for name, v in ((n, clf.importances(a.model(n))) for n in clf.MODEL_ORDER[1:])]
+    return spark.createDataFrame(rows, "model string, n_features int, total_importance double")
+
+
+def q_model_confusion(spark, d):
+    return ev.confusion_by(artifacts(spark, d, SPEC).all_predictions(), "model", SPEC.label, "prediction")
+
+
+def q_model_test_rows(spark, d):
+    """Cells of each model's confusion matrix add up to its test rows, class by class."""
+    cells = ev.confusion_by(artifacts(spark, d, SPEC).all_predictions(), "model", SPEC.label, "prediction")
+    return cells.groupBy("model", F.col("label").cast("int").alias("label")).agg(F.sum("n").alias("n"))
+
+
+def q_resilience(spark, d):
+    return _round_doubles(resilience(spark, d, SPEC))
 
 
 def q_model_leaderboard(spark, d):
@@ -278,6 +349,32 @@ def q_confusion_matrix(spark, d):
     return ev.confusion_counts(scored_fixture(spark, d), "label", "prediction")
 
 
+RULES = ((1, "low rule", 0.2), (2, "middle rule", 0.3), (3, "same as middle", 0.3))
+
+
+def _rule_board(spark, d):
+    """Three thresholds of the fixed score as models; two are equal, so the best is a tie."""
+    scored = scored_fixture(spark, d)
+    out = None
+    for position, name, least in RULES:
+        rows = scored.withColumn("prediction", (F.col("score") >= least).cast("double"))
+        row = ev.evaluate(rows).select(F.lit(position).alias("position"), F.lit(name).alias("model"), *ev.METRICS)
+        out = row if out is None else out.unionByName(row)
+    return ev.leaderboard(out)
+
+
+def q_rule_leaderboard(spark, d):
+    return _rule_board(spark, d)
+
+
+def q_rule_best_model(spark, d):
+    return ev.best_model(_rule_board(spark, d))
+
+
+def q_rule_metric_comparison(spark, d):
+    return ev.metric_comparison(_rule_board(spark, d))
+
+
 # --- L: learning curve --------------------------------------------------------
 def q_learning_curve_rows(spark, d):
     return curve_rows(artifacts(spark, d, SPEC).prepared, key=SPEC.row_key)
@@ -286,9 +383,8 @@ def q_learning_curve_rows(spark, d):
 def q_learning_curve(spark, d):
     a = artifacts(spark, d, SPEC)
     rows = learning_curve(a.prepared, SPEC)
-    metrics = spark.createDataFrame(
-        [(r["fraction"], r["auc_roc"], r["f1"], r["accuracy"], r["fit_seconds"]) for r in rows],
-        "fraction double, auc_roc double, f1 double, accuracy double, fit_seconds double")
+    metrics = spark.createDataFrame([(r["fraction"], r["auc_roc"], r["f1"], r["accuracy"]) for r in rows],
+                                    "fraction double, auc_roc double, f1 double, accuracy double")
     return curve_rows(a.prepared, key=SPEC.row_key).join(metrics, "fraction")
 
 

@@ -5,14 +5,11 @@ The DataFrame plan below and ``ENCOUNTERS_CTES`` (the same definition as SQL
 text for the DuckDB oracles) must stay in step.
 
 Plan: lineitem is aggregated per order first (partial aggregation before
-the shuffle, so a hot order key never reaches one task as raw rows); the
-aggregate comes out hash-partitioned on the order key.  ``orders`` is
-hash-partitioned on the same key, so the left join to the aggregate is
-co-partitioned: at scale this is the one exchange a sort-merge join needs
-anyway, and it spreads a single large input file over all cores.  The
-customer join is left to Catalyst/AQE: a broadcast only when the runtime
-size of ``customer`` is under the broadcast threshold, a sort-merge join
-(with AQE skew splitting of a hot customer key) otherwise.
+the shuffle, so a hot order key never reaches one task as raw rows).  Both
+joins are left to Catalyst/AQE: a broadcast only when the runtime size of a
+side is under the broadcast threshold, a sort-merge join (co-partitioned on
+the order key with the aggregate, and with AQE skew splitting of a hot
+customer key) otherwise.
 """
 
 from __future__ import annotations
@@ -67,7 +64,7 @@ def encounters(spark: SparkSession, sf_dir: str) -> DataFrame:
     customer = load_table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey", "c_mktsegment")
     li = lines_per_order(load_table(spark, sf_dir, "lineitem"))
     joined = (
-        orders.repartition("o_orderkey")
+        orders
         .join(li, F.col("l_orderkey") == F.col("o_orderkey"), "left")
         .join(customer, F.col("o_custkey") == F.col("c_custkey"), "inner")
     )

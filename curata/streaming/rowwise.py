@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from curata.operators import cleaning as cl
+from curata.operators.classifiers import score
 from curata.operators.features import engineer_features
 from curata.spec import DEFAULT_SPEC, EncounterSpec
 
@@ -33,8 +34,4 @@ def clean_stream(stream: DataFrame, spec: EncounterSpec = DEFAULT_SPEC, drop_col
 
 def score_stream(stream: DataFrame, model, keep: Sequence[str] = ("row_key", "label")) -> DataFrame:
     """Apply a fitted preprocessing + classifier ``PipelineModel`` to a stream."""
-    from pyspark.ml.functions import vector_to_array
-
-    out = model.transform(stream)
-    cols = [c for c in keep if c in out.columns]
-    return out.select(*cols, "prediction", vector_to_array("probability")[1].alias("score"))
+    return score(model, stream, keep)

@@ -110,6 +110,14 @@ def test_classifiers_learn_the_fixture(spark):
     train, _ = add_class_weights(train)
     prep = fit_preprocessing(train)
     tv, sv = prep.transform(train), prep.transform(test)
-    for est in (clf.logistic_regression(), clf.decision_tree()):
-        model = est.fit(tv)
-        assert ev.auc_roc(clf.score(model, sv)).first().auc_roc > 0.9
+    for name, est in clf.classifiers().items():
+        model, again = est.fit(tv), est.fit(tv)
+        scored = clf.score(model, sv)
+        assert ev.auc_roc(scored).first().auc_roc > 0.9, name
+        row = scored.first()
+        assert len(row.raw_prediction) == len(row.probability) == 2 and row.score == row.probability[1]
+        if name == "Logistic Regression":
+            assert clf.linear_terms(model) == clf.linear_terms(again)
+        else:
+            assert clf.importances(model) == clf.importances(again)
+            assert sum(v for _, v in clf.importances(model)) == pytest.approx(1.0)

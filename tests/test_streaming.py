@@ -29,3 +29,26 @@ def test_clean_stream_matches_batch(spark, tmp_path):
     assert sorted(got.columns) == sorted(expected.columns)
     assert got.count() == expected.count()
     assert got.exceptAll(expected.select(*got.columns)).count() == 0
+
+
+def test_score_stream_matches_batch(spark, tmp_path):
+    from pyspark.ml import PipelineModel
+
+    from curata.operators import classifiers as clf
+    from curata.plans.artifacts import artifacts
+    from curata.streaming import score_stream
+
+    run = artifacts(spark, SF_SMALL)
+    model = PipelineModel([*run.prep_model.stages, run.model("Decision Tree")])
+    src = os.path.join(str(tmp_path), "rows")
+    run.prepared.write.parquet(src)
+    batch = spark.read.parquet(src)
+    stream = spark.readStream.schema(batch.schema).parquet(src)
+    q = (score_stream(stream, model).writeStream.format("memory").queryName("score_stream_test").outputMode("append")
+         .option("checkpointLocation", os.path.join(str(tmp_path), "ckpt")).start())
+    q.processAllAvailable()
+    q.stop()
+    got = spark.table("score_stream_test")
+    expected = clf.score(model, batch)
+    assert got.columns == expected.columns and got.count() == expected.count()
+    assert got.exceptAll(expected).count() == 0
