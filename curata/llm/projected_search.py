@@ -40,7 +40,7 @@ SAMPLE = 20_000
 CELL = 4_096            # vectors that a cell is meant to have
 CHUNK = 4_096
 QUERIES = 1_024
-LEAF = 48
+LEAF = 256
 SEED = 20_240_601
 
 
@@ -83,32 +83,36 @@ def _rows(column: pa.Array) -> np.ndarray:
 
 
 class KdTree:
-    """Bounding boxes of halves cut at the median of the widest coordinate, down to small leaves."""
-
-    def __init__(self, points: np.ndarray, leaf: int, depth: int = 60):
-        self.points, self.nodes = points, []
-        self._build(np.arange(len(points)), leaf, depth)
-
-    def _build(self, members: np.ndarray, leaf: int, depth: int) -> int:
-        own = self.points[members]
-        low, high = own.min(axis=0), own.max(axis=0)
-        number = len(self.nodes)
-        self.nodes.append([low, high, members, None, None])
-        axis = int(np.argmax(high - low))
-        if len(members) > leaf and depth and high[axis] > low[axis]:
-            order = np.argsort(own[:, axis], kind="stable")
-            half = len(order) // 2
-            self.nodes[number][2:] = [None, self._build(members[order[:half]], leaf, depth - 1), self._build(members[order[half:]], leaf, depth - 1)]
-        return number
-
-    def leaves(self) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
-        for low, high, members, left, _ in self.nodes:
-            if left is None:
-                yield low, high, members
-
-    def distance(self, number: int, point: np.ndarray) -> float:
-        low, high = self.nodes[number][:2]
-        return float((np.maximum(0.0, np.maximum(low - point, point - high)) ** 2).sum())
+    """Halves cut at the median of the widest coordinate, down to leaves of at most ``leaf`` points.
+
+    ``order`` lists the points leaf by leaf; leaf j is ``order[start[j]:start[j + 1]]`` in the box (low[j], high[j]).
+    """
+
+    def __init__(self, points: np.ndarray, leaf: int):
+        parts: list[np.ndarray] = []
+        stack = [np.arange(len(points))]
+        while stack:
+            members = stack.pop()
+            own = points[members]
+            spread = own.max(axis=0) - own.min(axis=0)
+            axis = int(np.argmax(spread))
+            if len(members) > leaf and spread[axis] > 0:
+                halves = members[np.argsort(own[:, axis], kind="stable")]
+                stack += [halves[len(halves) // 2:], halves[:len(halves) // 2]]
+            else:
+                parts.append(members)
+        self.order = np.concatenate(parts)
+        self.start = np.concatenate([[0], np.cumsum([len(x) for x in parts])])
+        self.low = np.array([points[x].min(axis=0) for x in parts])
+        self.high = np.array([points[x].max(axis=0) for x in parts])
+
+
+def box_distances(points: np.ndarray, low: np.ndarray, high: np.ndarray) -> np.ndarray:
+    """Squared distances of points to boxes."""
+    out = np.empty((len(points), len(low)))
+    for j in range(len(low)):
+        out[:, j] = (np.maximum(0.0, np.maximum(low[j] - points, points - high[j])) ** 2).sum(axis=1)
+    return out
 
 
 class Best:
@@ -132,34 +136,40 @@ class Best:
         return max(self.floor, self.heap[0][0]) if len(self.heap) == self.k else self.floor
 
 
-def search(tree: KdTree, vectors: np.ndarray, ids: list, query: np.ndarray, point: np.ndarray, largest: float, k: int, floor: float) -> list[tuple[float, int]]:
-    """Incremental search of one chunk with the stopping test; (score, id) of the best k of the chunk that reach ``floor``."""
-    best = Best(k, floor)
-    norm = math.sqrt(float((query ** 2).sum()))
-
-    def limit() -> float:
-        least = best.least()
-        return math.inf if least == -math.inf else _STOP * max(0.0, 2 * largest ** 2 - 2 * largest * least / norm)
-
-    queue = [(tree.distance(0, point), 0)]
-    while queue:
-        near, number = heapq.heappop(queue)
-        if near > limit():
-            break
-        _, _, members, left, right = tree.nodes[number]
-        if left is not None:
-            for child in (left, right):
-                heapq.heappush(queue, (tree.distance(child, point), child))
-            continue
-        gaps = ((tree.points[members] - point) ** 2).sum(axis=1)
-        chosen = members[gaps <= limit()]
-        if len(chosen):
-            scores = (vectors[chosen] * query).sum(axis=1)
-            for j in np.argsort(-scores, kind="stable"):
-                if len(best.heap) == k and scores[j] < best.heap[0][0]:
-                    break
-                best.add(float(scores[j]), ids[chosen[j]])
-    return [(s, -i) for s, i in best.heap if s >= floor]
+class Chunk:
+    """A chunk's vectors and projections, leaf by leaf of its kd-tree."""
+
+    def __init__(self, vectors: np.ndarray, points: np.ndarray, ids: list):
+        self.tree = KdTree(points, LEAF)
+        self.vectors, self.points = vectors[self.tree.order], points[self.tree.order]
+        self.ids = [ids[i] for i in self.tree.order]
+
+    def search(self, query: np.ndarray, point: np.ndarray, near: np.ndarray, largest: float, k: int, floor: float) -> list[tuple[float, int]]:
+        """Visit leaves by projected distance (``near``) until the stopping test holds; (score, id) of the best k that reach ``floor``."""
+        best = Best(k, floor)
+        norm = math.sqrt(float((query ** 2).sum()))
+
+        def limit() -> float:
+            least = best.least()
+            return math.inf if least == -math.inf else _STOP * max(0.0, 2 * largest ** 2 - 2 * largest * least / norm)
+
+        reach = limit()
+        for leaf in np.argsort(near, kind="stable"):
+            if near[leaf] > reach:
+                break
+            start, end = self.tree.start[leaf], self.tree.start[leaf + 1]
+            gaps = ((self.points[start:end] - point) ** 2).sum(axis=1)
+            chosen = np.flatnonzero(gaps <= reach) + start
+            if len(chosen):
+                scores = (self.vectors[chosen] * query).sum(axis=1)
+                least = best.heap[0][0] if len(best.heap) == k else -math.inf
+                good = np.flatnonzero(scores >= least)
+                for j in good[np.argsort(-scores[good], kind="stable")]:
+                    if len(best.heap) == k and scores[j] < best.heap[0][0]:
+                        break
+                    best.add(float(scores[j]), self.ids[chosen[j]])
+                reach = limit()
+        return [(s, -i) for s, i in best.heap if s >= floor]
 
 
 def _valid(vector: Column) -> Column:
@@ -178,17 +188,11 @@ class Cells:
     """The cells of space with their boxes."""
 
     def __init__(self, sample: np.ndarray, cells: int):
-        self.tree = KdTree(sample, max(1, math.ceil(len(sample) / max(1, cells)))) if len(sample) else None
-        boxes = list(self.tree.leaves()) if self.tree else []
-        self.low = np.array([b[0] for b in boxes])
-        self.high = np.array([b[1] for b in boxes])
+        tree = KdTree(sample, max(1, math.ceil(len(sample) / max(1, cells)))) if len(sample) else None
+        self.low, self.high = (tree.low, tree.high) if tree else (np.zeros((1, DIMENSIONS)), np.zeros((1, DIMENSIONS)))
 
     def gaps(self, points: np.ndarray) -> np.ndarray:
-        """Squared distances of points to boxes."""
-        out = np.empty((len(points), len(self.low)))
-        for j in range(len(self.low)):
-            out[:, j] = (np.maximum(0.0, np.maximum(self.low[j] - points, points - self.high[j])) ** 2).sum(axis=1)
-        return out
+        return box_distances(points, self.low, self.high)
 
 
 def _blocks(counts: DataFrame, size: int, name: str) -> DataFrame:
@@ -206,11 +210,12 @@ def _searched(placed: DataFrame, asked: DataFrame, largest: float, k: int) -> Da
     def find(entries: pa.Table, queries: pa.Table) -> pa.Table:
         out: list[tuple] = []
         if entries.num_rows and queries.num_rows:
-            vectors, ids = _rows(entries.column("vector")), entries.column("ids").to_pylist()
-            tree = KdTree(_rows(entries.column("point")), LEAF)
-            for h, g, q, p, floor in zip(queries.column("h").to_pylist(), queries.column("g").to_pylist(), _rows(queries.column("vector")),
-                                         _rows(queries.column("point")), queries.column("floor").to_pylist(), strict=True):
-                out += [(h, g, i, s) for s, i in search(tree, vectors, ids, q, p, largest, k, floor)]
+            chunk = Chunk(_rows(entries.column("vector")), _rows(entries.column("point")), entries.column("ids").to_pylist())
+            points = _rows(queries.column("point"))
+            near = box_distances(points, chunk.tree.low, chunk.tree.high)
+            for n, (h, g, q, floor) in enumerate(zip(queries.column("h").to_pylist(), queries.column("g").to_pylist(), _rows(queries.column("vector")),
+                                                     queries.column("floor").to_pylist(), strict=True)):
+                out += [(h, g, i, s) for s, i in chunk.search(q, points[n], near[n], largest, k, floor)]
         kinds = (pa.int64(), pa.int64(), pa.int64(), pa.float64())
         return pa.Table.from_arrays([pa.array([r[j] for r in out], t) for j, t in enumerate(kinds)], ["h", "g", "id", "score"])
 
