@@ -20,9 +20,11 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterator
+from functools import lru_cache
 from itertools import chain
 
 import ahocorasick
+import pandas as pd
 import pyarrow as pa
 import sentencepiece
 from pyspark.sql import DataFrame
@@ -31,8 +33,8 @@ from pyspark.sql import types as T
 
 MARK = "▁"
 #: Chunks whose encoding a worker remembers; beyond it the table starts anew.
-CHUNKS_KEPT = 300_000
-PAIRS_KEPT = 2_000_000
+CHUNKS_KEPT = 400_000
+PAIRS_KEPT = 1_000_000
 _UNKNOWN = -1
 
 
@@ -147,6 +149,12 @@ class PrefixTableEncoder:
         return self.processor.decode(ids)
 
 
+@lru_cache(maxsize=1)
+def encoder(model_file: str) -> PrefixTableEncoder:
+    """The worker's encoder: its tables serve all tasks that the worker runs."""
+    return PrefixTableEncoder(model_file)
+
+
 def encode_documents(docs: DataFrame, model_file: str, text: str = "text", key: str = "doc_id") -> DataFrame:
     """(key, ids array<int>, decoded string) for every row; ``model_file`` must exist on every machine."""
     rows = docs.select(F.col(key).alias("key"), F.coalesce(F.col(text).cast("string"), F.lit("")).alias("text"))
@@ -154,7 +162,7 @@ def encode_documents(docs: DataFrame, model_file: str, text: str = "text", key:
                            T.StructField("decoded", T.StringType())])
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        coder = PrefixTableEncoder(model_file)
+        coder = encoder(model_file)
         for batch in batches:
             for start in range(0, batch.num_rows, 1000):
                 part = batch.slice(start, 1000)
@@ -170,7 +178,7 @@ def decode_documents(encoded: DataFrame, model_file: str, ids: str = "ids") -> D
     """Add the text that ``ids`` stand for as ``decoded`` (NULL ids: NULL)."""
 
     @F.pandas_udf("string")
-    def decode(batches: Iterator) -> Iterator:
+    def decode(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         processor = sentencepiece.SentencePieceProcessor(model_file=model_file)
         for batch in batches:
             yield batch.map(lambda x: None if x is None else processor.decode([int(i) for i in x]))
