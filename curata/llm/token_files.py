@@ -23,6 +23,7 @@ import os
 import re
 import zlib
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -34,9 +35,11 @@ from pyspark.sql import Window
 
 ROW_GROUP_BYTES = 32 << 20
 PAGE_BYTES = 256 << 10
-CHUNKS_KEPT = 300_000
+#: Chunks whose ids a worker remembers, in two generations: what is used again outlives the older one.
+CHUNKS_KEPT = 700_000
 #: White space other than blank and line break, where chunk borders would need more care.
-_OTHER_SPACE = re.compile(r"[^\S \n]")
+_OTHER_SPACE = [c for c in map(chr, range(0x3001)) if c.isspace() and c not in " \n"]
+_OTHER_ASCII = [c for c in _OTHER_SPACE if c < "\x80"]
 #: A run of blanks and breaks goes with what follows it.
 _CHUNK = re.compile(r"[ \n]*[^ \n]+|[ \n]+")
 
@@ -54,32 +57,47 @@ class ByteBpeEncoder:
 
         self.tokenizer = Tokenizer.from_file(tokenizer_file)
         self.tokenizer.encode_special_tokens = True
-        self.kept: dict[str, bytes] = {}
+        self.young: dict[str, bytes] = {}
+        self.old: dict[str, bytes] = {}
 
     def chunks(self, text: str) -> list[str]:
-        if _OTHER_SPACE.search(text):
+        if any(c in text for c in (_OTHER_ASCII if text.isascii() else _OTHER_SPACE)):
             return [text]
         if "\0" in text or "  " in text or "\n\n" in text or "\n " in text or " \n" in text or text.endswith((" ", "\n")):
             return _CHUNK.findall(text)
-        return [x for x in text.replace(" ", "\0 ").replace("\n", "\0\n\0").split("\0") if x]
+        return text.replace(" ", "\0 ").replace("\n", "\0\n\0").split("\0")
+
+    def _encode(self, chunks: list[str]) -> None:
+        for start in range(0, len(chunks), 4096):
+            piece = chunks[start:start + 4096]
+            for c, e in zip(piece, self.tokenizer.encode_batch_fast(piece, add_special_tokens=False), strict=True):
+                self.young[c] = np.array(e.ids, dtype="<u4").tobytes()
 
     def encode_batch(self, texts: list[str]) -> list[bytes]:
         """Little-endian unsigned 32-bit ids of each text."""
         cut = [self.chunks(t) for t in texts]
-        own: dict[str, bytes] = {}
-        new = {c for x in cut for c in x if c not in self.kept}
-        if new:
-            order = list(new)
-            for start in range(0, len(order), 4096):
-                piece = order[start:start + 4096]
-                for c, e in zip(piece, self.tokenizer.encode_batch_fast(piece, add_special_tokens=False), strict=True):
-                    own[c] = np.array(e.ids, dtype="<u4").tobytes()
-            if len(self.kept) + len(own) > CHUNKS_KEPT:
-                own = {c: self.kept.get(c) or own[c] for x in cut for c in x}
-                self.kept = {}
-            self.kept.update((c, v) for c, v in own.items() if len(c) <= 64)
-        get = self.kept.get
-        return [b"".join([get(c) or own[c] for c in x]) for x in cut]
+        if len(self.young) > CHUNKS_KEPT // 2:
+            self.old, self.young = self.young, {}
+        young = self.young
+        missing = set().union(*cut) - young.keys()
+        known = missing & self.old.keys()
+        young.update((c, self.old[c]) for c in known)
+        missing -= known
+        # a letter and a comma or full stop after it are always apart
+        ended = {c for c in missing if c[-1:] in (",", ".") and c[-2:-1].isalpha()}
+        new = (missing - ended) | {c[:-1] for c in ended} | {c[-1] for c in ended}
+        self._encode([c for c in new if c not in young])
+        young.update((c, young[c[:-1]] + young[c[-1]]) for c in ended)
+        out = [b"".join(map(young.__getitem__, x)) for x in cut]
+        for c in [c for c in missing if len(c) > 64]:
+            del young[c]
+        return out
+
+
+@lru_cache(maxsize=1)
+def encoder(tokenizer_file: str) -> ByteBpeEncoder:
+    """The worker's encoder: what it remembers serves all tasks that the worker runs."""
+    return ByteBpeEncoder(tokenizer_file)
 
 
 def _layout(key_type: T.DataType, key: str) -> T.StructType:
@@ -94,7 +112,7 @@ def write_token_files(docs: DataFrame, path: str, tokenizer_file: str, end_id: i
     ordered = rows.repartitionByRange("key", "h").sortWithinPartitions("key", "h", "text").select("key", "text")
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        coder, part, at = ByteBpeEncoder(tokenizer_file), TaskContext.get().partitionId(), 0
+        coder, part, at = encoder(tokenizer_file), TaskContext.get().partitionId(), 0
         end = np.array([end_id], dtype="<u4").tobytes()
         for batch in batches:
             for start in range(0, batch.num_rows, 1000):
