@@ -36,6 +36,7 @@ from dataclasses import dataclass, field
 
 import pyarrow as pa
 import xxhash
+import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -88,7 +89,8 @@ class Page:
         return {(p, _hash(repr(c))) for p, c in zip(self.path, self.children, strict=True)}
 
     def features(self) -> set[tuple[int, int]]:
-        return {(self.path[n], _hash(t)) for n, t in self.blocks}
+        """Blocks by path; paragraphs inside an article are never cut, nor what holds them, so they need no count."""
+        return {(self.path[n], _hash(t)) for n, t in self.blocks if not (self.inside[n] and self.tag[n] in PROSE)}
 
 
 def _hash(text: str) -> int:
@@ -296,6 +298,19 @@ def style_trees(outline: DataFrame) -> tuple[DataFrame, DataFrame]:
     return hosts, everywhere
 
 
+def _packed(rows: DataFrame) -> DataFrame:
+    """The pages with their html compressed, as it travels through the join."""
+    schema = T.StructType([rows.schema[c] for c in ("keys", "host", "body")] + [T.StructField("html", T.BinaryType())])
+
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        compress = zstandard.ZstdCompressor(level=3).compress
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([*batch.columns[:3], pa.array([compress(t.as_py().encode("utf-8", "replace")) for t in batch.column("html")], pa.binary())],
+                                             ["keys", "host", "body", "html"])
+
+    return rows.select("keys", "host", "body", "html").mapInArrow(pack, schema)
+
+
 def extract(pages: DataFrame, html: str = "html", url: str = "url", keys: tuple[str, ...] = ("page_id", "url")) -> DataFrame:
     """(keys..., text) per row of ``pages``."""
     rows = pages.select(F.struct(*[F.col(k) for k in keys]).alias("keys"), F.coalesce(F.col(html).cast("string"), F.lit("")).alias("html"), _host(url).alias("host"))
@@ -307,15 +322,15 @@ def extract(pages: DataFrame, html: str = "html", url: str = "url", keys: tuple[
     shared = pages.sparkSession.sparkContext.broadcast({r["path"]: (r["presentation"], r["content"], r["styles"]) for r in common.collect()})
     own = outline.select("host", "body", F.explode("paths").alias("path")).distinct().join(hosts, ["host", "path"])
     known = own.groupBy("host", "body").agg(F.collect_list(F.struct("path", "presentation", "content", "styles")).alias("known"))      # one entry for each path of the page
-    joined = rows.join(known, ["host", "body"], "left").select("keys", "html", "known")
+    joined = _packed(rows).join(known, ["host", "body"], "left").select("keys", "html", "known")
     schema = T.StructType([joined.schema["keys"], T.StructField("text", T.StringType())])
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        reader = Reader()
+        reader, unpack = Reader(), zstandard.ZstdDecompressor().decompress
         for batch in batches:
             out = []
-            for text, entries in zip(batch.column("html"), batch.column("known"), strict=True):
-                page = reader.read(text.as_py())
+            for packed, entries in zip(batch.column("html"), batch.column("known"), strict=True):
+                page = reader.read(unpack(packed.as_py()).decode("utf-8", "replace"))
                 tree = {p: shared.value[p] for p in page.path if p in shared.value}
                 for e in entries.as_py() or ():
                     before = tree.get(e["path"], (1.0, 1.0, 1))
