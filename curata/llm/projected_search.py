@@ -142,12 +142,13 @@ class Chunk:
     def __init__(self, vectors: np.ndarray, points: np.ndarray, ids: list):
         self.tree = KdTree(points, LEAF)
         self.vectors, self.points = vectors[self.tree.order], points[self.tree.order]
+        self.squares = (self.points ** 2).sum(axis=1)
         self.ids = [ids[i] for i in self.tree.order]
 
     def search(self, query: np.ndarray, point: np.ndarray, near: np.ndarray, largest: float, k: int, floor: float) -> list[tuple[float, int]]:
         """Visit leaves by projected distance (``near``) until the stopping test holds; (score, id) of the best k that reach ``floor``."""
         best = Best(k, floor)
-        norm = math.sqrt(float((query ** 2).sum()))
+        norm, own = math.sqrt(float((query ** 2).sum())), float((point ** 2).sum())
 
         def limit() -> float:
             least = best.least()
@@ -158,16 +159,15 @@ class Chunk:
             if near[leaf] > reach:
                 break
             start, end = self.tree.start[leaf], self.tree.start[leaf + 1]
-            gaps = ((self.points[start:end] - point) ** 2).sum(axis=1)
-            chosen = np.flatnonzero(gaps <= reach) + start
-            if len(chosen):
-                scores = (self.vectors[chosen] * query).sum(axis=1)
-                least = best.heap[0][0] if len(best.heap) == k else -math.inf
-                good = np.flatnonzero(scores >= least)
+            gaps = self.squares[start:end] - 2 * (self.points[start:end] @ point)
+            scores = self.vectors[start:end] @ query
+            least = best.heap[0][0] if len(best.heap) == k else -math.inf
+            good = np.flatnonzero((gaps <= reach - own) & (scores >= least))
+            if len(good):
                 for j in good[np.argsort(-scores[good], kind="stable")]:
                     if len(best.heap) == k and scores[j] < best.heap[0][0]:
                         break
-                    best.add(float(scores[j]), self.ids[chosen[j]])
+                    best.add(float(scores[j]), self.ids[start + j])
                 reach = limit()
         return [(s, -i) for s, i in best.heap if s >= floor]
 
