@@ -26,7 +26,7 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold a test item of ``benchmark`` go."""
-    return decontamination.drop_leaking(docs, table(spark, sf_dir, "benchmark"))
+    return decontamination.drop_leaking(docs, table(spark, sf_dir, "benchmark"), whole=True)
 
 
 def mask_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

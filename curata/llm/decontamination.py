@@ -10,7 +10,9 @@ every unit with at least ``LEAST_SCORE``, not a top k.
 
 A retrieved item is verified on the whole text: of its question's shingles of five words at least
 0.75 must occur there, and of its answer's as well.  If the items have one text column only, the last
-quarter of its words (five at least) is the answer and what comes before is the question.
+quarter of its words (five at least) is the answer and what comes before is the question.  Such a cut
+may fall anywhere, so with ``whole`` an item of one text column is also accepted if 0.75 of the shingles
+of the whole item occur, wherever the others are missing; the counts are those of the parts all the same.
 
 The index goes to all executors, so its size is checked: items are dealt by a hash into as many
 shards as keep each one's text within ``SHARD_CHARS``, and the texts are searched once for each shard.
@@ -70,8 +72,9 @@ class _Postings:
 class TestIndex:
     """BM25 index over (item, question, answer)."""
 
-    def __init__(self, items: list[tuple[object, str, str]], least_score: float = LEAST_SCORE):
+    def __init__(self, items: list[tuple[object, str, str]], least_score: float = LEAST_SCORE, whole: bool = False):
         self.least_score = least_score
+        self.wholes: list[set] = []         # shingles of the whole item, none where the parts alone decide
         self.parts: list[tuple[object, set, set]] = []
         self.unit_item: list[int] = []
         units: list[list[str]] = []
@@ -86,6 +89,7 @@ class TestIndex:
             if not together:
                 continue
             self.parts.append((item, shingles_of(q or a), shingles_of(a or q)))
+            self.wholes.append(shingles_of(together) if whole and answer is None else set())
             pieces = math.ceil(len(together) / UNIT)
             for k in range(pieces):
                 units.append(together[k * len(together) // pieces:(k + 1) * len(together) // pieces])
@@ -183,11 +187,13 @@ class TestIndex:
         found = self.retrieve(words) if words else {}
         if not found:
             return
-        whole = shingles_of(words)
+        held = shingles_of(words)
         for number, score in sorted(found.items()):
             item, question, answer = self.parts[number]
-            q, a = (sum(self._occurs(s, whole, words) for s in part) for part in (question, answer))
-            if q * LEAST_OVERLAP[1] >= len(question) * LEAST_OVERLAP[0] and a * LEAST_OVERLAP[1] >= len(answer) * LEAST_OVERLAP[0]:
+            together = self.wholes[number]
+            q, a, w = (sum(self._occurs(s, held, words) for s in part) for part in (question, answer, together))
+            both = q * LEAST_OVERLAP[1] >= len(question) * LEAST_OVERLAP[0] and a * LEAST_OVERLAP[1] >= len(answer) * LEAST_OVERLAP[0]
+            if both or together and w * LEAST_OVERLAP[1] >= len(together) * LEAST_OVERLAP[0]:
                 yield item, score, len(question), q, len(answer), a
 
     @staticmethod
@@ -199,7 +205,7 @@ class TestIndex:
 
 
 def find_leaks(docs: DataFrame, items: DataFrame, text: str = "text", key: str = "doc_id", item: str = "item_id", question: str = "text",
-               answer: str | None = None, least_score: float = LEAST_SCORE) -> DataFrame:
+               answer: str | None = None, least_score: float = LEAST_SCORE, whole: bool = False) -> DataFrame:
     """(doc_id, item_id, score, n_question, question_found, n_answer, answer_found) for each text and test item in it."""
     rows = docs.select(F.col(key).alias("key"), F.col(text).cast("string").alias("text"))
     tests, shards = _shards(items, item, question, answer)
@@ -207,7 +213,7 @@ def find_leaks(docs: DataFrame, items: DataFrame, text: str = "text", key: str =
                            *[T.StructField(n, T.LongType()) for n in ("n_question", "question_found", "n_answer", "answer_found")]])
     out = None
     for held in shards:
-        found = rows.mapInArrow(_searcher(held, least_score, schema), schema)
+        found = rows.mapInArrow(_searcher(held, least_score, whole, schema), schema)
         out = found if out is None else out.unionByName(found)
     return out
 
@@ -222,13 +228,13 @@ def _shards(items: DataFrame, item: str, question: str, answer: str | None) -> t
     return tests, [items.sparkSession.sparkContext.broadcast([tuple(r) for r in p.orderBy("item", "q", "a").collect()]) for p in parts]
 
 
-def _searcher(held, least_score: float, schema: T.StructType):
+def _searcher(held, least_score: float, whole: bool, schema: T.StructType):
     from pyspark.sql.pandas.types import to_arrow_schema
 
     arrow = to_arrow_schema(schema)
 
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        index = TestIndex(held.value, least_score)
+        index = TestIndex(held.value, least_score, whole)
         for batch in batches:
             out = [(k.as_py(), *leak) for k, t in zip(batch.column("key"), batch.column("text"), strict=True) for leak in index.leaks(t.as_py())]
             yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in out], f.type) for i, f in enumerate(arrow)], schema=arrow)
@@ -237,13 +243,13 @@ def _searcher(held, least_score: float, schema: T.StructType):
 
 
 def drop_leaking(docs: DataFrame, items: DataFrame, text: str = "text", item: str = "item_id", question: str = "text", answer: str | None = None,
-                 least_score: float = LEAST_SCORE) -> DataFrame:
+                 least_score: float = LEAST_SCORE, whole: bool = False) -> DataFrame:
     """The rows of ``docs``, with their own columns, that hold no test item."""
 
     def holds(held):
         @F.pandas_udf("boolean")
         def found(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-            index = TestIndex(held.value, least_score)
+            index = TestIndex(held.value, least_score, whole)
             for texts in batches:
                 yield texts.map(lambda t: any(True for _ in index.leaks(t))).astype(bool)
 
