@@ -74,7 +74,7 @@ def op9_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = shared_path(spark, "token-files")
-    token_files.write_token_files(table(spark, sf_dir, "documents"), path, public_tokenizers.path("byte_bpe_50k.json"), end_id=2)
+    token_files.write_token_files(table(spark, sf_dir, "documents"), path, public_tokenizers.path("byte_bpe_50k.json"), end_id=2, special_tokens=True)
     sums = token_files.id_checksums(token_files.read_token_files(spark, path))
     placed = token_files.with_start(sums, token_files.read_token_files(spark, path, ["part", "n_tokens"]))
     return placed.select("doc_id", "start", F.col("n_tokens").cast("long").alias("n_tokens"), "ids_crc32")

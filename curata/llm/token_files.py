@@ -14,7 +14,8 @@ same range and writes the same rows.
 
 Defined results: NULL text counts as empty (its only id is the end id); a NULL key sorts first;
 rows with equal keys are ordered by text; an empty table gives files without rows.  Strings of
-special tokens inside a text are ordinary text.
+special tokens inside a text are ordinary text, or with ``special_tokens`` the ids that the library's
+plain call gives them.
 """
 
 from __future__ import annotations
@@ -48,20 +49,22 @@ class ByteBpeEncoder:
     """Encodes with the tokenizers library, remembering the ids of repeated chunks.
 
     The file's pre-tokeniser never joins a character with white space that follows it, so a text
-    may be cut before any run of white space.  Texts with unusual white space are encoded whole.
+    may be cut before any run of white space.  Texts with unusual white space are encoded whole, and
+    so are, with ``special_tokens``, texts that hold the string of an added token.
     """
 
-    def __init__(self, tokenizer_file: str):
+    def __init__(self, tokenizer_file: str, special_tokens: bool = False):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(tokenizer_file)
-        self.tokenizer.encode_special_tokens = True
+        self.tokenizer.encode_special_tokens = not special_tokens
+        self.added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()] if special_tokens else []
         self.young: dict[str, bytes] = {}
         self.old: dict[str, bytes] = {}
 
     def chunks(self, text: str) -> list[str]:
-        if any(c in text for c in (_OTHER_ASCII if text.isascii() else _OTHER_SPACE)):
+        if any(c in text for c in (_OTHER_ASCII if text.isascii() else _OTHER_SPACE)) or any(t in text for t in self.added):
             return [text]
         if "\0" in text or "  " in text or "\n\n" in text or "\n " in text or " \n" in text or text.endswith((" ", "\n")):
             return _CHUNK.findall(text)
@@ -95,9 +98,9 @@ class ByteBpeEncoder:
 
 
 @lru_cache(maxsize=1)
-def encoder(tokenizer_file: str) -> ByteBpeEncoder:
+def encoder(tokenizer_file: str, special_tokens: bool = False) -> ByteBpeEncoder:
     """The worker's encoder: what it remembers serves all tasks that the worker runs."""
-    return ByteBpeEncoder(tokenizer_file)
+    return ByteBpeEncoder(tokenizer_file, special_tokens)
 
 
 def _layout(key_type: T.DataType, key: str) -> T.StructType:
@@ -106,13 +109,13 @@ def _layout(key_type: T.DataType, key: str) -> T.StructType:
 
 
 def write_token_files(docs: DataFrame, path: str, tokenizer_file: str, end_id: int, text: str = "text", key: str = "doc_id",
-                      row_group_bytes: int = ROW_GROUP_BYTES, page_bytes: int = PAGE_BYTES) -> None:
+                      row_group_bytes: int = ROW_GROUP_BYTES, page_bytes: int = PAGE_BYTES, special_tokens: bool = False) -> None:
     """Encode every text, append ``end_id`` and write the files in ascending key order."""
     rows = docs.select(F.col(key).alias("key"), F.coalesce(F.col(text).cast("string"), F.lit("")).alias("text")).withColumn("h", F.xxhash64("text"))
     ordered = rows.repartitionByRange("key", "h").sortWithinPartitions("key", "h", "text").select("key", "text")
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        coder, part, at = encoder(tokenizer_file), TaskContext.get().partitionId(), 0
+        coder, part, at = encoder(tokenizer_file, special_tokens), TaskContext.get().partitionId(), 0
         end = np.array([end_id], dtype="<u4").tobytes()
         for batch in batches:
             for start in range(0, batch.num_rows, 1000):
