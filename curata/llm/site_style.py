@@ -52,9 +52,10 @@ NAMES_KEPT = 100_000
 
 #: HTML element groups.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-RAW = frozenset("script style textarea title noscript template iframe svg math xmp noembed noframes select object canvas audio video".split())
+RAW = frozenset("script style textarea title noscript iframe xmp noembed noframes".split())
+EMBEDDED = frozenset("template svg math select object canvas audio video".split())
 INLINE = frozenset("a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark nobr q s samp small span strike strong sub sup time tt u var".split())
-CUT = RAW | frozenset("head nav footer aside form button dialog menu fieldset datalist".split())
+CUT = RAW | EMBEDDED | frozenset("head nav footer aside form button dialog menu fieldset datalist".split())
 PROSE = frozenset("p h1 h2 h3 h4 h5 h6 blockquote pre li dd dt td th figcaption article main body html".split())
 ROLES = frozenset("navigation banner contentinfo complementary search dialog alert alertdialog form menu menubar toolbar".split())
 #: Class and id tokens that declare what is not the article; a token counts as a whole.
@@ -66,10 +67,12 @@ WEAK = frozenset(("header", "head"))
 #: Start tags that end an open element of these names.
 ENDS = {**dict.fromkeys("address article aside blockquote center details dialog dir div dl fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hr main menu nav ol p pre section table ul".split(), ("p",)),
         "li": ("li", "p"), "dd": ("dd", "dt", "p"), "dt": ("dd", "dt", "p"), "td": ("td", "th"), "th": ("td", "th"), "tr": ("tr", "td", "th"), "option": ("option",)}
-SCOPES = frozenset("ul ol dl table article section div main body html td th nav aside header footer form blockquote".split())
+SCOPES = EMBEDDED | frozenset("ul ol dl table article section div main body html td th nav aside header footer form blockquote".split())
 
 _TOKEN = re.compile(r"""<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>"']++|"[^"]*"|'[^']*')*+)>|<[a-zA-Z/][^<]*+\Z|[^<]++|<""", re.S)
 _ATTRIBUTE = re.compile(r"""(class|id|role|hidden|aria-hidden|style)(?:\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+))?""", re.I)
+_EMBEDDED = re.compile(rf"<(/?)({'|'.join(sorted(EMBEDDED))})(?=[\s/>])((?:[^>\"']++|\"[^\"]*\"|'[^']*')*+)>", re.I)
+_QUOTED = re.compile(r""""[^"]*"|'[^']*'""")
 _SPLIT = re.compile(r"[\s_\-:]+")
 _HOST = r"^[A-Za-z][A-Za-z0-9+.\-]*://(?:[^/@?#]*@)?([^/:?#]+)"
 
@@ -97,6 +100,24 @@ def _hash(text: str) -> int:
     return xxhash.xxh3_64_intdigest(text.encode("utf-8", "replace")) - (1 << 63)
 
 
+def _closes_itself(attributes: str) -> bool:
+    """Whether a start tag ends in a slash that is not the end of an unquoted value."""
+    return attributes.endswith("/") and not re.search(r"=\s*[^\s\"']*/$", _QUOTED.sub('""', attributes))
+
+
+def _left_open(text: str) -> set[int]:
+    """Where the start tags of embedded elements end that no end tag closes; they hold nothing."""
+    opened: dict[str, list[int]] = {}
+    for m in _EMBEDDED.finditer(text):
+        own = opened.setdefault(m[2].lower(), [])
+        if not m[1]:
+            if not _closes_itself(m[3]):
+                own.append(m.end())
+        elif own:
+            own.pop()
+    return {at for own in opened.values() for at in own}
+
+
 class Reader:
     """Reads pages; remembers what elements of one kind mean."""
 
@@ -156,6 +177,7 @@ class Reader:
         holder = root
         text = text or ""
         at, end = 0, len(text)
+        left_open: set[int] | None = None
         while at < end:
             m = _TOKEN.match(text, at)
             at = m.end()
@@ -200,12 +222,16 @@ class Reader:
             above, hidden = stack[-1][1], stack[-1][2]
             path, cut, weak = self.meaning(page.path[above], tag, m[3])
             cut = hidden or cut or weak and not page.inside[above]
-            if tag in RAW:
-                close = re.compile(rf"</{re.escape(tag)}[\s/>]", re.I).search(text, at)
-                at = close.start() if close else end
-            closed = m[3].endswith("/") and tag in RAW
-            if closed:
-                continue
+            if tag in RAW or tag in EMBEDDED:
+                if _closes_itself(m[3]):
+                    continue
+                if tag in RAW:
+                    close = re.compile(rf"</{re.escape(tag)}[\s/>]", re.I).search(text, at)
+                    at = close.start() if close else end
+                else:
+                    left_open = _left_open(text) if left_open is None else left_open
+                    if at in left_open:
+                        continue
             if tag in INLINE:
                 stack.append((tag, above, cut))
             else:
