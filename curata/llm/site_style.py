@@ -12,8 +12,10 @@ how styles and features spread over the pages follows a node's importance:
 
 Branches whose nodes are all below ``LEAST`` are cut from each page.  Copies of a page count once.
 Hosts with fewer than ``LEAST_PAGES`` pages cannot show what repeats, so the same tree over all hosts
-(paths of at least one page in ``COMMON``) is used beside the host's own.  What element names, roles,
-class and id tokens declare (navigation, forms, adverts, comments, ...) is cut as well, and
+(paths of at least one page in ``COMMON``) is used beside the host's own.  What element names and roles
+declare (navigation, forms, adverts, comments, ...) is cut as well.  Class and id tokens that declare such
+things lower an element's importance below ``LEAST``, unless it is, or holds, the article (the longest
+one that is not declared itself, if there is any) or most of the page's text.  And
 where a page has an article or main element its text comes from there; entropy then cuts only
 repeated containers inside, never paragraphs.
 
@@ -48,6 +50,7 @@ LEAST_INSIDE = 0.25        # for containers inside an article
 LEAST_PAGES = 8
 COMMON = 1_000
 DECAY = 0.9
+DECLARED = 0.25            # factor of the importance of elements that a token declares
 NAMES_KEPT = 100_000
 
 #: HTML element groups.
@@ -79,12 +82,13 @@ _HOST = r"^[A-Za-z][A-Za-z0-9+.\-]*://(?:[^/@?#]*@)?([^/:?#]+)"
 
 @dataclass
 class Page:
-    """Nodes in document order (parent number, path, tag, inside an article) and text blocks."""
+    """Nodes in document order (parent number, path, tag, inside an article, declared by a token) and text blocks."""
 
     parent: list[int] = field(default_factory=list)
     path: list[int] = field(default_factory=list)
     tag: list[str] = field(default_factory=list)
     inside: list[bool] = field(default_factory=list)
+    declared: list[bool] = field(default_factory=list)
     children: list[list[int]] = field(default_factory=list)
     blocks: list[tuple[int, str]] = field(default_factory=list)
 
@@ -122,30 +126,30 @@ class Reader:
     """Reads pages; remembers what elements of one kind mean."""
 
     def __init__(self) -> None:
-        self.names: dict[tuple[int, str, str], tuple[int, bool, bool]] = {}
+        self.names: dict[tuple[int, str, str], tuple[int, bool, bool, bool, bool]] = {}
 
-    def meaning(self, parent: int, tag: str, attributes: str) -> tuple[int, bool, bool]:
-        """(path, declared as not the article, declared only weakly) of an element."""
+    def meaning(self, parent: int, tag: str, attributes: str) -> tuple[int, bool, bool, bool, bool]:
+        """(path, cut by name or role, cut outside an article, declared by a token, declared by a token outside an article) of an element."""
         key = (parent, tag, attributes)
         found = self.names.get(key)
         if found is None:
             if len(self.names) >= NAMES_KEPT:
                 self.names.clear()
-            cut, weak, tokens = tag in CUT, tag == "header", []
+            cut, weak, declared, mild, tokens = tag in CUT, tag == "header", False, False, []
             if attributes:
                 for name, value in _ATTRIBUTE.findall(attributes):
                     name, value = name.lower(), value.strip("\"'").lower()
                     if name in ("class", "id"):
                         own = [x for x in _SPLIT.split(value) if x]
-                        cut = cut or any(map(TOKENS.match, own))
-                        weak = weak or any(x in WEAK for x in own)
+                        declared = declared or any(map(TOKENS.match, own))
+                        mild = mild or any(x in WEAK for x in own)
                         tokens += own if name == "class" else []
                     elif name == "role":
                         cut = cut or value in ROLES
                     elif name == "hidden" or name == "aria-hidden" and value == "true" or name == "style" and re.search(r"display\s*:\s*none", value):
                         cut = True
             shape = " ".join(sorted({re.sub(r"\d+", "#", x) for x in tokens}))
-            found = self.names[key] = (_hash(f"{parent} {tag} {shape}"), cut, weak)
+            found = self.names[key] = (_hash(f"{parent} {tag} {shape}"), cut, weak, declared, mild)
         return found
 
     def read(self, text: str | None) -> Page:
@@ -162,11 +166,12 @@ class Reader:
                     page.blocks.append((holder, block))
                 words = []
 
-        def node(tag: str, path: int, above: int) -> int:
+        def node(tag: str, path: int, above: int, declared: bool = False) -> int:
             page.parent.append(above)
             page.path.append(path)
             page.tag.append(tag)
             page.inside.append(tag in ("article", "main") or above >= 0 and page.inside[above])
+            page.declared.append(declared)
             page.children.append([])
             if above >= 0:
                 page.children[above].append(path)
@@ -194,12 +199,13 @@ class Reader:
                     flush()
                 for k in range(len(stack) - 1, 0, -1):
                     if stack[k][0] == tag:
+                        if stack[k - 1][1] != holder:      # a declared inline element ends
+                            flush()
                         del stack[k:]
                         break
                     if tag in INLINE and stack[k][0] not in INLINE:
                         break
-                if tag not in INLINE:
-                    holder = stack[-1][1]
+                holder = stack[-1][1]
                 continue
             if tag in ("html", "body"):
                 continue
@@ -220,8 +226,9 @@ class Reader:
                     holder = stack[-1][1]
                     continue
             above, hidden = stack[-1][1], stack[-1][2]
-            path, cut, weak = self.meaning(page.path[above], tag, m[3])
+            path, cut, weak, declared, mild = self.meaning(page.path[above], tag, m[3])
             cut = hidden or cut or weak and not page.inside[above]
+            declared = declared or mild and not page.inside[above]
             if tag in RAW or tag in EMBEDDED:
                 if _closes_itself(m[3]):
                     continue
@@ -232,16 +239,45 @@ class Reader:
                     left_open = _left_open(text) if left_open is None else left_open
                     if at in left_open:
                         continue
-            if tag in INLINE:
+            if tag in INLINE and (cut or not declared):
                 stack.append((tag, above, cut))
             else:
-                number = above if cut else node(tag, path, above)
+                if tag in INLINE:
+                    flush()
+                number = above if cut else node(tag, path, above, declared)
                 stack.append((tag, number, cut))
                 holder = number
         flush()
         return page
 
 
+def _declared(page: Page) -> list[bool]:
+    """Nodes that a token declares and that neither are nor hold the article or most of the page's text."""
+    if not any(page.declared):
+        return page.declared
+    n = len(page.path)
+    size, holds = [0] * n, [False] * n
+    for b, t in page.blocks:
+        size[b] += len(t)
+    under = list(page.declared)             # declared itself or below such an element
+    for i in range(n - 1, 0, -1):
+        size[page.parent[i]] += size[i]
+    for i in range(1, n):
+        under[i] = under[i] or under[page.parent[i]] and page.tag[i] not in ("article", "main")
+    articles = [i for i in range(n) if page.tag[i] in ("article", "main") and size[i]]
+    for kind in ("article", "main"):
+        own = [i for i in articles if page.tag[i] == kind and not under[i]]
+        if own:
+            holds[max(own, key=lambda i: size[i])] = True
+    if articles and not any(holds):
+        holds[max(articles, key=lambda i: size[i])] = True
+    for i in range(n - 1, -1, -1):
+        holds[i] = holds[i] or 2 * size[i] > size[0]
+        if holds[i] and i:
+            holds[page.parent[i]] = True
+    return [d and not h for d, h in zip(page.declared, holds, strict=True)]
+
+
 def importances(page: Page, known: dict[int, tuple[float, float, int]]) -> list[float]:
     """Composite importance of every node; ``known`` has (presentation, content, styles) by path."""
     n = len(page.path)
@@ -251,11 +287,12 @@ def importances(page: Page, known: dict[int, tuple[float, float, int]]) -> list[
         total[b] += known.get(page.path[b], (1.0, 1.0, 1))[1]
         count[b] += 1
     out = [1.0] * n
+    declared = _declared(page)
     for i in range(n - 1, -1, -1):       # children come after their parents
         presentation, content, styles = known.get(page.path[i], (1.0, 1.0, 1))
         g = DECAY ** styles
         below = total[i] / count[i] if count[i] else content
-        out[i] = (1 - g) * presentation + g * below
+        out[i] = ((1 - g) * presentation + g * below) * (DECLARED if declared[i] else 1.0)
         if page.parent[i] >= 0:
             total[page.parent[i]] += out[i]
             count[page.parent[i]] += 1
@@ -264,12 +301,14 @@ def importances(page: Page, known: dict[int, tuple[float, float, int]]) -> list[
 
 def main_text(page: Page, known: dict[int, tuple[float, float, int]]) -> str:
     """The blocks that are left once low branches are cut, joined by blanks."""
-    worth = importances(page, known)
+    worth, declared = importances(page, known), _declared(page)
     n = len(page.path)
     low = [False] * n
     alive = [0] * n
     for i in range(n - 1, -1, -1):
-        if page.inside[i]:
+        if declared[i]:
+            low[i] = True
+        elif page.inside[i]:
             low[i] = page.tag[i] not in PROSE and known.get(page.path[i], (1.0, 1.0, 1))[1] < LEAST_INSIDE and worth[i] < LEAST and alive[i] == 0
         else:
             low[i] = worth[i] < LEAST and alive[i] == 0

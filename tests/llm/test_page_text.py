@@ -20,3 +20,18 @@ def _text(html):
 ])
 def test_self_closed_and_unclosed_elements(html, text):
     assert _text(html) == text
+
+
+BODY = "<p>The body of the page has the words that a reader came for, and there are enough of them.</p>"
+TEXT = BODY[3:-4]
+
+
+@pytest.mark.parametrize("html, text", [
+    (f"<div class='layout no-sidebar'><article>{BODY}</article></div>", TEXT), (f"<div id='content' class='has-menu'>{BODY}</div><div class=menu>no</div>", TEXT),
+    (f"<article class='post category-legal'>{BODY}<div class='share'>no</div></article>", TEXT), (f"<div class='has-header'>{BODY}</div>", TEXT),
+    (f"<main><article>{BODY}</article><article class=comment>no</article></main>", TEXT), (f"<span class=no-sidebar>{BODY}</span><p>tail</p>", f"{TEXT} tail"),
+    (f"{BODY}<p>see <a class=share href=x>no</a> more</p>", f"{TEXT} see more"), (f"{BODY}<div class=related><p>no</p></div>", TEXT),
+    (f"<article>{BODY}<div class=comments><article><p>no</p></article></div></article>", TEXT),
+])
+def test_declared_containers_keep_the_article(html, text):
+    assert _text(html) == text
