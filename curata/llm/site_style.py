@@ -15,9 +15,12 @@ Hosts with fewer than ``LEAST_PAGES`` pages cannot show what repeats, so the sam
 (paths of at least one page in ``COMMON``) is used beside the host's own.  What element names and roles
 declare (navigation, forms, adverts, comments, ...) is cut as well.  Class and id tokens that declare such
 things lower an element's importance below ``LEAST``, unless it is, or holds, the article (the longest
-one that is not declared itself, if there is any) or most of the page's text.  And
-where a page has an article or main element its text comes from there; entropy then cuts only
-repeated containers inside, never paragraphs.
+one that is not declared itself, if there is any) or most of the page's text.
+
+Inside an article or main element a path is shared by many unlike paragraphs, so single blocks are
+judged there: a block goes if it stands on at least half of the pages that have its path, on the host or
+over all hosts, and a path of low importance goes if none of its blocks is single.  Text inside is chosen over text
+outside if its length times importance is at least 1 / ``OUTSIDE`` of that outside; else both stay.
 
 All statistics are grouped counts; pages are parsed twice (to count and to cut), and only hashes are
 shuffled for counting.  The collection-wide tree is broadcast: at most ``COMMON`` times the paths of an
@@ -46,7 +49,8 @@ from pyspark.sql import types as T
 from curata.llm.common import materialise
 
 LEAST = 0.5
-LEAST_INSIDE = 0.25        # for containers inside an article
+LEAST_INSIDE = 0.25        # content, for paths inside an article
+OUTSIDE = 2                # text outside an article stays if it weighs more than so many times that inside
 LEAST_PAGES = 8
 COMMON = 1_000
 DECAY = 0.9
@@ -59,7 +63,6 @@ RAW = frozenset("script style textarea title noscript iframe xmp noembed noframe
 EMBEDDED = frozenset("template svg math select object canvas audio video".split())
 INLINE = frozenset("a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark nobr q s samp small span strike strong sub sup time tt u var".split())
 CUT = RAW | EMBEDDED | frozenset("head nav footer aside form button dialog menu fieldset datalist".split())
-PROSE = frozenset("p h1 h2 h3 h4 h5 h6 blockquote pre li dd dt td th figcaption article main body html".split())
 ROLES = frozenset("navigation banner contentinfo complementary search dialog alert alertdialog form menu menubar toolbar".split())
 #: Class and id tokens that declare what is not the article; a token counts as a whole.
 TOKENS = re.compile(
@@ -96,8 +99,8 @@ class Page:
         return {(p, _hash(repr(c))) for p, c in zip(self.path, self.children, strict=True)}
 
     def features(self) -> set[tuple[int, int]]:
-        """Blocks by path; paragraphs inside an article are never cut, nor what holds them, so they need no count."""
-        return {(self.path[n], _hash(t)) for n, t in self.blocks if not (self.inside[n] and self.tag[n] in PROSE)}
+        """Blocks by path."""
+        return {(self.path[n], _hash(t)) for n, t in self.blocks}
 
 
 def _hash(text: str) -> int:
@@ -299,27 +302,27 @@ def importances(page: Page, known: dict[int, tuple[float, float, int]]) -> list[
     return out
 
 
-def main_text(page: Page, known: dict[int, tuple[float, float, int]]) -> str:
-    """The blocks that are left once low branches are cut, joined by blanks."""
+def main_text(page: Page, known: dict[int, tuple[float, float, int]], repeated: frozenset | set[tuple[int, int | None]] = frozenset()) -> str:
+    """The blocks that are left once low branches and, inside articles, ``repeated`` (path, block or None: all) are cut, joined by blanks."""
     worth, declared = importances(page, known), _declared(page)
     n = len(page.path)
     low = [False] * n
     alive = [0] * n
     for i in range(n - 1, -1, -1):
-        if declared[i]:
-            low[i] = True
-        elif page.inside[i]:
-            low[i] = page.tag[i] not in PROSE and known.get(page.path[i], (1.0, 1.0, 1))[1] < LEAST_INSIDE and worth[i] < LEAST and alive[i] == 0
-        else:
-            low[i] = worth[i] < LEAST and alive[i] == 0
+        low[i] = declared[i] or not page.inside[i] and worth[i] < LEAST and alive[i] == 0
         if not low[i] and page.parent[i] >= 0:
             alive[page.parent[i]] += 1
     gone = [False] * n
     for i in range(n):
         gone[i] = low[i] or page.parent[i] >= 0 and gone[page.parent[i]]
-    left = [(b, t) for b, t in page.blocks if not gone[b]] or page.blocks      # all alike: entropy tells nothing
-    inside = [t for b, t in left if page.inside[b]]
-    return " ".join(inside or [t for _, t in left])
+    for i in range(n):
+        gone[i] = gone[i] or page.inside[i] and worth[i] < LEAST and (page.path[i], None) in repeated
+    left = [(b, t) for b, t in page.blocks if not gone[b] and not (page.inside[b] and (page.path[b], _hash(t)) in repeated)] or page.blocks      # all alike: entropy tells nothing
+    weight = [0.0, 0.0]
+    for b, t in left:
+        weight[page.inside[b]] += len(t) * worth[b]
+    outside = weight[0] > OUTSIDE * weight[1] or not any(page.inside[b] for b, _ in left)
+    return " ".join(t for b, t in left if outside or page.inside[b])
 
 
 def _host(url: str):
@@ -343,7 +346,10 @@ def outlines(pages: DataFrame) -> DataFrame:
 
 
 def style_trees(outline: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Importance by (host, path) and, over all hosts, by path: (presentation, content, styles, pages)."""
+    """Importance by (host, path) and, over all hosts, by path: (presentation, content, styles, dull, repeated, pages).
+
+    ``dull`` paths have a low content and no single block.  ``repeated`` has the blocks on at least half of the path's pages, so at most twice the blocks of one page.
+    """
     entry = lambda kind, array: F.transform(array, lambda x: F.struct(F.lit(kind).alias("kind"), x["path"].alias("path"), x["value"].alias("value")))
     seen = F.transform("paths", lambda p: F.struct(F.lit(2).alias("kind"), p.alias("path"), F.lit(0).cast("long").alias("value")))
     rows = outline.select("host", "body", F.explode(F.concat(entry(0, F.col("styles")), entry(1, F.col("features")), seen)).alias("e")).select("host", "body", "e.*")
@@ -352,13 +358,17 @@ def style_trees(outline: DataFrame) -> tuple[DataFrame, DataFrame]:
     def tree(counts: DataFrame, *by: str) -> DataFrame:
         of = lambda kind, x: F.sum(F.when(F.col("kind") == kind, x).otherwise(0.0))
         sums = counts.groupBy(*by).agg(F.max(F.when(F.col("kind") == 2, F.col("k"))).alias("pages"), of(0, 1.0).alias("styles"), of(0, F.col("k")).alias("uses"),
-                                       of(0, F.col("k") * F.log("k")).alias("k_log_k"), of(1, 1.0).alias("n_features"), of(1, F.log("k")).alias("log_k"))
+                                       of(0, F.col("k") * F.log("k")).alias("k_log_k"), of(1, 1.0).alias("n_features"), of(1, F.log("k")).alias("log_k"), F.min(F.when(F.col("kind") == 1, F.col("k"))).alias("least_k"))
         unit = F.log(F.greatest(F.col("pages"), F.lit(2)))
         presentation = F.least(F.lit(1.0), F.greatest(F.lit(0.0), (F.log("uses") - F.col("k_log_k") / F.col("uses")) / unit))
         content = F.when(F.col("n_features") > 0, 1 - F.col("log_k") / F.col("n_features") / unit).otherwise(F.lit(1.0))
-        return sums.select(*by, presentation.alias("presentation"), content.alias("content"), F.col("styles").cast("int").alias("styles"), "pages")
+        dull = (content < LEAST_INSIDE) & F.coalesce(F.col("least_k") > 1, F.lit(False))
+        trees = sums.select(*by, presentation.alias("presentation"), content.alias("content"), F.col("styles").cast("int").alias("styles"), dull.alias("dull"), "pages").filter(F.col("pages") >= LEAST_PAGES)
+        often = counts.select(*by, "value", F.when(F.col("kind") == 1, F.col("k")).alias("k")).filter(F.col("k") * 2 >= LEAST_PAGES)
+        often = often.join(trees.select(*by, "pages"), list(by)).filter(F.col("k") * 2 >= F.col("pages")).groupBy(*by).agg(F.collect_list("value").alias("repeated"))
+        return trees.join(often, list(by), "left").select(*by, "presentation", "content", "styles", "dull", "repeated", "pages")
 
-    hosts = tree(counts, "host", "path").filter(F.col("pages") >= LEAST_PAGES)
+    hosts = tree(counts, "host", "path")
     everywhere = tree(counts.groupBy("path", "kind", "value").agg(F.sum("k").alias("k")), "path")
     return hosts, everywhere
 
@@ -383,10 +393,10 @@ def extract(pages: DataFrame, html: str = "html", url: str = "url", keys: tuple[
     outline = materialise(outlines(rows), "page-outlines")
     hosts, everywhere = style_trees(outline)
     n_pages = outline.count()
-    common = everywhere.filter(F.col("pages") >= max(LEAST_PAGES, n_pages / COMMON)).select("path", "presentation", "content", "styles")
-    shared = pages.sparkSession.sparkContext.broadcast({r["path"]: (r["presentation"], r["content"], r["styles"]) for r in common.collect()})
+    common = everywhere.filter(F.col("pages") >= max(LEAST_PAGES, n_pages / COMMON)).select("path", "presentation", "content", "styles", "dull", "repeated")
+    shared = pages.sparkSession.sparkContext.broadcast({r["path"]: (r["presentation"], r["content"], r["styles"], (*(r["repeated"] or ()), *[None] * r["dull"])) for r in common.collect()})
     own = outline.select("host", "body", F.explode("paths").alias("path")).distinct().join(hosts, ["host", "path"])
-    known = own.groupBy("host", "body").agg(F.collect_list(F.struct("path", "presentation", "content", "styles")).alias("known"))      # one entry for each path of the page
+    known = own.groupBy("host", "body").agg(F.collect_list(F.struct("path", "presentation", "content", "styles", "dull", "repeated")).alias("known"))      # one entry for each path of the page
     joined = _packed(rows).join(known, ["host", "body"], "left").select("keys", "html", "known")
     schema = T.StructType([joined.schema["keys"], T.StructField("text", T.StringType())])
 
@@ -396,11 +406,13 @@ def extract(pages: DataFrame, html: str = "html", url: str = "url", keys: tuple[
             out = []
             for packed, entries in zip(batch.column("html"), batch.column("known"), strict=True):
                 page = reader.read(unpack(packed.as_py()).decode("utf-8", "replace"))
-                tree = {p: shared.value[p] for p in page.path if p in shared.value}
+                tree = {p: shared.value[p][:3] for p in page.path if p in shared.value}
+                repeated = {(p, v) for p in tree for v in shared.value[p][3]}
                 for e in entries.as_py() or ():
                     before = tree.get(e["path"], (1.0, 1.0, 1))
                     tree[e["path"]] = (min(before[0], e["presentation"]), min(before[1], e["content"]), max(before[2], e["styles"]))
-                out.append(main_text(page, tree))
+                    repeated.update((e["path"], v) for v in (*(e["repeated"] or ()), *[None] * e["dull"]))
+                out.append(main_text(page, tree, repeated))
             yield pa.RecordBatch.from_arrays([batch.column("keys"), pa.array(out, pa.string())], ["keys", "text"])
 
     return joined.mapInArrow(cut, schema).select("keys.*", "text")

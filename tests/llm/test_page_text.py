@@ -35,3 +35,21 @@ TEXT = BODY[3:-4]
 ])
 def test_declared_containers_keep_the_article(html, text):
     assert _text(html) == text
+
+
+def _pages(spark, rows):
+    return {r.page_id: r.text for r in site_style.extract(spark.createDataFrame(rows, "page_id bigint, url string, html string")).collect()}
+
+
+def test_blocks_inside_and_outside_articles(spark):
+    rng = random.Random(21)
+    body = lambda: " ".join(rng.choices("alpha beta gamma delta epsilon zeta eta theta".split(), k=14)) + f" {rng.random()}"
+    bodies = [[body() for _ in range(rng.randint(2, 5))] for _ in range(60)]
+    marked = ["".join(f"<p>{t}</p>" for t in b) for b in bodies]
+    rows = [(i, f"http://a.example/{i}", f"<main><div class=x7><p>Buy now at our shop</p></div>{marked[i]}<p>This notice stands on every page</p></main>") for i in range(30)]
+    rows += [(i, f"http://b.example/{i}", f"<article><p>Read on {i}</p></article><div class=q>{marked[i]}</div>") for i in range(30, 60)]
+    rows += [(100 + i, f"http://c.example/{i}", f"<main><div class=x8>Buy number {i // 40}</div>{marked[i % 60]}</main>") for i in range(120)]
+    got = _pages(spark, rows)
+    assert all(got[i] == " ".join(bodies[i]) for i in range(30))
+    assert all(got[i] == " ".join([f"Read on {i}", *bodies[i]]) for i in range(30, 60))
+    assert all(got[100 + i] == " ".join(bodies[i % 60]) for i in range(120))      # three notices in turn: none on half of the pages
