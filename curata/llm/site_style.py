@@ -12,7 +12,7 @@ how styles and features spread over the pages follows a node's importance:
 
 Branches whose nodes are all below ``LEAST`` are cut from each page.  Copies of a page count once.
 Hosts with fewer than ``LEAST_PAGES`` pages cannot show what repeats, so the same tree over all hosts
-(paths of at least one page in ``COMMON``) is used beside the host's own.  What element names and roles
+(paths on ``LEAST_PAGES`` pages, whatever the number of pages) is used beside the host's own.  What element names and roles
 declare (navigation, forms, adverts, comments, ...) is cut as well.  Class and id tokens that declare such
 things lower an element's importance below ``LEAST``, unless it is, or holds, the article (the longest
 one that is not declared itself, if there is any) or most of the page's text.
@@ -23,8 +23,8 @@ over all hosts, and a path of low importance goes if none of its blocks is singl
 outside if its length times importance is at least 1 / ``OUTSIDE`` of that outside; else both stay.
 
 All statistics are grouped counts; pages are parsed twice (to count and to cut), and only hashes are
-shuffled for counting.  The collection-wide tree is broadcast: at most ``COMMON`` times the paths of an
-average page.
+shuffled for counting.  Of the collection-wide tree, paths of at least one page in ``COMMON`` are broadcast
+(at most ``COMMON`` times the paths of an average page); rarer ones are joined by path.
 
 Defined results: NULL or empty html, and pages where nothing is left, have the empty text.  Broken
 markup is read as far as it goes: missing end tags are implied, an unfinished tag at the end is dropped.
@@ -395,8 +395,13 @@ def extract(pages: DataFrame, html: str = "html", url: str = "url", keys: tuple[
     n_pages = outline.count()
     common = everywhere.filter(F.col("pages") >= max(LEAST_PAGES, n_pages / COMMON)).select("path", "presentation", "content", "styles", "dull", "repeated")
     shared = pages.sparkSession.sparkContext.broadcast({r["path"]: (r["presentation"], r["content"], r["styles"], (*(r["repeated"] or ()), *[None] * r["dull"])) for r in common.collect()})
-    own = outline.select("host", "body", F.explode("paths").alias("path")).distinct().join(hosts, ["host", "path"])
-    known = own.groupBy("host", "body").agg(F.collect_list(F.struct("path", "presentation", "content", "styles", "dull", "repeated")).alias("known"))      # one entry for each path of the page
+    rare = everywhere.filter((F.col("pages") >= LEAST_PAGES) & (F.col("pages") < n_pages / COMMON)).select("path", "presentation", "content", "styles", "dull", "repeated")
+    own = outline.select("host", "body", F.explode("paths").alias("path")).distinct()
+    columns = ["host", "body", "path", "presentation", "content", "styles", "dull", "repeated"]
+    found = own.join(hosts, ["host", "path"]).select(columns)
+    if n_pages > LEAST_PAGES * COMMON:      # no key of this join is on more than one page in COMMON
+        found = found.unionByName(own.join(rare, "path").select(columns))
+    known = found.groupBy("host", "body").agg(F.collect_list(F.struct("path", "presentation", "content", "styles", "dull", "repeated")).alias("known"))      # at most two entries for each path of the page
     joined = _packed(rows).join(known, ["host", "body"], "left").select("keys", "html", "known")
     schema = T.StructType([joined.schema["keys"], T.StructField("text", T.StringType())])
 

@@ -53,3 +53,12 @@ def test_blocks_inside_and_outside_articles(spark):
     assert all(got[i] == " ".join(bodies[i]) for i in range(30))
     assert all(got[i] == " ".join([f"Read on {i}", *bodies[i]]) for i in range(30, 60))
     assert all(got[100 + i] == " ".join(bodies[i % 60]) for i in range(120))      # three notices in turn: none on half of the pages
+
+
+def test_templates_of_small_hosts_do_not_depend_on_the_number_of_pages(spark, monkeypatch):
+    monkeypatch.setattr(site_style, "COMMON", 10)
+    rows = [(i, f"http://h{i}.example/", f"<div class=x7>Buy now at our shop</div><div class=q{chr(97 + i)}>body {i} of the small host</div>") for i in range(12)]
+    rows += [(i, f"http://h{i}.example/", f"<div class=r{chr(97 + i % 26)}{chr(97 + i // 26)}>page {i}</div>") for i in range(12, 300)]
+    few, many = _pages(spark, rows[:12]), _pages(spark, rows)
+    assert few == {i: f"body {i} of the small host" for i in range(12)}
+    assert all(many[i] == few[i] for i in few) and all(many[i] == f"page {i}" for i in range(12, 300))
