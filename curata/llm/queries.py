@@ -6,7 +6,9 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from curata.llm import blob_ledger, decontamination, language_id, near_duplicates, personal_data, piece_bpe, projected_search, site_style, token_files, toxicity
+from curata.llm import (
+    blob_ledger, decontamination, language_id, merkle_manifest, near_duplicates, personal_data, piece_bpe, projected_search, site_style, token_alignment,
+    token_counts, token_files, toxicity)
 from curata.llm.common import keyed_bucket, shared_path, table
 from curata.llm.oracles import LEAKS, NEAR_DUPLICATES, PERSONAL_DATA, SECRETS
 from curata.llm.spans import joined
@@ -80,6 +82,32 @@ def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return placed.select("doc_id", "start", F.col("n_tokens").cast("long").alias("n_tokens"), "ids_crc32")
 
 
+def op11_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    counted = token_counts.count_tokens(table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
+    return counted.withColumn("over_limit", F.col("n_tokens") > 4096)
+
+
+def merkle_rows(docs: DataFrame) -> DataFrame:
+    """Leaf, roots and proof of every row, and the root folded from a leaf whose text has lost its line breaks on every second row."""
+    whole = ["doc_id", "source", "lang", "n_chars", "text"]
+    broken = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 2 == 0
+    altered = merkle_manifest.leaf_digest([*whole[:-1], F.replace("text", F.lit("\n"), F.lit(""))])
+    manifest = merkle_manifest.build_manifest(docs, "source", "doc_id", whole, {"altered": F.when(broken & F.contains("text", F.lit("\n")), altered)})
+    folded = merkle_manifest.fold(F.coalesce("altered", "digest"), F.col("path"))
+    proofs = manifest.proofs().select(
+        F.col("key").alias("doc_id"), F.col("digest").alias("leaf"), "subroot", "root",
+        merkle_manifest.proof_digest(F.col("path")).alias("proof_sha256"), folded.alias("folded_root"))
+    return proofs.withColumn("verified", F.col("folded_root") == F.col("root"))
+
+
+def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle_rows(table(spark, sf_dir, "documents"))
+
+
+def op13_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_alignment.alignment(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model"))
+
+
 QUERIES = {
     "op1_sentencepiece": op1_sentencepiece,
     "op2_decontamination": op2_decontamination,
@@ -91,6 +119,9 @@ QUERIES = {
     "op8_near_duplicates": op8_near_duplicates,
     "op9_secret_scan": op9_secret_scan,
     "op10_token_files": op10_token_files,
+    "op11_token_counts": op11_token_counts,
+    "op12_merkle_manifest": op12_merkle_manifest,
+    "op13_token_alignment": op13_token_alignment,
 }
 
 ORACLES: dict[str, str] = {
