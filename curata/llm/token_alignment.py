@@ -22,9 +22,9 @@ from __future__ import annotations
 
 import hashlib
 import json
-from collections.abc import Iterator
+from array import array
+from collections.abc import Iterable, Iterator
 from functools import lru_cache
-from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -39,12 +39,10 @@ from curata.llm.common import materialise
 MARK = "▁"
 #: The pre-token pattern of the byte-level file's pre-tokeniser: a fixed value.
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
-#: Windows whose groups a worker remembers, in two generations, and the longest such window in tokens.
-WINDOWS_KEPT = 400_000
-LONGEST_KEPT = 64
+#: Windows whose groups a worker remembers, in two generations; a generation ends between two documents.
+WINDOWS_KEPT = 800_000
 #: Share of all links from which a pair's count is broadcast.
 COMMON_SHARE = 5e-6
-_NOTHING = ("", ())
 
 
 def _byte_of_character() -> dict[str, int]:
@@ -76,73 +74,105 @@ class Aligner:
         self.size_a, self.size_b = (np.array([len(x) for x in side], dtype=np.int64) for side in (self.bytes_a, self.bytes_b))
         self.blank_a, self.blank_b = (np.array([x[:1] == b" " for x in side]) for side in (self.bytes_a, self.bytes_b))
         self.bits = max(1, len(pieces) - 1).bit_length()
-        self.young: dict[tuple[bytes, bytes], tuple[str, tuple[int, ...]]] = {}
-        self.old: dict[tuple[bytes, bytes], tuple[str, tuple[int, ...]]] = {}
+        self.sizes = [x.tolist() for x in (self.size_a, self.size_b)]
+        self.names = [str(i) for i in range(max(len(self.bytes_a), len(pieces)))]
+        self.young, self.old = Windows(), Windows()
 
     @staticmethod
     def _pair(merge: str | list[str]) -> list[str]:
         return merge.split(" ") if isinstance(merge, str) else merge
 
     def tokens(self, text: str, ids_b: list[int]) -> tuple[np.ndarray, np.ndarray] | None:
-        """Ids of both sides, or None if either side's tokens are not the text's bytes."""
+        """Ids of both sides, or None if either side's tokens are not the text's bytes.
+
+        The byte-level side splits the bytes and drops none, so its lengths must add up; the other side's bytes are compared.
+        """
         raw = (" " + text).encode()
         if not text or b"".join(map(self.bytes_b.__getitem__, ids_b)) != raw:
             return None
-        ids_a = self.encoder.encode_to_numpy(" " + text, allowed_special=set(), disallowed_special=())
-        if b"".join(map(self.bytes_a.__getitem__, ids_a.tolist())) != raw:
-            return None
-        return ids_a.astype("<u4"), np.array(ids_b, dtype="<u4")
-
-    def groups(self, a: list[int], b: list[int]) -> tuple[str, tuple[int, ...]]:
-        """The groups' text, and the codes of the linked pairs of a window."""
-        size_a, size_b = self.bytes_a, self.bytes_b
-        out, links = [], []
-        i = j = from_a = from_b = at_a = at_b = 0
-        while i < len(a):
-            at_a += len(size_a[a[i]])
-            i += 1
-            while at_b < at_a:
-                at_b += len(size_b[b[j]])
-                j += 1
-            if at_a == at_b:
-                out.append(",".join(map(str, a[from_a:i])) + "|" + ",".join(map(str, b[from_b:j])))
-                links.append(a[i - 1] << self.bits | b[j - 1])
-                from_a, from_b = i, j
-        return ";".join(out), tuple(links)
-
-    def windows(self, a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        ids_a = np.array(self.encoder.encode_ordinary(" " + text), dtype=np.int64)
+        return (ids_a, np.array(ids_b, dtype=np.int64)) if self.size_a[ids_a].sum() == len(raw) else None
+
+    def align(self, a: np.ndarray, b: np.ndarray) -> tuple[str, np.ndarray]:
+        """The groups' text and the codes of the links of a document."""
+        end_a, end_b = np.cumsum(self.size_a[a]), np.cumsum(self.size_b[b])
+        first_a, first_b = self.windows(a, b, end_a, end_b)
+        # each window's A ids and then its B ids, which are shifted: one slice of bytes stands for the pair of id tuples
+        n_a, n_b = np.diff(first_a), np.diff(first_b)
+        mixed = np.empty(len(a) + len(b), dtype="<u4")
+        mixed[np.arange(len(a)) + np.repeat(first_b[:-1], n_a)] = a
+        mixed[np.arange(len(b)) + np.repeat(first_a[1:], n_b)] = b + len(self.bytes_a)
+        data, cuts = mixed.tobytes(), (4 * (first_a + first_b)).tolist()
+        if len(self.young.texts) >= WINDOWS_KEPT // 2:
+            self.young, self.old = Windows(), self.young
+        keys = [data[i:j] for i, j in zip(cuts, cuts[1:])]
+        found = list(map(self.young.place.get, keys))
+        if None in found:
+            self._learn(keys, found, a, b, end_a, end_b, first_a)
+        return ";".join(map(self.young.texts.__getitem__, found)), self.young.links_at(np.array(found))
+
+    def windows(self, a: np.ndarray, b: np.ndarray, end_a: np.ndarray, end_b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """First tokens of the windows on both sides, and the number of tokens at the end."""
-        marked_a, marked_b = np.flatnonzero(self.blank_a[a]), np.flatnonzero(self.blank_b[b])
-        size_a, size_b = self.size_a[a], self.size_b[b]
-        start_a, start_b = (np.cumsum(size_a) - size_a)[marked_a], (np.cumsum(size_b) - size_b)[marked_b]
-        at = np.minimum(np.searchsorted(start_b, start_a), len(start_b) - 1)
-        shared = (start_b[at] == start_a) & (start_a > 0)
-        return np.concatenate([[0], marked_a[shared], [len(a)]]), np.concatenate([[0], marked_b[at[shared]], [len(b)]])
-
-    def align(self, a: np.ndarray, b: np.ndarray) -> list[tuple[str, tuple[int, ...]]]:
-        """Groups and links of each window of a document."""
-        first_a, first_b = self.windows(a, b)
-        bytes_a, bytes_b = a.tobytes(), b.tobytes()
-        cut_a, cut_b = (4 * first_a).tolist(), (4 * first_b).tolist()
-        keys = [(bytes_a[i:j], bytes_b[k:m]) for i, j, k, m in zip(cut_a, cut_a[1:], cut_b, cut_b[1:])]
-        young, out = self.young, []
-        for key in keys:
-            found = young.get(key)
-            if found is None:
-                found = self._unseen(key)
-            out.append(found)
-        return out
-
-    def _unseen(self, key: tuple[bytes, bytes]) -> tuple[str, tuple[int, ...]]:
-        found = self.old.get(key)
-        if found is None:
-            found = self.groups(*(np.frombuffer(x, dtype="<u4").tolist() for x in key))
-        if len(key[0]) + len(key[1]) <= 4 * LONGEST_KEPT:
-            if len(self.young) >= WINDOWS_KEPT // 2:
-                self.old = dict(self.young)
-                self.young.clear()
-            self.young[key] = found
-        return found
+        marked_a, marked_b = np.flatnonzero(self.blank_a[a[1:]]), np.flatnonzero(self.blank_b[b[1:]])
+        before_a, before_b = end_a[marked_a], end_b[marked_b]
+        if not len(before_b):
+            return np.array([0, len(a)]), np.array([0, len(b)])
+        at = np.minimum(np.searchsorted(before_b, before_a), len(before_b) - 1)
+        shared = before_b[at] == before_a
+        return np.concatenate([[0], marked_a[shared] + 1, [len(a)]]), np.concatenate([[0], marked_b[at[shared]] + 1, [len(b)]])
+
+    def _learn(self, keys: list[bytes], found: list[int | None], a: np.ndarray, b: np.ndarray, end_a: np.ndarray, end_b: np.ndarray, first_a: np.ndarray) -> None:
+        """Work out the windows that ``found`` lacks from the ends that both sides share, and remember them."""
+        young, old = self.young, self.old
+        at = np.searchsorted(end_b, end_a)
+        last_a = np.flatnonzero(end_b[at] == end_a)
+        last_b = at[last_a]
+        links = (a[last_a] << self.bits | b[last_b]).tolist()
+        group = [0, *(np.searchsorted(last_a, first_a[1:] - 1) + 1).tolist()]
+        cut_a, cut_b = [0, *(last_a + 1).tolist()], [0, *(last_b + 1).tolist()]
+        name = self.names.__getitem__
+        name_a, name_b = list(map(name, a.tolist())), list(map(name, b.tolist()))
+        for i, place in enumerate(found):
+            if place is None:
+                key = keys[i]
+                place = young.place.get(key)
+                if place is None:
+                    before = old.place.get(key)
+                    if before is None:
+                        span = range(group[i], group[i + 1])
+                        text = ";".join([f"{','.join(name_a[cut_a[g]:cut_a[g + 1]])}|{','.join(name_b[cut_b[g]:cut_b[g + 1]])}" for g in span])
+                        place = young.add(key, text, links[group[i]:group[i + 1]])
+                    else:
+                        place = young.add(key, *old.at(before))
+                found[i] = place
+
+
+class Windows:
+    """Alignments of windows by id tuples: groups' texts, and links in one flat array."""
+
+    def __init__(self):
+        self.place: dict[bytes, int] = {}
+        self.texts: list[str] = []
+        self.ends = array("q", [0])
+        self.links = array("q")
+
+    def add(self, key: bytes, text: str, links: Iterable[int]) -> int:
+        place = self.place[key] = len(self.texts)
+        self.texts.append(text)
+        self.links.extend(links)
+        self.ends.append(len(self.links))
+        return place
+
+    def at(self, place: int) -> tuple[str, array]:
+        return self.texts[place], self.links[self.ends[place]:self.ends[place + 1]]
+
+    def links_at(self, places: np.ndarray) -> np.ndarray:
+        """The links of the windows at these places, one after another."""
+        ends, links = np.frombuffer(self.ends, dtype=np.int64), np.frombuffer(self.links, dtype=np.int64)
+        first = ends[places]
+        lengths = ends[places + 1] - first
+        upto = np.cumsum(lengths)
+        return links[np.arange(upto[-1]) + np.repeat(first - (upto - lengths), lengths)]
 
 
 @lru_cache(maxsize=1)
@@ -170,11 +200,10 @@ def align_documents(docs: DataFrame, byte_file: str, piece_file: str, text: str
                 numbers, digests, codes, times = [], [], [], []
                 for content, ids_b in zip(texts, both.processor.encode(texts, num_threads=1), strict=True):
                     tokens = both.tokens(content, ids_b)
-                    found = both.align(*tokens) if tokens else [_NOTHING]
-                    links = np.fromiter(chain.from_iterable(w[1] for w in found), dtype=np.int64)
+                    groups, links = both.align(*tokens) if tokens else ("", np.zeros(0, dtype=np.int64))
                     code, n = np.unique(links, return_counts=True)
                     numbers.append((len(tokens[0]), len(tokens[1]), len(links), len(links)) if tokens else (0, 0, 0, 0))
-                    digests.append(hashlib.sha256(";".join([w[0] for w in found]).encode()).hexdigest() if tokens else "")
+                    digests.append(hashlib.sha256(groups.encode()).hexdigest() if tokens else "")
                     codes.append(code)
                     times.append(n.astype(np.int32))
                 offsets = pa.array(np.concatenate([[0], np.cumsum([len(c) for c in codes])]).astype(np.int32))
