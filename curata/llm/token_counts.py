@@ -31,8 +31,8 @@ from pyspark.sql import types as T
 from curata.llm.common import materialise
 
 MARK = "▁"
-#: Share of all occurrences from which a pre-token is broadcast: at most a million entries.
-COMMON_SHARE = 1e-6
+#: Share of all occurrences from which a pre-token is broadcast: at most two million entries.
+COMMON_SHARE = 5e-7
 #: Distinct pre-tokens that a task holds before it hands on their frequencies.
 HELD = 300_000
 _BREAK = "\n"
@@ -99,7 +99,7 @@ def _counts(held: Counter[str]) -> pa.RecordBatch:
 
 def count_tokens(docs: DataFrame, model_file: str, text: str = "text", key: str = "doc_id", share: float = COMMON_SHARE) -> DataFrame:
     """(key, n_bytes, n_tokens) for every row; ``model_file`` must exist on every machine."""
-    pre_tokens = materialise(pre_token_table(docs, model_file, text), "pre-tokens")
+    pre_tokens = materialise(pre_token_table(docs, model_file, text), "pre-tokens", "zstd")
     least = (pre_tokens.agg(F.sum("n")).first()[0] or 0) * share
     held = pre_tokens.filter(F.col("n") >= least).select("pre_token", "tokens").toArrow()
     common = docs.sparkSession.sparkContext.broadcast(dict(zip(held["pre_token"].to_pylist(), held["tokens"].to_pylist(), strict=True)))
@@ -134,7 +134,7 @@ def count_tokens(docs: DataFrame, model_file: str, text: str = "text", key: str
                     [part.column("row"), part.column("key"), pa.array(sizes, pa.int64()), pa.array(sums, pa.int64()),
                      pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), entries)], schema.names)
 
-    looked_up = materialise(rows.mapInArrow(look_up, schema), "token-counts")
+    looked_up = materialise(rows.mapInArrow(look_up, schema), "token-counts", "zstd")
     rare = pre_tokens.filter(F.col("n") < least).select("pre_token", "tokens")
     rest = looked_up.select("row", F.inline("others")).join(rare, "pre_token").groupBy("row").agg(F.sum(F.col("times") * F.col("tokens")).alias("rest"))
     total = F.col("known") + F.coalesce("rest", F.lit(0))
