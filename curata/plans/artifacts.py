@@ -11,6 +11,7 @@ from __future__ import annotations
 
 import threading
 import time
+import uuid
 from concurrent.futures import ThreadPoolExecutor
 from functools import cached_property
 
@@ -22,8 +23,10 @@ from curata.operators.cleaning import clean
 from curata.operators.evaluation import evaluate
 from curata.operators.faults import inject_faults
 from curata.operators.features import engineer_features
+from curata.operators.model_tables import tree_table
 from curata.operators.preprocess import fit_preprocessing
 from curata.operators.sampling import add_class_weights, tag_split
+from curata.session import checkpoint_dir
 from curata.sources.encounters import encounters
 from curata.sources.sinks import persist
 from curata.spec import DEFAULT_SPEC, VALID_MAX, EncounterSpec
@@ -48,6 +51,7 @@ class Artifacts:
         self._held: list[DataFrame] = []
         self._models: dict = {}
         self._preds: dict[str, DataFrame] = {}
+        self._nodes: dict[str, DataFrame] = {}
         self._locks = {name: threading.Lock() for name in clf.MODEL_ORDER}
 
     def _keep(self, df: DataFrame) -> DataFrame:
@@ -118,6 +122,12 @@ class Artifacts:
         with ThreadPoolExecutor(max_workers=max(1, parallelism)) as pool:
             list(pool.map(self.model, clf.MODEL_ORDER))
 
+    def nodes(self, name: str) -> DataFrame:
+        """The node table of a tree model, saved in the checkpoint folder."""
+        if name not in self._nodes:
+            self._nodes[name] = tree_table(self.spark, self.model(name), f"{checkpoint_dir(self.spark).rstrip('/')}/model-{uuid.uuid4().hex}")
+        return self._nodes[name]
+
     def predictions(self, name: str) -> DataFrame:
         """Scored test rows of one model; scored once, timed apart from the fit."""
         if name not in self._preds:

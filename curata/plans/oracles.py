@@ -12,7 +12,7 @@ from __future__ import annotations
 from curata.functions.keyed import hash_uniform_sql as U
 from curata.operators.classifiers import MODEL_ORDER
 from curata.sources.encounters import with_encounters
-from curata.spec import AGE_BRACKETS, CATEGORICAL_COLUMNS, CORRELATION_COLUMNS, HISTOGRAM_COLUMNS, NUMERIC_COLUMNS
+from curata.spec import AGE_BRACKETS, CATEGORICAL_COLUMNS, CORRELATION_COLUMNS, HISTOGRAM_COLUMNS, NUMERIC_COLUMNS, RF_PARAMS
 
 D = "::DOUBLE"
 
@@ -320,6 +320,17 @@ ORACLES: dict[str, str] = {
         f" AS INT) AS n_features, 1.0{D} AS total_importance FROM nlab CROSS JOIN ({_models_sql(MODEL_ORDER[1:])}) m"),
     "model_test_rows": W(*CHAIN, PREPARED, TAGGED) + (
         f"SELECT m.model, label, COUNT(*) AS n FROM tagged CROSS JOIN ({_models_sql(MODEL_ORDER)}) m WHERE split = 'test' GROUP BY ALL"),
+    "logistic_gradient": W(*PREP_CHAIN, *_label_ctes()) + (
+        f"SELECT CAST(unnest(range(-1, {len(NUMERIC_COLUMNS)} + " + " + ".join(f"nlab.{c}" for c in CATEGORICAL_COLUMNS) + ")) AS INT) AS slot, TRUE AS at_optimum FROM nlab"),
+    "tree_recount": W(*PREP_CHAIN) + (
+        "SELECT m.model, CAST(m.tree AS INT) AS tree, COUNT(*) AS leaf_rows, ROUND(2.0" + D + " * COUNT(*) FILTER (WHERE label = 0), 6) AS leaf_weight, "
+        "CAST(0 AS BIGINT) AS wrong_rows, CAST(0 AS BIGINT) AS wrong_weights, CAST(0 AS BIGINT) AS wrong_impurity FROM train "
+        "CROSS JOIN (SELECT 'Decision Tree' AS model, 0 AS tree UNION ALL SELECT 'plain forest', unnest(range(10))) m GROUP BY m.model, m.tree"),
+    "node_faults": (
+        "SELECT model, CAST(tree AS INT) AS tree, CAST(0 AS BIGINT) AS wrong_split, CAST(0 AS BIGINT) AS wrong_impurity, CAST(0 AS BIGINT) AS wrong_gain "
+        f"FROM (SELECT 'Decision Tree' AS model, 0 AS tree UNION ALL SELECT 'Random Forest', unnest(range({RF_PARAMS['numTrees']})))"),
+    "table_scores": W(*CHAIN, PREPARED, TAGGED) + (
+        f"SELECT m.model, row_key, label, TRUE AS same_class, TRUE AS same_probability FROM tagged CROSS JOIN ({_models_sql(MODEL_ORDER)}) m WHERE split = 'test'"),
     "rule_leaderboard": _rule_board_sql() + "SELECT * FROM board",
     "rule_best_model": _rule_board_sql() + "SELECT * FROM board ORDER BY f1 DESC, position LIMIT 1",
     "rule_metric_comparison": _rule_board_sql() + "SELECT position, model, metric, value FROM (UNPIVOT board ON auc_roc, accuracy, f1, weighted_precision, weighted_recall INTO NAME metric VALUE value)",

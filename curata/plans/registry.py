@@ -21,6 +21,7 @@ from curata.operators import cleaning as cl
 from curata.operators import evaluation as ev
 from curata.operators import faults as fx
 from curata.operators import features as ft
+from curata.operators import model_tables as mt
 from curata.operators import profiling as pf
 from curata.operators.curve import curve_rows, learning_curve
 from curata.operators.sampling import tag_split
@@ -29,10 +30,13 @@ from curata.session import checkpoint_dir
 from curata.sources.encounters import encounters
 from curata.sources.files import read_csv, source_profile, try_cast_columns
 from curata.sources.tables import load_table
-from curata.spec import DEFAULT_SPEC as SPEC, VALID_MAX
+from curata.spec import DEFAULT_SPEC as SPEC, DT_PARAMS, LR_PARAMS, RF_PARAMS, VALID_MAX
 
 Query = Callable[[SparkSession, str], DataFrame]
 DIGITS = 6
+#: The largest derivative that counts as vanished, and the trees of the forest that is recounted.
+GRADIENT_BOUND = 1e-4
+PLAIN_TREES = 10
 
 
 def _round_doubles(df: DataFrame, digits: int = DIGITS) -> DataFrame:
@@ -310,6 +314,59 @@ def q_importance_totals(spark, d):
     return spark.createDataFrame(rows, "model string, n_features int, total_importance double")
 
 
+def q_logistic_gradient(spark, d):
+    """Whether the training objective's derivative by each term vanishes at the fitted terms."""
+    a = artifacts(spark, d, SPEC)
+    terms = mt.linear_table(spark, a.model("Logistic Regression"))
+    slopes = mt.logistic_gradient(a.train_vectors, terms, LR_PARAMS["regParam"], SPEC.weight_col, SPEC.label)
+    return slopes.select("slot", (F.abs("gradient") < GRADIENT_BOUND).alias("at_optimum"))
+
+
+def _tree_shape(name: str) -> tuple[int, int]:
+    return (1, DT_PARAMS["maxDepth"]) if name == "Decision Tree" else (RF_PARAMS["numTrees"], RF_PARAMS["maxDepth"])
+
+
+def q_tree_recount(spark, d):
+    """Rows, weights and impurity of every node recounted from the training rows: the tree, and a forest without resampling."""
+    a = artifacts(spark, d, SPEC)
+    plain = clf.random_forest(SPEC.weight_col, bootstrap=False, numTrees=PLAIN_TREES).fit(a.train_vectors)
+    saved = mt.tree_table(spark, plain, f"{checkpoint_dir(spark).rstrip('/')}/model-{uuid.uuid4().hex}")
+    out = None
+    for name, nodes, shape in (("Decision Tree", a.nodes("Decision Tree"), _tree_shape("Decision Tree")), ("plain forest", saved, (PLAIN_TREES, RF_PARAMS["maxDepth"]))):
+        found = mt.recount_faults(mt.recount(a.train_vectors, nodes, *shape, weight=SPEC.weight_col, label=SPEC.label))
+        rows = found.select(F.lit(name).alias("model"), "tree", "leaf_rows", F.round("leaf_weight", DIGITS).alias("leaf_weight"), "wrong_rows", "wrong_weights", "wrong_impurity")
+        out = rows if out is None else out.unionByName(rows)
+    return out
+
+
+def q_node_faults(spark, d):
+    """Nodes of the fitted tree models whose children do not split what they hold, tree by tree."""
+    a = artifacts(spark, d, SPEC)
+    out = None
+    for name in clf.MODEL_ORDER[1:]:
+        rows = mt.node_faults(a.nodes(name)).select(F.lit(name).alias("model"), "tree", "wrong_split", "wrong_impurity", "wrong_gain")
+        out = rows if out is None else out.unionByName(rows)
+    return out
+
+
+def q_table_scores(spark, d):
+    """Test rows scored from the models' tables by joins, held against the models' own scores."""
+    a = artifacts(spark, d, SPEC)
+    a.fit_all()
+    out = None
+    for name in clf.MODEL_ORDER:
+        if name == "Logistic Regression":
+            mine = mt.score_linear(a.test_vectors, mt.linear_table(spark, a.model(name)), keep=(SPEC.row_key, SPEC.label))
+        else:
+            mine = mt.score_trees(a.test_vectors, a.nodes(name), *_tree_shape(name), keep=(SPEC.row_key, SPEC.label))
+        both = a.predictions(name).alias("m").join(mine.alias("t"), [SPEC.row_key, SPEC.label], "left")
+        equal = F.forall(F.zip_with("m.probability", "t.probability", lambda x, y: F.round(x, DIGITS) == F.round(y, DIGITS)), lambda x: x)
+        rows = both.select(F.lit(name).alias("model"), SPEC.row_key, SPEC.label, F.col("m.prediction").eqNullSafe(F.col("t.prediction")).alias("same_class"),
+                           F.coalesce(equal, F.lit(False)).alias("same_probability"))
+        out = rows if out is None else out.unionByName(rows)
+    return out
+
+
 def q_model_confusion(spark, d):
     return ev.confusion_by(artifacts(spark, d, SPEC).all_predictions(), "model", SPEC.label, "prediction")
 
