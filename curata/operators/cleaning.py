@@ -10,16 +10,21 @@ to one row per task before the shuffle.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import dataclass
 
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from curata.functions.blocks import block_count, with_blocks
 from curata.functions.exprs import existing
+from curata.operators.value_counts import counted_quantiles, value_counts
+from curata.sources.sinks import written_table
 from curata.spec import DEFAULT_SPEC, EncounterSpec
 
+#: Number of input rows of a row of ``CountedRows``.
+COUNT = "n_rows_"
+
 
 def _require(df: DataFrame, column: str, step: str) -> None:
     if column not in df.columns:
@@ -105,39 +110,16 @@ def exact_quantiles(df: DataFrame, columns: Sequence[str], q: float) -> dict[str
     """Exact ``percentile_disc`` of each column: the smallest value whose
     cumulative share of the non-null rows reaches q.  NaN is ignored.
 
-    Distributed: (column, value) pairs of all columns are counted in one
-    grouped aggregate (a value holding a third of the rows is one row per
-    task) that is kept while its small jobs run; the distinct values of a
-    column are cut into contiguous blocks, only block totals reach the driver,
-    and a running sum runs inside the one block that holds the target rank.
+    From one counted table of all columns (``value_counts``), kept while its small jobs run: a value
+    holding a third of the rows is one row per task.
     """
     if not columns:
         return {}
-    pairs = df.select(F.inline(F.array(*[F.struct(F.lit(i).alias("i"), F.col(c).cast("double").alias("v")) for i, c in enumerate(columns)])))
-    grouped = pairs.where(F.col("v").isNotNull() & ~F.isnan("v")).groupBy("i", "v").agg(F.count(F.lit(1)).alias("c")).persist(StorageLevel.MEMORY_AND_DISK)
+    counted = value_counts(df, columns).persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        sizes = {r["i"]: (r["n"], r["d"]) for r in grouped.groupBy("i").agg(F.sum("c").alias("n"), F.count(F.lit(1)).alias("d")).collect()}
-        return {c: _quantile(grouped.where(F.col("i") == i), *sizes[i], q) if i in sizes else None for i, c in enumerate(columns)}
+        return counted_quantiles(counted, columns, q)
     finally:
-        grouped.unpersist()
-
-
-def _quantile(grouped: DataFrame, n: int, distinct: int, q: float) -> float:
-    """The quantile of a counted column (v, c) with ``n`` rows."""
-    target, offset, inside = q * n, 0, grouped
-    blocks = block_count(distinct, minimum=1)
-    if blocks > 1:
-        blocked = with_blocks(grouped, "v", blocks)
-        totals = sorted((r["block"], r["t"]) for r in blocked.groupBy("block").agg(F.sum("c").alias("t")).collect())
-        chosen = totals[-1][0]
-        for block, total in totals:
-            if offset + total >= target:
-                chosen = block
-                break
-            offset += total
-        inside = blocked.where(F.col("block") == chosen)
-    running = F.sum("c").over(Window.orderBy("v").rowsBetween(Window.unboundedPreceding, 0))
-    return inside.withColumn("cum", F.lit(offset) + running).where(F.col("cum") >= F.lit(target)).agg(F.min("v")).first()[0]
+        counted.unpersist()
 
 
 def exact_quantile(df: DataFrame, column: str, q: float) -> float | None:
@@ -181,62 +163,113 @@ def cap_outliers(df: DataFrame, columns: Sequence[str] = ("time_in_hospital",),
     return df.withColumns(exprs)
 
 
-def clean(df: DataFrame, spec: EncounterSpec = DEFAULT_SPEC, keep_key: bool = True,
-          relative_error: float | None = None, valid_max: float | None = None, held: list[DataFrame] | None = None) -> DataFrame:
-    """C1 -> C2 -> C3 -> C4 -> C5 -> C6 -> C7 -> C8.
+@dataclass
+class CountedRows:
+    """Rows with equal values in all columns but the ids as one row, with their number and smallest key.
 
-    The null shares, the cap and the result need the rows at different stages.
-    The input is persisted while the shares are counted and the deduplicated
-    rows are made, then released; the deduplicated rows stay persisted for the
-    cap and the result.  They are added to ``held`` for the caller to
-    unpersist once the result is no longer needed.
-    """
-    source = sentinels_to_null(df, spec.sentinels).persist(StorageLevel.MEMORY_AND_DISK)
-    df = drop_sparse_columns(source, spec.sparse_threshold, protect=[spec.key] if keep_key else [])
-    df = drop_identifiers(df, spec.id_columns, key=spec.key if keep_key else None, key_alias=spec.row_key)
-    df = drop_null_critical(df, spec.critical_columns)
-    df = drop_invalid_category(df, spec.category_column, spec.invalid_category)
-    df = dedup_rows(df, spec.row_key if keep_key else None)
-    df = encode_target(df, spec.target, spec.positive_target, spec.label).persist(StorageLevel.MEMORY_AND_DISK)
-    if held is not None:
-        held.append(df)
-    out = cap_outliers(df, spec.cap_columns, spec.cap_quantile, relative_error, valid_max)
-    if not existing(df, spec.cap_columns):
-        df.count()
-    source.unpersist()
-    return out
-
-
-def cleaning_audit(df: DataFrame, spec: EncounterSpec = DEFAULT_SPEC) -> DataFrame:
-    """Rows in/out of each row-removing step of ``clean``, as four rows.
-
-    The rows are grouped once by all columns but the ids, with a count.  Null
-    shares are weighted sums over the groups, the filter steps sums of group
-    sizes, and the dedup count the number of groups left once the sparse
-    columns are gone; the input is read once.
+    Null shares, filters, duplicates and the cap all follow from this table, so the input is read and
+    shuffled once.  The table is written to the checkpoint folder: it survives lost executors, and
+    nothing stays in the executors' memory.  The cleaning and its audit can share it.
     """
-    staged = sentinels_to_null(df, spec.sentinels)
-    _require(staged, spec.category_column, "cleaning_audit")
-    columns = [c for c in staged.columns if c not in spec.id_columns]
-    groups = staged.groupBy(*columns).agg(F.count(F.lit(1)).alias("n_")).persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        total = F.sum("n_").cast("double")
-        shares = groups.agg(*[F.try_divide(F.sum(F.when(F.col(c).isNull(), F.col("n_")).otherwise(0)), total).alias(c) for c in columns]).first()
-        kept = [c for c in columns if not (shares[c] is not None and shares[c] > spec.sparse_threshold)]
-        _require(staged.select(*kept), spec.category_column, "cleaning_audit")
+
+    table: DataFrame
+    columns: list[str]
+    spec: EncounterSpec = DEFAULT_SPEC
+    keyed: bool = True
+    _kept: tuple[list[str], dict[str, int]] | None = None
+    _distinct: DataFrame | None = None
+
+    @classmethod
+    def build(cls, df: DataFrame, spec: EncounterSpec = DEFAULT_SPEC, keep_key: bool = True) -> CountedRows:
+        staged = sentinels_to_null(df, spec.sentinels)
+        columns = [c for c in staged.columns if c not in spec.id_columns]
+        keyed = keep_key and spec.key in staged.columns
+        key = [F.min(spec.key).alias(spec.row_key)] if keyed else []
+        table = staged.groupBy(*columns).agg(F.count(F.lit(1)).alias(COUNT), *key)
+        return cls(written_table(table, "counted-rows"), columns, spec, keyed)
+
+    def _valid(self, columns: Sequence[str]) -> tuple[Column, Column]:
+        """The conditions of the two filters."""
         not_null = F.lit(True)
-        for c in existing(staged.select(*kept), spec.critical_columns):
-            not_null = not_null & F.col(c).isNotNull()
-        valid = not_null & F.coalesce(F.col(spec.category_column) != F.lit(spec.invalid_category), F.lit(False))
-        size = lambda cond: F.coalesce(F.sum(F.when(cond, F.col("n_"))), F.lit(0))
-        flags = groups.agg(size(F.lit(True)).alias("n0"), size(not_null).alias("n1"), size(valid).alias("n2")).first()
-        distinct = groups.where(valid).select(*kept).distinct().count()
-    finally:
-        groups.unpersist()
-    counts = [flags["n0"], flags["n1"], flags["n2"], distinct]
-    steps = ("input", "drop_null_critical", "drop_invalid_category", "dedup_rows")
-    rows = [(i, step, counts[max(0, i - 1)], counts[i]) for i, step in enumerate(steps)]
-    return df.sparkSession.createDataFrame(rows, "step_no int, step string, rows_in bigint, rows_out bigint")
+        for c in self.spec.critical_columns:
+            if c in columns:
+                not_null = not_null & F.col(c).isNotNull()
+        return not_null, not_null & F.coalesce(F.col(self.spec.category_column) != F.lit(self.spec.invalid_category), F.lit(False))
+
+    def kept(self) -> tuple[list[str], dict[str, int]]:
+        """The columns that are not sparse, and the rows left after each filter, from one aggregate.
+
+        A critical column that turns out to be sparse is dropped and filters nothing; then the filters are counted again.
+        """
+        if self._kept is None:
+            spec = self.spec
+            n = F.col(COUNT)
+            size = lambda cond, name: F.coalesce(F.sum(F.when(cond, n)), F.lit(0)).alias(name)
+            nulls = [size(F.col(c).isNull(), f"null{i}") for i, c in enumerate(self.columns)]
+            _require_column(self.columns, spec.category_column)
+
+            def sizes(columns):
+                filled, valid = self._valid(columns)
+                return [size(F.lit(True), "input"), size(filled, "filled"), size(valid, "valid")]
+
+            row = self.table.agg(*nulls, *sizes(self.columns)).first()
+            kept = [c for i, c in enumerate(self.columns) if not row["input"] or row[f"null{i}"] / row["input"] <= spec.sparse_threshold]
+            _require_column(kept, spec.category_column)
+            if any(c in self.columns and c not in kept for c in spec.critical_columns):
+                row = self.table.agg(*sizes(kept)).first()
+            self._kept = kept, {c: row[c] for c in ("input", "filled", "valid")}
+        return self._kept
+
+    def distinct(self) -> DataFrame:
+        """The valid rows without duplicates, in the kept columns; grouped again only if a column was dropped."""
+        if self._distinct is None:
+            kept = self.kept()[0]
+            valid = self.table.where(self._valid(kept)[1])
+            key = [self.spec.row_key] if self.keyed else []
+            if len(kept) == len(self.columns):
+                self._distinct = valid.select(*key, *kept)
+            else:
+                least = [F.min(self.spec.row_key).alias(self.spec.row_key)] if self.keyed else [F.count(F.lit(1)).alias(COUNT)]
+                self._distinct = written_table(valid.groupBy(*kept).agg(*least).select(*key, *kept), "distinct-rows")
+        return self._distinct
+
+    def clean(self, order: Sequence[str], relative_error: float | None = None, valid_max: float | None = None) -> DataFrame:
+        """C10 from the table; ``order`` gives the columns' order."""
+        spec = self.spec
+        rows = self.distinct()
+        rows = rows.select(*[c for c in order if c in rows.columns])
+        rows = encode_target(rows, spec.target, spec.positive_target, spec.label)
+        return cap_outliers(rows, spec.cap_columns, spec.cap_quantile, relative_error, valid_max)
+
+    def audit(self) -> DataFrame:
+        """C9 from the table."""
+        sizes = self.kept()[1]
+        counts = [sizes["input"], sizes["filled"], sizes["valid"], self.distinct().count()]
+        steps = ("input", "drop_null_critical", "drop_invalid_category", "dedup_rows")
+        rows = [(i, step, counts[max(0, i - 1)], counts[i]) for i, step in enumerate(steps)]
+        return self.table.sparkSession.createDataFrame(rows, "step_no int, step string, rows_in bigint, rows_out bigint")
+
+
+def _require_column(columns: Sequence[str], column: str) -> None:
+    if column not in columns:
+        raise ValueError(f"cleaning: column '{column}' is not in the table (was it dropped as sparse?)")
+
+
+def clean(df: DataFrame, spec: EncounterSpec = DEFAULT_SPEC, keep_key: bool = True, relative_error: float | None = None,
+          valid_max: float | None = None, held: list[DataFrame] | None = None, counted: CountedRows | None = None) -> DataFrame:
+    """C1 -> C2 -> C3 -> C4 -> C5 -> C6 -> C7 -> C8, all from one table of counted rows.
+
+    ``counted`` is that table, if it has been made already.  Nothing is persisted, so nothing is added
+    to ``held``, the list of tables that the caller has to release.
+    """
+    counted = counted or CountedRows.build(df, spec, keep_key)
+    order = [spec.row_key if c == spec.key else c for c in df.columns]
+    return counted.clean(order, relative_error, valid_max)
+
+
+def cleaning_audit(df: DataFrame, spec: EncounterSpec = DEFAULT_SPEC, counted: CountedRows | None = None) -> DataFrame:
+    """Rows in/out of each row-removing step of ``clean``, as four rows, from the table that ``clean`` uses."""
+    return (counted or CountedRows.build(df, spec)).audit()
 
 
 def range_audit(df: DataFrame, limits: Sequence[tuple[str, float]]) -> DataFrame:

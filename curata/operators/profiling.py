@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from curata.functions.exprs import existing, is_missing
+from curata.sources.sinks import written_table
 from curata.spec import SENTINELS, SPARSE_THRESHOLD
 
 
@@ -112,29 +113,67 @@ def histogram(df: DataFrame, columns: Sequence[str], bins: int = 30) -> DataFram
     return counts.select("column_name", "bin", edge(F.col("bin")).alias("bin_lo"), edge(F.col("bin") + 1).alias("bin_hi"), "n").orderBy("column_name", "bin")
 
 
+def pattern_moments(df: DataFrame, columns: Sequence[str], centres: Sequence[float] | None = None) -> DataFrame:
+    """Sums of the columns and of their products by null pattern: (p, n, s0.., q0_0..).
+
+    Bit i of ``p`` says whether column i is there (NaN is not), ``si`` are the sums of the columns and ``qi_j`` those
+    of the products of columns i <= j, both of differences to ``centres`` (default 0).  Rows without a gap are one
+    group with one set of sums; there are as many groups as null patterns in the data.
+    """
+    name = lambda c: "`" + c.replace("`", "``") + "`"
+    k = len(columns)
+    centres = [0.0] * k if centres is None else [float(c) for c in centres]
+    values = df.select(*[F.nanvl(F.col(name(c)).cast("double"), F.lit(None).cast("double")).alias(f"v{i}") for i, c in enumerate(columns)])
+    pattern = " + ".join(f"IF(v{i} IS NULL, 0L, {1 << i}L)" for i in range(k))
+    moved = values.select(F.expr(pattern).alias("p"), *[F.coalesce(F.col(f"v{i}") - F.lit(x) if x else F.col(f"v{i}"), F.lit(0.0)).alias(f"d{i}") for i, x in enumerate(centres)])
+    return moved.groupBy("p").agg(F.count(F.lit(1)).alias("n"), *[F.sum(f"d{i}").alias(f"s{i}") for i in range(k)],
+                                  *[F.expr(f"sum(d{i} * d{j}) AS q{i}_{j}") for i in range(k) for j in range(i, k)])
+
+
+#: A column whose variance is below this share of its mean square is summed again around its mean.
+SMALL_SPREAD = 1e-6
+
+
+def _centred_moments(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """Moments around 0, written once; a second pass around the means runs only if a column's spread is small beside its mean."""
+    moments = written_table(pattern_moments(df, columns), "moments")
+    sums = []
+    for i in range(len(columns)):
+        there = F.col("p").bitwiseAND(F.lit(1 << i).cast("long")) != 0
+        sums += [F.sum(F.when(there, F.col("n"))).alias(f"n{i}"), F.sum(f"s{i}").alias(f"s{i}"), F.sum(f"q{i}_{i}").alias(f"q{i}")]
+    row = moments.agg(*sums).first()
+    means = [row[f"s{i}"] / row[f"n{i}"] if row[f"n{i}"] else 0.0 for i in range(len(columns))]
+    narrow = [row[f"n{i}"] and row[f"q{i}"] / row[f"n{i}"] - m * m < SMALL_SPREAD * m * m for i, m in enumerate(means)]
+    return written_table(pattern_moments(df, columns, means), "moments") if any(narrow) else moments
+
+
 def correlations(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Pearson correlation of every pair, pairwise-complete, in long form.
 
-    One global aggregate holds the central moments of every pair (i <= j) over
-    the rows in which both values are present; its one row is unpivoted and
-    mirrored.  No row is made per pair and input row.  A constant column gives
-    NULL (``F.corr`` would raise a division by zero under ANSI mode).  Without
-    a matching column the result is empty.
+    One grouped aggregate makes the moments of every null pattern (``pattern_moments``); a pair's
+    moments are the sums over the patterns that have both.  The columns are few: a pattern is a number of 63 bits.  A constant column gives NULL (``F.corr``
+    would raise a division by zero under ANSI mode).  Without a matching column the result is empty.
     """
     cols = existing(df, columns)
     if not cols:
         return df.sparkSession.createDataFrame([], "col_a string, col_b string, corr double")
-    name = lambda c: "`" + c.replace("`", "``") + "`"
-    values = df.select(*[F.when(~F.isnan(F.col(name(c)).cast("double")), F.col(name(c)).cast("double")).alias(f"v{i}") for i, c in enumerate(cols)])
-    aggs, pairs = [], []
-    for i in range(len(cols)):
-        for j in range(i, len(cols)):
-            x = f"CASE WHEN v{j} IS NOT NULL THEN v{i} END" if i != j else f"v{i}"
-            y = f"CASE WHEN v{i} IS NOT NULL THEN v{j} END" if i != j else f"v{j}"
-            aggs.append(F.expr(f"covar_pop({x}, {y}) / nullif(stddev_pop({x}) * stddev_pop({y}), 0D) AS r{i}_{j}"))
-            pairs += [(cols[i], cols[j], f"r{i}_{j}")] + ([(cols[j], cols[i], f"r{i}_{j}")] if i != j else [])
-    entries = [F.struct(F.lit(a).alias("col_a"), F.lit(b).alias("col_b"), F.col(r).alias("corr")) for a, b, r in pairs]
-    return values.agg(*aggs).select(F.inline(F.array(*entries)))
+    k = len(cols)
+    moments = _centred_moments(df, cols)
+    pairs = [(i, j) for i in range(k) for j in range(i, k)]
+    entries = [F.struct(F.lit(i).alias("i"), F.lit(j).alias("j"), F.lit((1 << i) | (1 << j)).cast("long").alias("both"), F.col(f"s{i}").alias("si"), F.col(f"s{j}").alias("sj"),
+                        F.col(f"q{i}_{i}").alias("qi"), F.col(f"q{j}_{j}").alias("qj"), F.col(f"q{i}_{j}").alias("qij")) for i, j in pairs]
+    long = moments.select("p", "n", F.inline(F.array(*entries)))
+    sums = long.groupBy("i", "j").agg(*[F.sum(F.when(F.col("p").bitwiseAND(F.col("both")) == F.col("both"), F.col(c))).alias(c) for c in ("n", "si", "sj", "qi", "qj", "qij")])
+    spread = lambda q, x, y: F.col(q) - F.col(x) * F.col(y) / F.col("n")
+    rounding = F.lit(1e-12)
+    flat = lambda q, s: spread(q, s, s) <= rounding * F.col(q)
+    r = F.when(flat("qi", "si") | flat("qj", "sj"), F.lit(None).cast("double")).when(F.col("i") == F.col("j"), F.lit(1.0)).otherwise(
+        spread("qij", "si", "sj") / F.sqrt(spread("qi", "si", "si") * spread("qj", "sj", "sj")))
+    names = F.array(*[F.lit(c) for c in cols])
+    found = sums.select(F.get(names, F.col("i")).alias("a"), F.get(names, F.col("j")).alias("b"), r.alias("corr"))
+    both = F.when(F.col("a") == F.col("b"), F.array(F.struct(F.col("a").alias("col_a"), F.col("b").alias("col_b")))).otherwise(
+        F.array(F.struct(F.col("a").alias("col_a"), F.col("b").alias("col_b")), F.struct(F.col("b").alias("col_a"), F.col("a").alias("col_b"))))
+    return found.select("corr", F.inline(both)).select("col_a", "col_b", "corr")
 
 
 def correlation_heatmap(df: DataFrame, columns: Sequence[str], digits: int = 2) -> DataFrame:

@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from curata.operators import classifiers as clf
-from curata.operators.cleaning import clean
+from curata.operators.cleaning import CountedRows, clean
 from curata.operators.evaluation import evaluate
 from curata.operators.faults import inject_faults
 from curata.operators.features import engineer_features
@@ -33,12 +33,14 @@ from curata.spec import DEFAULT_SPEC, VALID_MAX, EncounterSpec
 
 
 def prepared_table(spark: SparkSession, sf_dir: str, spec: EncounterSpec = DEFAULT_SPEC, faults: bool = True,
-                   valid_max: float | None = None, held: list[DataFrame] | None = None) -> DataFrame:
+                   valid_max: float | None = None, counted: CountedRows | None = None) -> DataFrame:
     """encounters -> (faults) -> clean -> features."""
+    return engineer_features(clean(source_table(spark, sf_dir, spec, faults), spec, valid_max=valid_max, counted=counted))
+
+
+def source_table(spark: SparkSession, sf_dir: str, spec: EncounterSpec = DEFAULT_SPEC, faults: bool = True) -> DataFrame:
     df = encounters(spark, sf_dir)
-    if faults:
-        df = inject_faults(df, spec)
-    return engineer_features(clean(df, spec, valid_max=valid_max, held=held))
+    return inject_faults(df, spec) if faults else df
 
 
 class Artifacts:
@@ -64,13 +66,17 @@ class Artifacts:
             df.unpersist()
         self._held.clear()
         self._preds.clear()
-        for name in ("prepared", "tagged", "weighted_train", "transformed", "vectors"):
+        for name in ("counted", "prepared", "tagged", "weighted_train", "transformed", "vectors"):
             self.__dict__.pop(name, None)
 
+    @cached_property
+    def counted(self) -> CountedRows:
+        """The counted rows that cleaning and its audit share; written, not persisted."""
+        return CountedRows.build(source_table(self.spark, self.sf_dir, self.spec, self.faults), self.spec)
+
     @cached_property
     def prepared(self) -> DataFrame:
-        """``clean`` reads its input once and leaves the deduplicated rows persisted."""
-        return prepared_table(self.spark, self.sf_dir, self.spec, self.faults, self.valid_max, self._held)
+        return self._keep(prepared_table(self.spark, self.sf_dir, self.spec, self.faults, self.valid_max, self.counted))
 
     @cached_property
     def tagged(self) -> DataFrame:

@@ -339,6 +339,15 @@ ORACLES: dict[str, str] = {
     "age_distribution": W() + "SELECT age, COUNT(*) AS n FROM encounters GROUP BY age",
     "missing_rate": _missing_sql(),
     "numeric_histogram": _hist_sql(),
+    "histogram_by_rows": _hist_sql(),
+    "column_quantiles": W() + " UNION ALL ".join(
+        f"SELECT '{c}' AS column_name, " + ", ".join(f"quantile_disc({c}, {q}){D} AS q{round(100 * q)}" for q in (0.25, 0.5, 0.75)) + " FROM encounters" for c in HISTOGRAM_COLUMNS),
+    "value_ranks": W() + (
+        "SELECT value, n, CAST(ROW_NUMBER() OVER (ORDER BY n DESC, value) - 1 AS BIGINT) AS rank FROM "
+        "(SELECT CAST(patient_nbr AS VARCHAR) AS value, COUNT(*) AS n FROM encounters GROUP BY ALL)"),
+    "index_by_ranks": W("kept AS (SELECT encounter_id, CASE WHEN patient_nbr % 2 = 0 THEN CAST(patient_nbr AS VARCHAR) END AS patient FROM encounters)",
+                        "ranks AS (SELECT patient, ROW_NUMBER() OVER (ORDER BY COUNT(*) DESC, patient) - 1 AS rank FROM kept WHERE patient IS NOT NULL GROUP BY patient)") + (
+        "SELECT encounter_id, kept.patient, CAST(COALESCE(rank, (SELECT COUNT(*) FROM ranks)) AS DOUBLE) AS patient_idx FROM kept LEFT JOIN ranks ON kept.patient = ranks.patient"),
     "correlation_matrix": _corr_long_sql(),
     "correlation_heatmap": _corr_wide_sql(),
     "inject_nulls": W() + f"SELECT * REPLACE ({AGE_NULL} AS age) FROM encounters",

@@ -23,12 +23,14 @@ from curata.operators import faults as fx
 from curata.operators import features as ft
 from curata.operators import model_tables as mt
 from curata.operators import profiling as pf
+from curata.operators import value_counts as vc
 from curata.operators.curve import curve_rows, learning_curve
 from curata.operators.sampling import tag_split
 from curata.plans.artifacts import artifacts, prepared_table, resilience
 from curata.session import checkpoint_dir
 from curata.sources.encounters import encounters
 from curata.sources.files import read_csv, source_profile, try_cast_columns
+from curata.sources.sinks import written_table
 from curata.sources.tables import load_table
 from curata.spec import DEFAULT_SPEC as SPEC, DT_PARAMS, LR_PARAMS, RF_PARAMS, VALID_MAX
 
@@ -37,6 +39,7 @@ DIGITS = 6
 #: The largest derivative that counts as vanished, and the trees of the forest that is recounted.
 GRADIENT_BOUND = 1e-4
 PLAIN_TREES = 10
+QUARTILES = (0.25, 0.5, 0.75)
 
 
 def _round_doubles(df: DataFrame, digits: int = DIGITS) -> DataFrame:
@@ -101,9 +104,33 @@ def q_missing_rate(spark, d):
 
 
 def q_numeric_histogram(spark, d):
+    counted = written_table(vc.value_counts(encounters(spark, d), SPEC.histogram_columns), "value-counts")
+    return _round_doubles(vc.counted_histogram(counted, SPEC.histogram_columns, SPEC.histogram_bins))
+
+
+def q_histogram_by_rows(spark, d):
+    """The same histogram without a counted table, for columns whose values do not repeat."""
     return _round_doubles(pf.histogram(encounters(spark, d), SPEC.histogram_columns, SPEC.histogram_bins))
 
 
+def q_column_quantiles(spark, d):
+    """Exact quartiles of the histogram's columns from one counted table."""
+    counted = written_table(vc.value_counts(encounters(spark, d), SPEC.histogram_columns), "value-counts")
+    rows = [(c, *(vc.counted_quantiles(counted, [*SPEC.histogram_columns], q)[c] for q in QUARTILES)) for c in SPEC.histogram_columns]
+    return spark.createDataFrame(rows, "column_name string, " + ", ".join(f"q{round(100 * q)} double" for q in QUARTILES))
+
+
+def q_value_ranks(spark, d):
+    """Every customer's number of orders as a dictionary: ranks by falling count, ties in text order."""
+    return vc.value_ranks(encounters(spark, d).select(F.col("patient_nbr").cast("string").alias("patient")), "patient")
+
+
+def q_index_by_ranks(spark, d):
+    """The dictionary joined back: the index of each encounter's patient, odd patients taken as NULL."""
+    rows = encounters(spark, d).select("encounter_id", F.when(F.col("patient_nbr") % 2 == 0, F.col("patient_nbr").cast("string")).alias("patient"))
+    return vc.index_by_ranks(rows, "patient", vc.value_ranks(rows, "patient"), "patient_idx")
+
+
 def q_correlation_matrix(spark, d):
     return _round_doubles(pf.correlations(encounters(spark, d), SPEC.correlation_columns))
 
@@ -179,11 +206,11 @@ def q_cap_outliers(spark, d):
 
 
 def q_cleaning_audit(spark, d):
-    return cl.cleaning_audit(_faulted(spark, d), SPEC)
+    return cl.cleaning_audit(_faulted(spark, d), SPEC, artifacts(spark, d, SPEC).counted)
 
 
 def q_clean_pipeline(spark, d):
-    return cl.clean(_faulted(spark, d), SPEC)
+    return cl.clean(_faulted(spark, d), SPEC, counted=artifacts(spark, d, SPEC).counted)
 
 
 # --- F: features ------------------------------------------------------------
