@@ -19,7 +19,7 @@ columns of the input are not read.
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from functools import lru_cache
 from itertools import chain
 
@@ -32,8 +32,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 MARK = "▁"
-#: Chunks whose encoding a worker remembers; beyond it the table starts anew.
-CHUNKS_KEPT = 400_000
+#: Chunks whose encoding a worker remembers, in two generations: what is used again outlives the older one.
+CHUNKS_KEPT = 800_000
 PAIRS_KEPT = 1_000_000
 _UNKNOWN = -1
 
@@ -59,6 +59,7 @@ class PrefixTableEncoder:
         #: A line break that is in no longer piece stands alone.
         self.lone_break = not any("\n" in p and p != "\n" for p in self.id_of)
         self.kept: dict[str, list[int]] = {}
+        self.older: dict[str, list[int]] = {}
 
     def merged(self, text: str) -> list[str]:
         """Greedy merging of a short text: best score first, leftmost of equals."""
@@ -74,52 +75,56 @@ class PrefixTableEncoder:
             parts[at:at + 2] = [parts[at] + parts[at + 1]]
 
     def compatible(self, a: int, b: int) -> bool:
-        """Whether piece ``b`` can follow piece ``a`` in an encoding."""
-        found = self.pairs.get((a, b))
-        if found is None:
-            if len(self.pairs) >= PAIRS_KEPT:
-                self.pairs.clear()
-            x, y = self.piece[a], self.piece[b]
-            found = self.pairs[a, b] = self.merged(x + y) == [x, y]
+        """Whether piece ``b`` can follow piece ``a`` in an encoding; for no piece ``a``, whether it can stand first,
+        as it does if merging its own characters gives it."""
+        if len(self.pairs) >= PAIRS_KEPT:
+            self.pairs.clear()
+        x, y = ([self.piece[a]] if a != _UNKNOWN else []), self.piece[b]
+        found = self.pairs[a, b] = self.merged("".join(x) + y) == [*x, y]
         return found
 
-    def whole(self, token: int) -> bool:
-        """Whether merging the piece's own characters gives the piece: it can stand first."""
-        found = self.pairs.get((token, _UNKNOWN))
-        if found is None:
-            p = self.piece[token]
-            found = self.pairs[token, _UNKNOWN] = self.merged(p) == [p]
-        return found
+    def encode_chunks(self, texts: Iterable[str]) -> Iterator[tuple[str, list[int]]]:
+        """Each text, whose blanks are already marks, with its ids.
+
+        The texts are taken in order: the table of last pieces depends on the prefix alone, so the entries of
+        the prefix that a text shares with the one before it still hold.
+        """
+        last: list[int] = []         # last piece of the prefix that ends here
+        length: list[int] = []
+        before = ""
+        pairs, matches = self.pairs, self.automaton.iter
+        for text in sorted(texts):
+            same = 0
+            for x, y in zip(before, text):
+                if x != y:
+                    break
+                same += 1
+            del last[same:], length[same:]
+            last += [_UNKNOWN] * (len(text) - same)
+            length += [1] * (len(text) - same)
+            for end, (size, token) in matches(text):
+                if end < same or last[end] != _UNKNOWN:
+                    continue
+                left = last[end - size] if end >= size else _UNKNOWN
+                fits = pairs.get((left, token))
+                if self.compatible(left, token) if fits is None else fits:
+                    last[end], length[end] = token, size
+            ids: list[int] = []
+            end = len(text) - 1
+            while end >= 0:
+                token = last[end]
+                if token == _UNKNOWN:
+                    ids.extend(self.byte_id[b] for b in reversed(text[end].encode("utf-8", "replace")))
+                else:
+                    ids.append(token)
+                end -= length[end]
+            ids.reverse()
+            before = text
+            yield text, ids
 
     def encode_chunk(self, text: str) -> list[int]:
         """Ids of a text whose blanks are already marks."""
-        n = len(text)
-        last = [_UNKNOWN] * n        # last piece of the prefix that ends here
-        length = [1] * n
-        ends: list[list[tuple[int, int]] | None] = [None] * n
-        for end, match in self.automaton.iter(text):
-            if ends[end] is None:
-                ends[end] = [match]
-            else:
-                ends[end].append(match)
-        compatible = self.compatible
-        for end in range(n):
-            for size, token in ends[end] or ():
-                before = last[end - size] if end >= size else _UNKNOWN
-                if self.whole(token) if before == _UNKNOWN else compatible(before, token):
-                    last[end], length[end] = token, size
-                    break
-        ids: list[int] = []
-        end = n - 1
-        while end >= 0:
-            token = last[end]
-            if token == _UNKNOWN:
-                ids.extend(self.byte_id[b] for b in reversed(text[end].encode("utf-8", "replace")))
-            else:
-                ids.append(token)
-            end -= length[end]
-        ids.reverse()
-        return ids
+        return next(self.encode_chunks([text]))[1] if text else []
 
     def chunks(self, text: str) -> list[str]:
         """The marked text, cut where no merge can cross."""
@@ -130,20 +135,23 @@ class PrefixTableEncoder:
         marked = MARK + text.replace(" ", MARK)
         return re.findall(f"{MARK}+[^{MARK}]*|[^{MARK}]+", marked)
 
+    def encode_batch(self, texts: list[str | None]) -> list[list[int]]:
+        """Ids of each text; chunks seen before are not encoded again while they are kept."""
+        cut = [self.chunks(t) if t else [] for t in texts]
+        if len(self.kept) > CHUNKS_KEPT // 2:
+            self.older, self.kept = self.kept, {}
+        kept, older = self.kept, self.older
+        missing = set().union(*cut) - kept.keys()
+        known = missing & older.keys()
+        kept.update((c, older[c]) for c in known)
+        kept.update(self.encode_chunks(missing - known))
+        out = [list(chain.from_iterable(map(kept.__getitem__, x))) for x in cut]
+        for c in [c for c in missing if len(c) > 64]:
+            del kept[c]
+        return out
+
     def encode(self, text: str | None) -> list[int]:
-        if not text:
-            return []
-        return list(chain.from_iterable(map(self._chunk, self.chunks(text))))
-
-    def _chunk(self, chunk: str) -> list[int]:
-        ids = self.kept.get(chunk)
-        if ids is None:
-            if len(self.kept) >= CHUNKS_KEPT:
-                self.kept.clear()
-            ids = self.encode_chunk(chunk)
-            if len(chunk) <= 64:
-                self.kept[chunk] = ids
-        return ids
+        return self.encode_batch([text])[0]
 
     def decode(self, ids: list[int]) -> str:
         return self.processor.decode(ids)
@@ -166,7 +174,7 @@ def encode_documents(docs: DataFrame, model_file: str, text: str = "text", key:
         for batch in batches:
             for start in range(0, batch.num_rows, 1000):
                 part = batch.slice(start, 1000)
-                ids = [coder.encode(t.as_py()) for t in part.column("text")]
+                ids = coder.encode_batch(part.column("text").to_pylist())
                 decoded = [coder.decode(x) for x in ids]
                 yield pa.RecordBatch.from_arrays([part.column("key"), pa.array(ids, pa.list_(pa.int32())), pa.array(decoded, pa.string())],
                                                  [key, "ids", "decoded"])
