@@ -120,3 +120,54 @@ FROM hits q JOIN hits a ON a.r = q.r AND a.item_id = q.item_id AND q.part = 'q'
 JOIN sizes sq ON sq.item_id = q.item_id AND sq.part = 'q' JOIN sizes sa ON sa.item_id = q.item_id AND sa.part = 'a' JOIN doc_words d ON d.r = q.r
 WHERE 100 * q.n >= 75 * sq.n AND 100 * a.n >= 75 * sa.n
 """
+
+
+def _recorded(value: str) -> str:
+    return f"CASE WHEN {value} IS NULL THEN '-' ELSE strlen(CAST({value} AS VARCHAR)) || ':' || CAST({value} AS VARCHAR) END"
+
+
+def _leaf(text: str) -> str:
+    return "sha256(" + " || ".join(_recorded(c) for c in ("doc_id", "source", "lang", "n_chars", text)) + ")"
+
+
+def _levels(name: str, base: str) -> str:
+    """Recursive levels (tree, level, pos, digest, n) over ``base`` (tree, pos, digest, n): runs of three until one node is left."""
+    return f"""{name} AS (
+  SELECT tree, 0 AS level, pos, digest, n FROM {base}
+  UNION ALL
+  SELECT tree, level + 1, pos // 3, sha256(string_agg(digest, '' ORDER BY pos)), (n + 2) // 3 FROM {name} WHERE n > 1 GROUP BY tree, level, pos // 3, n),
+{name}_sides AS (
+  SELECT tree, level, pos, coalesce(lag(digest, 2) OVER run, '') || coalesce(lag(digest) OVER run, '') AS l, coalesce(lead(digest) OVER run, '') || coalesce(lead(digest, 2) OVER run, '') AS r
+  FROM {name} WHERE n > 1 WINDOW run AS (PARTITION BY tree, level, pos // 3 ORDER BY pos))"""
+
+
+#: crc32 by its table of 256 remainders, made from the polynomial.
+_CRC_TABLE = """crc_table AS (SELECT list_transform(range(256), lambda x:
+  list_reduce(list_prepend(x, range(8)), lambda c, i: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END)) AS t)"""
+_CRC = """xor(list_reduce(list_prepend(CAST(4294967295 AS BIGINT), list_transform(string_split(CAST(doc_id AS VARCHAR), ''), lambda c: CAST(ord(c) AS BIGINT))),
+  lambda c, b: xor(c >> 8, t[xor(c & 255, b) + 1])), 4294967295)"""
+
+MERKLE = f"""
+WITH RECURSIVE {_CRC_TABLE},
+hashed AS (
+  SELECT doc_id, CASE WHEN source IS NULL THEN '' ELSE 's' || source END AS tree, {_leaf("text")} AS leaf,
+         CASE WHEN doc_id IS NOT NULL AND {_CRC} % 2 = 0 THEN {_leaf("replace(text, chr(10), '')")} END AS altered
+  FROM documents, crc_table),
+leaves AS (
+  SELECT *, row_number() OVER (PARTITION BY tree ORDER BY doc_id NULLS FIRST, leaf) - 1 AS pos, count(*) OVER (PARTITION BY tree) AS n FROM hashed),
+base AS (SELECT tree, pos, leaf AS digest, n FROM leaves),
+{_levels("nodes", "base")},
+subroots AS (SELECT tree AS source_key, digest, row_number() OVER (ORDER BY tree) - 1 AS pos, count(*) OVER () AS n FROM nodes WHERE n = 1),
+top_base AS (SELECT 0 AS tree, pos, digest, n FROM subroots),
+{_levels("tops", "top_base")},
+steps AS (
+  SELECT d.doc_id, d.leaf, d.tree, d.pos, 0 AS part, x.level, x.l, x.r FROM leaves d JOIN nodes_sides x ON x.tree = d.tree AND x.pos = d.pos // CAST(pow(3, x.level) AS BIGINT)
+  UNION ALL
+  SELECT d.doc_id, d.leaf, d.tree, d.pos, 1, x.level, x.l, x.r FROM leaves d JOIN subroots s ON s.source_key = d.tree
+  JOIN tops_sides x ON x.pos = s.pos // CAST(pow(3, x.level) AS BIGINT)),
+paths AS (SELECT tree, pos, list({{'l': l, 'r': r}} ORDER BY part, level) AS path, string_agg(l || r, '' ORDER BY part, level) AS proof FROM steps GROUP BY tree, pos),
+folded AS (
+  SELECT d.doc_id, d.leaf, s.digest AS subroot, t.digest AS root, sha256(coalesce(p.proof, '')) AS proof_sha256,
+         list_reduce(list_prepend({{'l': coalesce(d.altered, d.leaf), 'r': ''}}, coalesce(p.path, [])), lambda a, x: {{'l': sha256(x.l || a.l || x.r), 'r': ''}}).l AS folded_root
+  FROM leaves d JOIN subroots s ON s.source_key = d.tree CROSS JOIN (SELECT digest FROM tops WHERE n = 1) t LEFT JOIN paths p ON p.tree = d.tree AND p.pos = d.pos)
+SELECT *, folded_root = root AS verified FROM folded"""

@@ -10,7 +10,7 @@ from curata.llm import (
     blob_ledger, decontamination, language_id, merkle_manifest, near_duplicates, personal_data, piece_bpe, projected_search, site_style, token_alignment,
     token_counts, token_files, toxicity)
 from curata.llm.common import keyed_bucket, shared_path, table
-from curata.llm.oracles import LEAKS, NEAR_DUPLICATES, PERSONAL_DATA, SECRETS
+from curata.llm.oracles import LEAKS, MERKLE, NEAR_DUPLICATES, PERSONAL_DATA, SECRETS
 from curata.llm.spans import joined
 
 
@@ -129,4 +129,5 @@ ORACLES: dict[str, str] = {
     "op4_personal_data": PERSONAL_DATA,
     "op8_near_duplicates": NEAR_DUPLICATES,
     "op9_secret_scan": SECRETS,
+    "op12_merkle_manifest": MERKLE,
 }
