@@ -297,7 +297,26 @@ def _rule_board_sql() -> str:
 _FLAT = ", ".join(f"CASE WHEN encounter_id IS NULL THEN NULL ELSE {c} END AS {c}"
                   for c in STRING_COLUMNS if c != "age")
 
+def _types_sql() -> str:
+    """Counts of fields by the patterns of numbers; the other columns of this table are text."""
+    numbers = {"num_medications": "CASE WHEN encounter_id % 7 = 0 THEN '?' ELSE CAST(num_medications AS VARCHAR) END",
+               "number_diagnoses": "CASE WHEN encounter_id % 100 = 0 THEN 'n' || (encounter_id % 3) ELSE CAST(number_diagnoses AS VARCHAR) END"}
+    fields = " UNION ALL ".join(f"SELECT '{c}' AS column_name, {numbers.get(c, f'CAST({c} AS VARCHAR)')} AS field FROM faulted" for c, _ in ENC_COLUMNS)
+    return W(FAULTED, f"fields AS (SELECT *, (field IS NULL OR field IN ('', '?')) AS missing FROM ({fields}))",
+             "counts AS (SELECT column_name, COUNT(*) FILTER (WHERE NOT missing) AS n_values, COUNT(*) FILTER (WHERE missing) AS n_missing, "
+             "COUNT(*) FILTER (WHERE NOT missing AND regexp_matches(field, '^[+-]?[0-9]{1,18}$')) AS n_bigint, "
+             "COUNT(*) FILTER (WHERE NOT missing AND regexp_matches(field, '^[+-]?([0-9]+([.][0-9]*)?|[.][0-9]+)([eE][+-]?[0-9]{1,3})?$')) AS n_double "
+             "FROM fields GROUP BY column_name)",
+             "typed AS (SELECT *, CASE WHEN n_values = 0 THEN 'string' WHEN n_values - n_bigint <= n_values * 0.02" + D + " THEN 'bigint' "
+             "WHEN n_values - n_double <= n_values * 0.02" + D + " THEN 'double' ELSE 'string' END AS type FROM counts)")
+
+
 ORACLES: dict[str, str] = {
+    "inferred_types": _types_sql() + (
+        "SELECT *, CASE type WHEN 'bigint' THEN n_values - n_bigint WHEN 'double' THEN n_values - n_double ELSE 0 END AS n_bad FROM typed"),
+    "bad_fields": _types_sql() + (
+        "SELECT f.column_name, f.field, COUNT(*) AS n FROM fields f JOIN typed t ON t.column_name = f.column_name AND t.type = 'bigint' "
+        "WHERE NOT f.missing AND NOT regexp_matches(f.field, '^[+-]?[0-9]{1,18}$') GROUP BY ALL"),
     "scan_encounters": W() + "SELECT * FROM encounters",
     "source_profile": W() + ("SELECT (SELECT COUNT(*) FROM encounters) AS n_rows, CAST(COUNT(DISTINCT name) AS INT) AS n_cols FROM "
                              "(SELECT COLUMNS(*)::VARCHAR FROM encounters LIMIT 1) UNPIVOT INCLUDE NULLS (v FOR name IN (COLUMNS(*)))"),

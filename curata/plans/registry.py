@@ -30,6 +30,7 @@ from curata.plans.artifacts import artifacts, prepared_table, resilience
 from curata.session import checkpoint_dir
 from curata.sources.encounters import encounters
 from curata.sources.files import read_csv, source_profile, try_cast_columns
+from curata.sources.inference import bad_fields, infer_types, type_table
 from curata.sources.sinks import written_table
 from curata.sources.tables import load_table
 from curata.spec import DEFAULT_SPEC as SPEC, DT_PARAMS, LR_PARAMS, RF_PARAMS, VALID_MAX
@@ -40,6 +41,7 @@ DIGITS = 6
 GRADIENT_BOUND = 1e-4
 PLAIN_TREES = 10
 QUARTILES = (0.25, 0.5, 0.75)
+BAD_SHARE = 0.02
 
 
 def _round_doubles(df: DataFrame, digits: int = DIGITS) -> DataFrame:
@@ -90,6 +92,26 @@ def q_csv_bad_fields(spark, d):
     return read_csv(spark, path, "o_orderkey BIGINT, value BIGINT").agg(F.count(F.lit(1)).alias("n_rows"), F.count("bad_record").alias("n_bad"), F.sum("value").alias("total"))
 
 
+def _as_text(spark, d) -> DataFrame:
+    """The faulted rows written as CSV and read as text, with sentinels in a numeric column."""
+    path = f"{checkpoint_dir(spark).rstrip('/')}/csv-{uuid.uuid4().hex}"
+    rows = _faulted(spark, d).withColumn("num_medications", F.when(F.col("encounter_id") % 7 == 0, F.lit("?")).otherwise(F.col("num_medications").cast("string")))
+    rows = rows.withColumn("number_diagnoses", F.when(F.col("encounter_id") % 100 == 0, F.concat(F.lit("n"), F.col("encounter_id") % 3)).otherwise(F.col("number_diagnoses").cast("string")))
+    rows.write.option("header", True).option("nullValue", "").csv(path)
+    return read_csv(spark, path, ", ".join(f"`{c}` STRING" for c in rows.columns), bad_record=None)
+
+
+def q_inferred_types(spark, d):
+    """Types past sentinels; a column may have one bad field in fifty."""
+    return type_table(_as_text(spark, d), sentinels=SPEC.sentinels, max_bad_share=BAD_SHARE).select("column_name", "n_values", "n_missing", "n_bigint", "n_double", "type", "n_bad")
+
+
+def q_bad_fields(spark, d):
+    """The fields that lack their column's inferred type."""
+    text = _as_text(spark, d)
+    return bad_fields(text, infer_types(text, sentinels=SPEC.sentinels, max_bad_share=BAD_SHARE), SPEC.sentinels)
+
+
 # --- P: profiling -----------------------------------------------------------
 def q_class_distribution(spark, d):
     return pf.class_distribution(encounters(spark, d), SPEC.target)
