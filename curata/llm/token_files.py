@@ -37,7 +37,7 @@ from pyspark.sql import Window
 ROW_GROUP_BYTES = 32 << 20
 PAGE_BYTES = 256 << 10
 #: Chunks whose ids a worker remembers, in two generations: what is used again outlives the older one.
-CHUNKS_KEPT = 1_100_000
+CHUNKS_KEPT = 1_600_000
 #: White space other than blank and line break, where chunk borders would need more care.
 _OTHER_SPACE = [c for c in map(chr, range(0x3001)) if c.isspace() and c not in " \n"]
 _OTHER_ASCII = [c for c in _OTHER_SPACE if c < "\x80"]
