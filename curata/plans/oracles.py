@@ -12,7 +12,7 @@ from __future__ import annotations
 from curata.functions.keyed import hash_uniform_sql as U
 from curata.operators.classifiers import MODEL_ORDER
 from curata.sources.encounters import with_encounters
-from curata.spec import AGE_BRACKETS, CATEGORICAL_COLUMNS, CORRELATION_COLUMNS, HISTOGRAM_COLUMNS, NUMERIC_COLUMNS, RF_PARAMS
+from curata.spec import AGE_BRACKETS, CATEGORICAL_COLUMNS, CORRELATION_COLUMNS, CURVE_FRACTIONS, CURVE_SAMPLE_SEED, HISTOGRAM_COLUMNS, NUMERIC_COLUMNS, RF_PARAMS
 
 D = "::DOUBLE"
 
@@ -311,7 +311,17 @@ def _types_sql() -> str:
              "WHEN n_values - n_double <= n_values * 0.02" + D + " THEN 'double' ELSE 'string' END AS type FROM counts)")
 
 
+def _curve_statistics_sql() -> str:
+    samples = " UNION ALL ".join(f"SELECT {f}{D} AS fraction, * FROM train WHERE {_lt(CURVE_SAMPLE_SEED, f, 'row_key')}" for f in CURVE_FRACTIONS)
+    labels = [f"SELECT fraction, '{c}' AS column_name, CAST(COUNT(DISTINCT {c}) AS INT) AS n_labels, CAST(NULL AS DOUBLE) AS median, CAST(NULL AS DOUBLE) AS deviation "
+              "FROM samples GROUP BY fraction" for c in CATEGORICAL_COLUMNS]
+    numbers = [f"SELECT fraction, '{c}', CAST(NULL AS INT), ROUND(ANY_VALUE(m), 6), ROUND(STDDEV_SAMP(COALESCE({c}{D}, m)), 6) FROM "
+               f"(SELECT fraction, {c}, quantile_disc({c}{D}, 0.5) OVER (PARTITION BY fraction) AS m FROM samples) GROUP BY fraction" for c in NUMERIC_COLUMNS]
+    return W(*CHAIN, PREPARED, TAGGED, TRAIN, f"samples AS ({samples})") + " UNION ALL ".join(labels + numbers)
+
+
 ORACLES: dict[str, str] = {
+    "curve_statistics": _curve_statistics_sql(),
     "inferred_types": _types_sql() + (
         "SELECT *, CASE type WHEN 'bigint' THEN n_values - n_bigint WHEN 'double' THEN n_values - n_double ELSE 0 END AS n_bad FROM typed"),
     "bad_fields": _types_sql() + (

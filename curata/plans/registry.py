@@ -25,7 +25,8 @@ from curata.operators import model_tables as mt
 from curata.operators import profiling as pf
 from curata.operators import value_counts as vc
 from curata.operators.curve import curve_rows, learning_curve
-from curata.operators.sampling import tag_split
+from curata.operators.sampling import split_by_key, tag_split
+from curata.operators.strata import curve_statistics
 from curata.plans.artifacts import artifacts, prepared_table, resilience
 from curata.session import checkpoint_dir
 from curata.sources.encounters import encounters
@@ -486,6 +487,13 @@ def q_learning_curve_rows(spark, d):
     return curve_rows(artifacts(spark, d, SPEC).prepared, key=SPEC.row_key)
 
 
+def q_curve_statistics(spark, d):
+    """What the preprocessing learns on each nested training sample, from one counted table."""
+    a = artifacts(spark, d, SPEC)
+    train = split_by_key(a.prepared, SPEC.row_key, SPEC.train_fraction, SPEC.split_seed)[0]
+    return _round_doubles(curve_statistics(train, SPEC))
+
+
 def q_learning_curve(spark, d):
     a = artifacts(spark, d, SPEC)
     rows = learning_curve(a.prepared, SPEC)
