@@ -254,7 +254,7 @@ def q_feature_flags(spark, d):
 
 
 def q_feature_table(spark, d):
-    return prepared_table(spark, d, SPEC)
+    return prepared_table(spark, d, SPEC, counted=artifacts(spark, d, SPEC).counted)
 
 
 # --- W: split and weights -----------------------------------------------------
