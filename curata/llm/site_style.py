@@ -75,9 +75,14 @@ ENDS = {**dict.fromkeys("address article aside blockquote center details dialog
         "li": ("li", "p"), "dd": ("dd", "dt", "p"), "dt": ("dd", "dt", "p"), "td": ("td", "th"), "th": ("td", "th"), "tr": ("tr", "td", "th"), "option": ("option",)}
 SCOPES = EMBEDDED | frozenset("ul ol dl table article section div main body html td th nav aside header footer form blockquote".split())
 
-_TOKEN = re.compile(r"""<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>"']++|"[^"]*"|'[^']*')*+)>|<[a-zA-Z/][^<]*+\Z|[^<]++|<""", re.S)
+_TOKEN = re.compile(r"""<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*+)((?:[^>"']++|"[^"]*"|'[^']*')*+)>|<[a-zA-Z/][^<]*+\Z|[^<]++|<""", re.S)
 _ATTRIBUTE = re.compile(r"""(class|id|role|hidden|aria-hidden|style)(?:\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+))?""", re.I)
-_EMBEDDED = re.compile(rf"<(/?)({'|'.join(sorted(EMBEDDED))})(?=[\s/>])((?:[^>\"']++|\"[^\"]*\"|'[^']*')*+)>", re.I)
+_TAIL = re.compile(r"<!--.*+|<[!?].*+|<[a-zA-Z/][^<]*+\Z|[^<]++|<", re.S)       # what follows the last ">"
+_START = re.compile(r"</?[a-zA-Z][^\s/>]*+")
+_INSIDE = re.compile(r"""(?:[^>"']++|"[^"]*"|'[^']*')*+""")
+_UNQUOTED = re.compile(r""""[^"]*"|'[^']*'|<(?=/?[a-zA-Z])""")
+_EMBEDDED = re.compile(rf"<(/?)({'|'.join(sorted(EMBEDDED))})(?=[\s/>])", re.I)
+_LESS = re.compile("<")
 _QUOTED = re.compile(r""""[^"]*"|'[^']*'""")
 _SPLIT = re.compile(r"[\s_\-:]+")
 _HOST = r"^[A-Za-z][A-Za-z0-9+.\-]*://(?:[^/@?#]*@)?([^/:?#]+)"
@@ -112,19 +117,68 @@ def _closes_itself(attributes: str) -> bool:
     return attributes.endswith("/") and not re.search(r"=\s*[^\s\"']*/$", _QUOTED.sub('""', attributes))
 
 
+def _unfinished(text: str, at: int, dead: set[int]) -> None:
+    """The tag at ``at`` has a quote that nothing closes: neither it nor a tag that starts in it outside quotes ends."""
+    name = _START.match(text, at)
+    inside = _INSIDE.match(text, name.end())
+    dead.add(at)
+    dead.update(m.start() for m in _UNQUOTED.finditer(text, name.end(), inside.end()) if m[0] == "<")
+
+
 def _left_open(text: str) -> set[int]:
     """Where the start tags of embedded elements end that no end tag closes; they hold nothing."""
     opened: dict[str, list[int]] = {}
-    for m in _EMBEDDED.finditer(text):
+    dead: set[int] = set()
+    done = 0
+    for m in _EMBEDDED.finditer(text, 0, text.rfind(">") + 1):
+        if m.start() < done or m.start() in dead:
+            continue
+        inside = _INSIDE.match(text, m.end())
+        if text[inside.end():inside.end() + 1] != ">":
+            _unfinished(text, m.start(), dead)
+            continue
+        done = inside.end() + 1
         own = opened.setdefault(m[2].lower(), [])
         if not m[1]:
-            if not _closes_itself(m[3]):
-                own.append(m.end())
+            if not _closes_itself(inside[0]):
+                own.append(done)
         elif own:
             own.pop()
     return {at for own in opened.values() for at in own}
 
 
+class Stack:
+    """Open elements (tag, node or the enclosing one's, cut), with the places of each tag, so that no search walks through them."""
+
+    def __init__(self, root: int) -> None:
+        self.items: list[tuple[str, int, bool]] = [("html", root, False)]
+        self.places: dict[str, list[int]] = {}
+        self.scopes: list[int] = []
+        self.solid: list[int] = []         # elements that are not inline
+
+    def push(self, tag: str, number: int, cut: bool) -> None:
+        k = len(self.items)
+        self.items.append((tag, number, cut))
+        self.places.setdefault(tag, []).append(k)
+        if tag in SCOPES:
+            self.scopes.append(k)
+        if tag not in INLINE:
+            self.solid.append(k)
+
+    def last(self, tag: str) -> int:
+        """The place of the innermost open element of a tag, or 0."""
+        own = self.places.get(tag)
+        return own[-1] if own else 0
+
+    def shut(self, k: int) -> None:
+        """Close the element at ``k`` and all inside it."""
+        while len(self.items) > k:
+            self.places[self.items.pop()[0]].pop()
+        for places in (self.scopes, self.solid):
+            while places and places[-1] >= k:
+                places.pop()
+
+
 class Reader:
     """Reads pages; remembers what elements of one kind mean."""
 
@@ -157,7 +211,6 @@ class Reader:
 
     def read(self, text: str | None) -> Page:
         page = Page()
-        stack: list[tuple[str, int, bool]] = [("", -1, False)]     # tag, node (or the enclosing one's), cut
         words: list[str] = []
         holder = -1
 
@@ -181,34 +234,40 @@ class Reader:
             return len(page.path) - 1
 
         root = node("html", _hash("root"), -1)
-        stack[0] = ("html", root, False)
+        stack = Stack(root)
         holder = root
         text = text or ""
-        at, end = 0, len(text)
+        at, end, last = 0, len(text), text.rfind(">")
         left_open: set[int] | None = None
+        dead: set[int] = set()             # where tags start that never end
         while at < end:
-            m = _TOKEN.match(text, at)
-            at = m.end()
-            tag = m[2]
+            if at > last:
+                m, tag = _TAIL.match(text, at), None
+            elif at in dead:
+                m, tag = _LESS.match(text, at), None
+            else:
+                m = _TOKEN.match(text, at)
+                tag = m[2]
             if tag is None:
                 piece = m[0]
+                if piece == "<" and at < last and at not in dead and _START.match(text, at):
+                    _unfinished(text, at, dead)
+                at = m.end()
                 if piece[0] != "<" or piece == "<":
-                    if not stack[-1][2]:
+                    if not stack.items[-1][2]:
                         words.append(piece)
                 continue
+            at = m.end()
             tag = tag.lower()
             if m[1]:
                 if tag not in INLINE:
                     flush()
-                for k in range(len(stack) - 1, 0, -1):
-                    if stack[k][0] == tag:
-                        if stack[k - 1][1] != holder:      # a declared inline element ends
-                            flush()
-                        del stack[k:]
-                        break
-                    if tag in INLINE and stack[k][0] not in INLINE:
-                        break
-                holder = stack[-1][1]
+                k = stack.last(tag)
+                if k and not (tag in INLINE and stack.solid and stack.solid[-1] > k):
+                    if stack.items[k - 1][1] != holder:      # a declared inline element ends
+                        flush()
+                    stack.shut(k)
+                holder = stack.items[-1][1]
                 continue
             if tag in ("html", "body"):
                 continue
@@ -219,16 +278,13 @@ class Reader:
                         continue
                 flush()
                 for name in ENDS.get(tag, ()):
-                    for k in range(len(stack) - 1, 0, -1):
-                        if stack[k][0] == name:
-                            del stack[k:]
-                            break
-                        if stack[k][0] in SCOPES:
-                            break
+                    k = stack.last(name)
+                    if k and not (stack.scopes and stack.scopes[-1] > k):
+                        stack.shut(k)
                 if tag in VOID:
-                    holder = stack[-1][1]
+                    holder = stack.items[-1][1]
                     continue
-            above, hidden = stack[-1][1], stack[-1][2]
+            _, above, hidden = stack.items[-1]
             path, cut, weak, declared, mild = self.meaning(page.path[above], tag, m[3])
             cut = hidden or cut or weak and not page.inside[above]
             declared = declared or mild and not page.inside[above]
@@ -243,12 +299,12 @@ class Reader:
                     if at in left_open:
                         continue
             if tag in INLINE and (cut or not declared):
-                stack.append((tag, above, cut))
+                stack.push(tag, above, cut)
             else:
                 if tag in INLINE:
                     flush()
                 number = above if cut else node(tag, path, above, declared)
-                stack.append((tag, number, cut))
+                stack.push(tag, number, cut)
                 holder = number
         flush()
         return page

@@ -1,6 +1,7 @@
 """What pages keep: self-closed and unclosed elements, declared containers, text inside and outside articles, templates of many hosts."""
 
 import random
+import time
 
 import pytest
 
@@ -62,3 +63,21 @@ def test_templates_of_small_hosts_do_not_depend_on_the_number_of_pages(spark, mo
     few, many = _pages(spark, rows[:12]), _pages(spark, rows)
     assert few == {i: f"body {i} of the small host" for i in range(12)}
     assert all(many[i] == few[i] for i in few) and all(many[i] == f"page {i}" for i in range(12, 300))
+
+
+@pytest.mark.parametrize("html", [
+    "<div>" * 50_000 + "</p>" * 50_000, "<svg " * 100_000, "<a " * 100_000, "<a " * 100_000 + '">', "<svg " * 100_000 + '">', "<b><div>" + "<a>" * 50_000 + "</b>" * 50_000,
+    "<li><b>" * 50_000 + "</i>" * 50_000, "<!" * 100_000, "<title>" * 100_000, "<" + "a" * 300_000, "<a '' " * 100_000 + '">', "<svg>" * 100_000,
+], ids=range(12))
+def test_broken_pages_are_read_in_linear_time(html):
+    began = time.process_time()
+    _text(html)
+    assert time.process_time() - began < 5
+
+
+@pytest.mark.parametrize("html, text", [
+    ("<p>a <b c", "a"), ("<p>1 < 2 <b>x</b>", "1 < 2 x"), ("<p>a</p><i x='<p>b</p>", "a <i x=' b"), ("<div><a></b></a>x</div></div>y", "x y"),
+    ("<ul><li>a<ul><li>b</ul><li>c</ul>d", "a b c d"), ("<p>a<table><tr><td>b</p>c<td>d</table>e", "a b c d e"),
+])
+def test_broken_markup(html, text):
+    assert _text(html) == text
