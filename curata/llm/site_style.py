@@ -23,7 +23,8 @@ over all hosts, and a path of low importance goes if none of its blocks is singl
 outside if its length times importance is at least 1 / ``OUTSIDE`` of that outside; else both stay.
 
 All statistics are grouped counts; pages are parsed twice (to count and to cut), and only hashes are
-shuffled for counting.  Of the collection-wide tree, paths of at least one page in ``COMMON`` are broadcast
+shuffled for counting.  Pages of a host with the same paths share one shape; the trees are joined to shapes, and the
+shapes' parts of them to pages by broadcast while Spark's size limit for broadcasts allows it, else by shape.  Of the collection-wide tree, paths of at least one page in ``COMMON`` are broadcast
 (at most ``COMMON`` times the paths of an average page); rarer ones are joined by path.
 
 Defined results: NULL or empty html, and pages where nothing is left, have the empty text.  Broken
@@ -34,7 +35,7 @@ A NULL or odd url has the empty host.  Repeated rows get equal results.
 from __future__ import annotations
 
 import html as entities
-import math
+import json
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass, field
@@ -100,6 +101,15 @@ class Page:
     children: list[list[int]] = field(default_factory=list)
     blocks: list[tuple[int, str]] = field(default_factory=list)
 
+    def packed(self) -> bytes:
+        """What cutting needs: all but the child sequences."""
+        return json.dumps([self.parent, self.path, self.tag, self.inside, self.declared, self.blocks], ensure_ascii=False, separators=(",", ":")).encode("utf-8", "replace")
+
+    @staticmethod
+    def unpacked(data: bytes) -> Page:
+        parent, path, tag, inside, declared, blocks = json.loads(data)
+        return Page(parent, path, tag, inside, declared, [], [(n, t) for n, t in blocks])
+
     def styles(self) -> set[tuple[int, int]]:
         return {(p, _hash(repr(c))) for p, c in zip(self.path, self.children, strict=True)}
 
@@ -385,18 +395,24 @@ def _host(url: str):
     return F.xxhash64(F.lower(F.coalesce(F.regexp_extract(F.col(url), _HOST, 1), F.lit(""))))
 
 
+def _shape(host: int, page: Page) -> int:
+    """Names a host's pages that have the same paths."""
+    return _hash(repr((host, sorted(set(page.path)))))
+
+
 def outlines(pages: DataFrame) -> DataFrame:
-    """(host, body, paths, styles, features): what a page adds to the trees, as hashes."""
-    schema = "host long, body long, paths array<long>, styles array<struct<path:long,value:long>>, features array<struct<path:long,value:long>>"
-    pair = pa.list_(pa.struct([("path", pa.int64()), ("value", pa.int64())]))
+    """(host, body, shape, style_paths, style_values, feature_paths, feature_values): what a page adds to the trees, as hashes."""
+    flat = [f"{kind}_{part}" for kind in ("style", "feature") for part in ("paths", "values")]
+    schema = ", ".join(["host long", "body long", "shape long", *[f"{c} array<long>" for c in flat]])
 
     def outline(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         reader = Reader()
         for batch in batches:
             read = [reader.read(t.as_py()) for t in batch.column("html")]
-            pairs = [pa.array([[{"path": p, "value": v} for p, v in sorted(getattr(x, name)())] for x in read], pair) for name in ("styles", "features")]
-            yield pa.RecordBatch.from_arrays([batch.column("host"), batch.column("body"), pa.array([sorted(set(x.path)) for x in read], pa.list_(pa.int64())), *pairs],
-                                             ["host", "body", "paths", "styles", "features"])
+            shapes = pa.array([_shape(h.as_py(), x) for h, x in zip(batch.column("host"), read, strict=True)], pa.int64())
+            pairs = [[sorted(getattr(x, name)()) for x in read] for name in ("styles", "features")]
+            lists = [pa.array([[e[k] for e in p] for p in kind], pa.list_(pa.int64())) for kind in pairs for k in (0, 1)]
+            yield pa.RecordBatch.from_arrays([batch.column("host"), batch.column("body"), shapes, *lists], ["host", "body", "shape", *flat])
 
     return pages.select("host", "body", "html").mapInArrow(outline, schema)
 
@@ -405,11 +421,12 @@ def style_trees(outline: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Importance by (host, path) and, over all hosts, by path: (presentation, content, styles, dull, repeated, pages).
 
     ``dull`` paths have a low content and no single block.  ``repeated`` has the blocks on at least half of the path's pages, so at most twice the blocks of one page.
+    Copies of a page are dropped as whole outlines, so entries are counted in each task before they are shuffled.
     """
-    entry = lambda kind, array: F.transform(array, lambda x: F.struct(F.lit(kind).alias("kind"), x["path"].alias("path"), x["value"].alias("value")))
-    seen = F.transform("paths", lambda p: F.struct(F.lit(2).alias("kind"), p.alias("path"), F.lit(0).cast("long").alias("value")))
-    rows = outline.select("host", "body", F.explode(F.concat(entry(0, F.col("styles")), entry(1, F.col("features")), seen)).alias("e")).select("host", "body", "e.*")
-    counts = rows.distinct().groupBy("host", "path", "kind", "value").agg(F.count("*").alias("k"))      # copies of a page count once
+    entry = lambda kind, name: F.zip_with(f"{name}_paths", f"{name}_values", lambda p, v: F.struct(F.lit(kind).alias("kind"), p.alias("path"), v.alias("value")))
+    seen = F.transform(F.array_distinct("style_paths"), lambda p: F.struct(F.lit(2).alias("kind"), p.alias("path"), F.lit(0).cast("long").alias("value")))
+    rows = outline.dropDuplicates(["host", "body"]).select("host", F.explode(F.concat(entry(0, "style"), entry(1, "feature"), seen)).alias("e")).select("host", "e.*")
+    counts = rows.groupBy("host", "path", "kind", "value").agg(F.count("*").alias("k"))
 
     def tree(counts: DataFrame, *by: str) -> DataFrame:
         of = lambda kind, x: F.sum(F.when(F.col("kind") == kind, x).otherwise(0.0))
@@ -430,43 +447,45 @@ def style_trees(outline: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 
 def _packed(rows: DataFrame) -> DataFrame:
-    """The pages with their html compressed, as it travels through the join."""
-    schema = T.StructType([rows.schema[c] for c in ("keys", "host", "body")] + [T.StructField("html", T.BinaryType())])
+    """(keys, shape, page): the pages as read, without what the reader cuts, compressed as they travel through the join."""
+    schema = T.StructType([rows.schema["keys"], T.StructField("shape", T.LongType()), T.StructField("page", T.BinaryType())])
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        compress = zstandard.ZstdCompressor(level=3).compress
+        reader, compress = Reader(), zstandard.ZstdCompressor(level=3).compress
         for batch in batches:
-            yield pa.RecordBatch.from_arrays([*batch.columns[:3], pa.array([compress(t.as_py().encode("utf-8", "replace")) for t in batch.column("html")], pa.binary())],
-                                             ["keys", "host", "body", "html"])
+            read = [reader.read(t.as_py()) for t in batch.column("html")]
+            shapes = pa.array([_shape(h.as_py(), x) for h, x in zip(batch.column("host"), read, strict=True)], pa.int64())
+            packed = pa.array([compress(x.packed()) for x in read], pa.binary())
+            yield pa.RecordBatch.from_arrays([batch.column("keys"), shapes, packed], ["keys", "shape", "page"])
 
-    return rows.select("keys", "host", "body", "html").mapInArrow(pack, schema)
+    return rows.select("keys", "host", "html").mapInArrow(pack, schema)
 
 
 def extract(pages: DataFrame, html: str = "html", url: str = "url", keys: tuple[str, ...] = ("page_id", "url")) -> DataFrame:
     """(keys..., text) per row of ``pages``."""
     rows = pages.select(F.struct(*[F.col(k) for k in keys]).alias("keys"), F.coalesce(F.col(html).cast("string"), F.lit("")).alias("html"), _host(url).alias("host"))
-    rows = rows.withColumn("body", F.xxhash64("html"))
-    outline = materialise(outlines(rows), "page-outlines")
+    outline = materialise(outlines(rows.withColumn("body", F.xxhash64("html"))), "page-outlines")
     hosts, everywhere = style_trees(outline)
     n_pages = outline.count()
-    common = everywhere.filter(F.col("pages") >= max(LEAST_PAGES, n_pages / COMMON)).select("path", "presentation", "content", "styles", "dull", "repeated")
+    columns = ["presentation", "content", "styles", "dull", "repeated"]
+    everywhere = materialise(everywhere.select("path", *columns, "pages"), "page-tree")
+    common = everywhere.filter(F.col("pages") >= max(LEAST_PAGES, n_pages / COMMON))
     shared = pages.sparkSession.sparkContext.broadcast({r["path"]: (r["presentation"], r["content"], r["styles"], (*(r["repeated"] or ()), *[None] * r["dull"])) for r in common.collect()})
-    rare = everywhere.filter((F.col("pages") >= LEAST_PAGES) & (F.col("pages") < n_pages / COMMON)).select("path", "presentation", "content", "styles", "dull", "repeated")
-    own = outline.select("host", "body", F.explode("paths").alias("path")).distinct()
-    columns = ["host", "body", "path", "presentation", "content", "styles", "dull", "repeated"]
-    found = own.join(hosts, ["host", "path"]).select(columns)
+    own = outline.select("host", "shape", F.explode(F.array_distinct("style_paths")).alias("path")).distinct()      # one row for each path of a shape, however many pages have it
+    found = own.join(hosts, ["host", "path"]).select("shape", "path", *columns)
     if n_pages > LEAST_PAGES * COMMON:      # no key of this join is on more than one page in COMMON
-        found = found.unionByName(own.join(rare, "path").select(columns))
-    known = found.groupBy("host", "body").agg(F.collect_list(F.struct("path", "presentation", "content", "styles", "dull", "repeated")).alias("known"))      # at most two entries for each path of the page
-    joined = _packed(rows).join(known, ["host", "body"], "left").select("keys", "html", "known")
+        found = found.unionByName(own.join(everywhere.filter(F.col("pages") < n_pages / COMMON), "path").select("shape", "path", *columns))
+    known = found.groupBy("shape").agg(F.collect_list(F.struct("path", *columns)).alias("known"))      # at most two entries for each path of the shape
+    # written, so that its size is known to the join: a small table is broadcast and pages stay where they are
+    joined = _packed(rows).join(materialise(known, "page-shapes"), "shape", "left").select("keys", "page", "known")
     schema = T.StructType([joined.schema["keys"], T.StructField("text", T.StringType())])
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        reader, unpack = Reader(), zstandard.ZstdDecompressor().decompress
+        unpack = zstandard.ZstdDecompressor().decompress
         for batch in batches:
             out = []
-            for packed, entries in zip(batch.column("html"), batch.column("known"), strict=True):
-                page = reader.read(unpack(packed.as_py()).decode("utf-8", "replace"))
+            for packed, entries in zip(batch.column("page"), batch.column("known"), strict=True):
+                page = Page.unpacked(unpack(packed.as_py()))
                 tree = {p: shared.value[p][:3] for p in page.path if p in shared.value}
                 repeated = {(p, v) for p in tree for v in shared.value[p][3]}
                 for e in entries.as_py() or ():
