@@ -5,7 +5,8 @@ for each blob and scan: (blob, rules, spans), where ``rules`` names the rule ver
 tried and ``spans`` what they found.  A scan looks only at pairs of blob and rule version that the
 ledger lacks, so a copy, an old version or an unchanged file costs one hash, and a changed rule
 scans again for that rule alone.  Findings are joined back to every row that holds the blob.  Rows
-are appended in one commit: a run that dies leaves the ledger as it was.
+are appended in one commit: a run that dies leaves the ledger as it was.  Runs that append the same
+pair at the same time leave it twice; its spans count once.
 
 Defined results: NULL text counts as the empty blob; repeated rows share a blob and each get its
 findings; an empty table scans nothing.  Columns other than key and text are not read.
@@ -31,6 +32,7 @@ class Rule:
     version: int = 1
     secret_group: int = 0      # the group that holds the secret
     least: int = 0             # characters that the group must have
+    opening: str = ""          # the span starts where this first stands in the match
 
 
 _ASSIGN = r"""(?i)(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""
@@ -42,7 +44,8 @@ RULES = (
     Rule("hex", r"[0-9a-f]+", r"[0-9a-f]{24,}+", least=24),
     Rule("private_key", r"-----BEGIN [A-Z ]{0,40}PRIVATE KEY-----", r"-----BEGIN [A-Z ]{0,40}PRIVATE KEY-----"),
     Rule("github", r"gh[pousr]_[A-Za-z0-9]+", r"gh[pousr]_[A-Za-z0-9]{36,}+", least=40),
-    Rule("jwt", r"eyJ[A-Za-z0-9_-]+\.[A-Za-z0-9_-]+\.[A-Za-z0-9_-]+", r"eyJ[A-Za-z0-9_-]++\.[A-Za-z0-9_-]++\.[A-Za-z0-9_-]++"),
+    Rule("jwt", r"eyJ[A-Za-z0-9_-]+\.[A-Za-z0-9_-]+\.[A-Za-z0-9_-]+", # one try for each run of characters, from its start: a run has thousands of places where the text could begin
+         r"(?<![A-Za-z0-9_-])(?:(?!eyJ)[A-Za-z0-9_-])*+eyJ[A-Za-z0-9_-]++\.[A-Za-z0-9_-]++\.[A-Za-z0-9_-]++", opening="eyJ"),
 )
 BASE = ("assign", "access", "hex")
 
@@ -59,7 +62,8 @@ def find(rule: Rule, text: Column) -> Column:
     spans = located(text, rule.pattern)
     if rule.least:
         spans = F.filter(spans, lambda s: F.length(F.regexp_extract(s["match"], rule.pattern, rule.secret_group)) >= rule.least)
-    return F.transform(spans, lambda s: F.struct(F.lit(rule.name).alias("kind"), F.lit(rule.version).alias("version"), s["start"], s["end"]))
+    start = lambda s: s["start"] + F.instr(s["match"], rule.opening) - 1 if rule.opening else s["start"]
+    return F.transform(spans, lambda s: F.struct(F.lit(rule.name).alias("kind"), F.lit(rule.version).alias("version"), start(s).alias("start"), s["end"]))
 
 
 def _scans(spark: SparkSession, ledger: str) -> DataFrame | None:
@@ -93,7 +97,7 @@ def scan(docs: DataFrame, ledger: str, rules: tuple[Rule, ...] = RULES, text: st
 def _found(spark: SparkSession, ledger: str, rules: tuple[Rule, ...]) -> DataFrame:
     """(blob, spans) of the blobs in which the rules' versions found something."""
     names = F.array(*[F.lit(_name(r)) for r in rules])
-    known = _scans(spark, ledger).filter(F.size("spans") > 0).groupBy("blob").agg(F.flatten(F.collect_list("spans")).alias("spans"))
+    known = _scans(spark, ledger).filter(F.size("spans") > 0).groupBy("blob").agg(F.array_distinct(F.flatten(F.collect_list("spans"))).alias("spans"))
     place = F.create_map(*[x for i, r in enumerate(rules) for x in (F.lit(r.name), F.lit(i))])
     current = F.filter("spans", lambda s: F.array_contains(names, F.concat_ws(":", s["kind"], s["version"].cast("string"))))
     ordered = F.array_sort(F.transform(current, lambda s: F.struct(s["start"], place[s["kind"]].alias("place"), s["kind"], s["end"])))

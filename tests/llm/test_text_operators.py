@@ -3,6 +3,7 @@
 import hashlib
 import random
 import re
+import time
 
 import duckdb
 import public_tokenizers
@@ -241,3 +242,22 @@ def test_question_and_answer_are_both_needed(spark, question, answer, text, foun
     docs = spark.createDataFrame([(1, text)], "doc_id bigint, text string")
     items = spark.createDataFrame([(5, question, answer)], "item_id bigint, q string, a string")
     assert decontamination.find_leaks(docs, items, question="q", answer="a", least_score=0.4).count() == int(found)
+
+
+def test_long_runs_are_scanned_in_linear_time(spark):
+    texts = ["eyJ" * 200_000, "eyJ" * 100_000 + ".a" * 1, "eyJa." * 60_000, "token " * 50_000 + " " * 100_000, "gh" * 100_000, "-eyJa.b.c", "xeyJa.eyJb.c.eyJd.e.f", "eyJ.eyJ.a.eyJk.b.c", "aeyJ eyJx..eyJy.z.w"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    began = time.time()
+    got = {r.doc_id: [(s.start, s.end) for s in r.spans if s.kind == "jwt"] for r in blob_ledger.scan_secrets(docs, shared_path(spark, "long-runs")).collect()}
+    assert time.time() - began < 20
+    plain = next(r.plain for r in blob_ledger.RULES if r.name == "jwt")
+    assert all(got[i] == [m.span() for m in re.finditer(plain, texts[i])] for i in (2, 5, 6, 7, 8)) and got[0] == got[1] == got[3] == got[4] == []
+
+
+def test_a_pair_that_two_runs_append_counts_once(spark):
+    docs = spark.createDataFrame([(1, "token = abcdefgh")], "doc_id bigint, text string")
+    ledger, other = shared_path(spark, "twice"), shared_path(spark, "other")
+    blob_ledger.scan(docs, ledger)
+    blob_ledger.scan(docs, other)
+    spark.read.parquet(other).write.mode("append").parquet(ledger)
+    assert [len(r.spans) for r in blob_ledger.findings(docs, ledger).collect()] == [1]
