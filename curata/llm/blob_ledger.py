@@ -97,11 +97,12 @@ def scan(docs: DataFrame, ledger: str, rules: tuple[Rule, ...] = RULES, text: st
 def _found(spark: SparkSession, ledger: str, rules: tuple[Rule, ...]) -> DataFrame:
     """(blob, spans) of the blobs in which the rules' versions found something."""
     names = F.array(*[F.lit(_name(r)) for r in rules])
-    known = _scans(spark, ledger).filter(F.size("spans") > 0).groupBy("blob").agg(F.array_distinct(F.flatten(F.collect_list("spans"))).alias("spans"))
+    known = _scans(spark, ledger).filter(F.size("spans") > 0).groupBy("blob").agg(F.flatten(F.collect_list("spans")).alias("spans"))
     place = F.create_map(*[x for i, r in enumerate(rules) for x in (F.lit(r.name), F.lit(i))])
     current = F.filter("spans", lambda s: F.array_contains(names, F.concat_ws(":", s["kind"], s["version"].cast("string"))))
     ordered = F.array_sort(F.transform(current, lambda s: F.struct(s["start"], place[s["kind"]].alias("place"), s["kind"], s["end"])))
-    return known.select("blob", ordered.alias("spans"))
+    once = let(ordered, lambda o: F.filter(o, lambda s, i: (i == 0) | ~s.eqNullSafe(F.get(o, i - 1))))
+    return known.select("blob", once.alias("spans"))
 
 
 def findings(docs: DataFrame, ledger: str, rules: tuple[Rule, ...] = RULES, text: str = "text", key: str = "doc_id") -> DataFrame:

@@ -24,7 +24,6 @@ hash of the key, ``SLICE_CHARS`` characters of each, until a dictionary holds
 from __future__ import annotations
 
 import math
-import re
 from collections.abc import Iterator
 
 import pandas as pd
@@ -43,7 +42,6 @@ BLOCK = 1024
 MIN_MARGIN = 0.004
 UNDETERMINED = "und"
 
-_LETTER = re.compile(r"[^\W\d_]")
 #: ASCII bytes other than letters become blanks; bytes of other characters stay.
 _LETTERS_ONLY = bytes(c if c >= 128 or chr(c).isalpha() else 32 for c in range(256))
 
@@ -96,7 +94,7 @@ class CompressionClassifier:
 
     def predict(self, text: str | None, min_margin: float) -> tuple[str, float, float, bool]:
         """(language, score, margin, rejected)."""
-        if not self.names or not text or not _LETTER.search(text):
+        if not self.names or not text or not any(map(str.isalpha, text)):
             return UNDETERMINED, 0.0, 0.0, True
         data = normalise(text)
         blocks = [data[i:i + BLOCK] for i in range(0, len(data), BLOCK)]
