@@ -3,7 +3,7 @@
 A document's set is its distinct shingles of five words (ASCII letters in lower case, words split at
 ASCII white space); two documents are linked if the sets' Jaccard similarity is at least 0.75.
 
-1. Sets are fingerprinted; documents with equal sets form a class and one member stands for it.
+1. Sets are fingerprinted; documents with equal sets (size and two 64-bit prints) form a class and one member stands for it.
 2. Two collections of ``ROWS`` keys are made, each key from two minhashes.  The tables of the index
    are all pairs of one key of each collection: ``ROWS``^2 = 100 tables from 40 minhashes instead of
    400.  A pair of similarity s meets in some table with probability (1 - (1 - s^2)^ROWS)^2: 0.9995
@@ -13,7 +13,8 @@ ASCII white space); two documents are linked if the sets' Jaccard similarity is
    buckets that then still hold several families are compared member by member in blocks.  So any
    two documents that meet in a table with agreeing sketches end in one family.
 4. Within a family, sets are made again from whole texts and compared exactly, best sketch agreement
-   first; pairs that are already connected need no comparison.  The confirmed links' connected
+   first; pairs that are already connected need no comparison.  Members of a family over ``BLOCK`` are
+   compared with its leader first, and only those apart from it with everybody.  The confirmed links' connected
    components are the result.
 
 No group is gathered whole: buckets and families over ``BLOCK`` members are cut into blocks, and
@@ -256,51 +257,109 @@ def _families(reps: DataFrame) -> DataFrame:
     return connected_components(contracted.unionByName(more), "families").withColumnRenamed("component", "family")
 
 
+class _Members:
+    """Exact sets of a group's rows, made from whole texts when they are first asked for."""
+
+    def __init__(self, group: pa.Table, shingles: Shingles) -> None:
+        self.nodes = group.column("node").to_numpy()
+        self.texts, self.shingles, self.sets = group.column("text"), shingles, {}
+        self.prints = list(zip(group.column("print_a").to_pylist(), group.column("print_b").to_pylist(), strict=True))
+
+    def set_of(self, i: int) -> frozenset | None:
+        """None for another text of a node's doc_id."""
+        if i not in self.sets:
+            own = self.shingles.of(self.texts[int(i)].as_py())
+            self.sets[i] = frozenset(own.tolist()) if len(own) and tuple(_prints(own)) == self.prints[i] else None
+        return self.sets[i]
+
+    def similar(self, i: int, j: int) -> bool:
+        x, y = self.set_of(i), self.set_of(j)
+        if x is None or y is None or min(len(x), len(y)) * SIMILAR[1] < max(len(x), len(y)) * SIMILAR[0]:
+            return False
+        both = len(x & y)
+        return both * SIMILAR[1] >= (len(x) + len(y) - both) * SIMILAR[0]
+
+    def links(self, group: pa.Table, forest: Forest) -> Iterator[tuple[int, int]]:
+        """Links that connect what the forest has apart."""
+        for i, j, _ in zip(*_candidates(group), strict=True):
+            if forest.root(i) != forest.root(j) and self.similar(i, j):
+                forest.join(i, j)
+                yield self.nodes[i], self.nodes[j]
+
+
+def _by_leader(members: DataFrame) -> DataFrame:
+    """(a, b, apart): links within families of one block; members of larger ones against their leader, ``apart`` if not linked with it.
+
+    ``members`` has ``blocks`` per family.  A leader goes to every block of its family, everybody else to one.
+    """
+    own = F.pmod(F.xxhash64(F.lit("block"), "node"), F.col("blocks")).cast("int")
+    rows = members.withColumn("block", F.explode(F.when(F.col("node") == F.col("family"), F.sequence(F.lit(0), F.col("blocks") - 1)).otherwise(F.array(own))))
+    rows = rows.withColumn("a", F.col("block")).withColumn("b", F.col("block")).repartition("family", "block").sortWithinPartitions("family", "block")
+
+    def confirm(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        shingles = Shingles()
+        for group in _in_groups(batches, ["family", "block"]):
+            inside, family = _Members(group, shingles), group.column("family")[0].as_py()
+            if group.column("blocks")[0].as_py() == 1:
+                out = [(a, b, False) for a, b in inside.links(group, Forest(len(inside.nodes)))]
+            else:
+                leader = next(i for i, n in enumerate(inside.nodes) if n == family and inside.set_of(i) is not None)
+                out = [(n, family, not inside.similar(i, leader)) for i, n in enumerate(inside.nodes) if n != family and inside.set_of(i) is not None]
+            yield pa.RecordBatch.from_arrays([pa.array([x[k] for x in out], t) for k, t in enumerate((pa.int64(), pa.int64(), pa.bool_()))], ["a", "b", "apart"])
+
+    return rows.mapInArrow(confirm, "a long, b long, apart boolean")
+
+
 def _links(families: DataFrame, reps: DataFrame, docs: DataFrame, text: str, key: str) -> DataFrame:
-    """Links (a, b) that connect the nodes of families as all exact links between them would."""
+    """Links (a, b) that connect the nodes of families as all exact links between them would.
+
+    Members of a large family are compared with its leader first, which is linear; only those that it is not
+    linked with are compared with everybody, in blocks.
+    """
     texts = docs.select(F.col(key).cast("long").alias("doc"), F.col(text).cast("string").alias("text"))
-    members = families.join(reps, "node").join(texts, "doc")
+    with_texts = lambda rows: rows.join(reps, "node").join(texts, "doc")
+    in_blocks = lambda n: F.ceil(n / BLOCK).cast("int")
+    sizes = families.groupBy("family").agg(in_blocks(F.count("*")).alias("blocks"))
+    first = materialise(_by_leader(with_texts(families.join(sizes, "family"))), "by-leader")
+    linked = first.filter("NOT apart").select("a", "b")
+    apart = first.filter("apart").select(F.col("a").alias("node"), F.col("b").alias("family")).distinct()
+    if apart.isEmpty():
+        return linked
+    members = families.join(apart.select("family").distinct(), "family", "left_semi").join(apart.select("node", F.lit(False).alias("with_leader")), "node", "left")
+    members = members.withColumn("with_leader", F.coalesce("with_leader", F.lit(True)))
+    counts = members.groupBy("family").agg(in_blocks(F.count_if(~F.col("with_leader"))).alias("r"), in_blocks(F.count_if(F.col("with_leader"))).alias("l"))
+    place = lambda n: F.pmod(F.xxhash64(F.lit("block"), "node"), F.col(n)).cast("int")
+    rows = members.join(counts, "family").withColumn("block", F.when(F.col("with_leader"), F.col("r") + place("l")).otherwise(place("r")))
+    rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.when(F.col("with_leader"), F.col("r")).otherwise(F.col("r") + F.col("l")) - 1)))
+    rows = rows.withColumn("a", F.least("block", "other")).withColumn("b", F.greatest("block", "other")).drop("other", "r", "l")
+    rows = with_texts(rows).repartition("family", "a", "b").sortWithinPartitions("family", "a", "b")
 
     def confirm(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        shingles, out = Shingles(), []
+        shingles = Shingles()
         for group in _in_groups(batches, ["family", "a", "b"]):
-            nodes, texts_ = group.column("node").to_numpy(), group.column("text")
-            forest, sets = Forest(len(nodes)), {}
-            for i, j, _ in zip(*_candidates(group), strict=True):
-                if forest.root(i) == forest.root(j):
-                    continue
-                for x in (i, j):
-                    if x not in sets:
-                        own = shingles.of(texts_[int(x)].as_py())
-                        # another text of the same doc_id is not this node's
-                        sets[x] = frozenset(own.tolist()) if len(own) and _prints(own)[0] == nodes[x] else None
-                if sets[i] is None or sets[j] is None:
-                    continue
-                both = len(sets[i] & sets[j])
-                if both * SIMILAR[1] >= (len(sets[i]) + len(sets[j]) - both) * SIMILAR[0]:
-                    forest.join(i, j)
-                    out.append((nodes[i], nodes[j]))
-            if len(out) > 10_000:
-                yield _edges(out)
-                out = []
-        yield _edges(out)
+            inside, together = _Members(group, shingles), np.flatnonzero(group.column("with_leader").to_numpy())
+            forest = Forest(len(inside.nodes))
+            for i in together[1:].tolist():
+                forest.join(int(together[0]), i)
+            yield _edges(list(inside.links(group, forest)))
 
-    return _in_blocks(members, "family").mapInArrow(confirm, "a long, b long")
+    return linked.unionByName(rows.mapInArrow(confirm, "a long, b long"))
 
 
 def _placed(docs: DataFrame, text: str, key: str) -> DataFrame:
     """(doc, text_hash, n_shingles, component) per row of ``docs``."""
-    rows = materialise(sketch(docs, text, key), "sketches")
-    classes = rows.filter("n_shingles > 0 AND doc IS NOT NULL").groupBy("print_a").agg(F.min("doc").alias("doc"), F.first("n_shingles").alias("n_shingles"), F.first("mins").alias("mins"))
-    reps = materialise(classes.withColumnRenamed("print_a", "node"), "classes")
-    families = _families(reps)
+    rows = materialise(sketch(docs, text, key).withColumn("row", F.monotonically_increasing_id()), "sketches")
+    same = ["print_a", "print_b", "n_shingles"]
+    classes = rows.filter("n_shingles > 0 AND doc IS NOT NULL").groupBy(*same).agg(F.min("row").alias("node"), F.min("doc").alias("doc"), F.first("mins").alias("mins"))
+    reps = materialise(classes, "classes")
+    families = _families(reps.drop("print_a", "print_b"))
     found = connected_components(_links(families, reps, docs, text, key), "links")
-    placed = reps.select("node", "doc").join(found, "node", "left").withColumn("component", F.coalesce("component", "node"))
+    placed = reps.select("node", "doc", *same).join(found, "node", "left").withColumn("component", F.coalesce("component", "node"))
     smallest = placed.groupBy("component").agg(F.min("doc").alias("smallest"))
-    by_print = placed.join(smallest, "component").select(F.col("node").alias("print_a"), "smallest")
-    known = rows.select("doc", "text_hash", "n_shingles", F.when(F.col("n_shingles") > 0, F.col("print_a")).alias("print_a"))
+    by_set = placed.join(smallest, "component").select(*same, "smallest")
+    known = rows.select("doc", "text_hash", "n_shingles", F.when(F.col("n_shingles") > 0, F.col("print_a")).alias("print_a"), "print_b")
     component = F.when(F.col("doc").isNotNull(), F.coalesce("smallest", "doc"))
-    return known.join(by_print, "print_a", "left").select("doc", "text_hash", "n_shingles", component.alias("component"))
+    return known.join(by_set, same, "left").select("doc", "text_hash", "n_shingles", component.alias("component"))
 
 
 def near_duplicates(docs: DataFrame, text: str = "text", key: str = "doc_id") -> DataFrame:

@@ -107,6 +107,18 @@ def test_near_duplicates_equal_brute_force(spark, copies, monkeypatch, block):
         assert near_duplicates.near_duplicates(docs.limit(0)).count() == 0
 
 
+def test_large_families_whose_members_are_apart_from_their_leader(spark, monkeypatch):
+    monkeypatch.setattr(near_duplicates, "BLOCK", 7)
+    rng = random.Random(17)
+    words = [f"w{rng.randrange(10**6)}" for _ in range(900)]
+    texts = [" ".join(words[4 * k:4 * k + 90]) for k in range(80)]                                   # a chain: links between neighbours only
+    texts += [" ".join(words[400:500] + [f"x{k}"]) for k in range(60)] + texts[:5]                    # all linked with any leader
+    texts += [" ".join(words[600:660] + [f"y{k % 9}{i}" for i in range(16 + k % 9)]) for k in range(45)]      # some near, some not
+    rows = [(1000 - 7 * i, t) for i, t in enumerate(texts)] + [(1000, "another text under the chain's first id"), (993, texts[1])]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(6)
+    assert sorted(tuple(r) for r in near_duplicates.near_duplicates(docs).collect()) == sorted(_near(rows))
+
+
 def test_token_files_read_back(spark):
     from tokenizers import Tokenizer
 
