@@ -317,10 +317,10 @@ def _links(families: DataFrame, reps: DataFrame, docs: DataFrame, text: str, key
     linked with are compared with everybody, in blocks.
     """
     texts = docs.select(F.col(key).cast("long").alias("doc"), F.col(text).cast("string").alias("text"))
-    with_texts = lambda rows: rows.join(reps, "node").join(texts, "doc")
+    held = materialise(families.join(reps, "node").join(texts, "doc").drop("doc"), "members", compression="zstd")      # texts of all documents are shuffled once
     in_blocks = lambda n: F.ceil(n / BLOCK).cast("int")
     sizes = families.groupBy("family").agg(in_blocks(F.count("*")).alias("blocks"))
-    first = materialise(_by_leader(with_texts(families.join(sizes, "family"))), "by-leader")
+    first = materialise(_by_leader(held.join(sizes, "family")), "by-leader")
     linked = first.filter("NOT apart").select("a", "b")
     apart = first.filter("apart").select(F.col("a").alias("node"), F.col("b").alias("family")).distinct()
     if apart.isEmpty():
@@ -329,10 +329,11 @@ def _links(families: DataFrame, reps: DataFrame, docs: DataFrame, text: str, key
     members = members.withColumn("with_leader", F.coalesce("with_leader", F.lit(True)))
     counts = members.groupBy("family").agg(in_blocks(F.count_if(~F.col("with_leader"))).alias("r"), in_blocks(F.count_if(F.col("with_leader"))).alias("l"))
     place = lambda n: F.pmod(F.xxhash64(F.lit("block"), "node"), F.col(n)).cast("int")
-    rows = members.join(counts, "family").withColumn("block", F.when(F.col("with_leader"), F.col("r") + place("l")).otherwise(place("r")))
+    members = materialise(members.join(counts, "family").drop("family"), "apart")
+    rows = held.join(members, "node").withColumn("block", F.when(F.col("with_leader"), F.col("r") + place("l")).otherwise(place("r")))
     rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.when(F.col("with_leader"), F.col("r")).otherwise(F.col("r") + F.col("l")) - 1)))
     rows = rows.withColumn("a", F.least("block", "other")).withColumn("b", F.greatest("block", "other")).drop("other", "r", "l")
-    rows = with_texts(rows).repartition("family", "a", "b").sortWithinPartitions("family", "a", "b")
+    rows = rows.repartition("family", "a", "b").sortWithinPartitions("family", "a", "b")
 
     def confirm(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shingles = Shingles()
