@@ -16,6 +16,8 @@ of the whole item occur, wherever the others are missing; the counts are those o
 
 The index goes to all executors, so its size is checked: items are dealt by a hash into as many
 shards as keep each one's text within ``SHARD_CHARS``, and the texts are searched once for each shard.
+Shards pass through the driver one at a time: what one has found is written to the shared folder and its
+broadcast released before the next is collected.  A Python worker builds a shard's index once for all its tasks.
 
 Defined results: NULL or empty texts and items without words match nothing; an item with fewer than
 ten words is its own question and answer; a part with fewer than five words is one shingle.  Repeated
@@ -26,9 +28,11 @@ from __future__ import annotations
 
 import math
 import re
+import uuid
 from bisect import bisect_left
 from collections import Counter, defaultdict
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pandas as pd
@@ -37,6 +41,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from curata.llm.common import materialise
+
 UNIT = 64
 LEAST_SCORE = 0.6
 SHINGLE = 5
@@ -211,30 +217,57 @@ def find_leaks(docs: DataFrame, items: DataFrame, text: str = "text", key: str =
     tests, shards = _shards(items, item, question, answer)
     schema = T.StructType([T.StructField(key, rows.schema["key"].dataType), T.StructField(item, tests.schema["item"].dataType), T.StructField("score", T.DoubleType()),
                            *[T.StructField(n, T.LongType()) for n in ("n_question", "question_found", "n_answer", "answer_found")]])
-    out = None
-    for held in shards:
-        found = rows.mapInArrow(_searcher(held, least_score, whole, schema), schema)
-        out = found if out is None else out.unionByName(found)
-    return out
+    found = []
+    for held, last in shards:
+        own = rows.mapInArrow(_searcher(held, least_score, whole, schema), schema)
+        found.append(own if last else materialise(own, "leaks"))
+    return reduce(DataFrame.unionByName, found)
+
+
+class _Shard:
+    """Items of one shard on all executors, known to the workers by a name of its own."""
+
+    def __init__(self, items: DataFrame):
+        self.name = uuid.uuid4().hex
+        self.items = items.sparkSession.sparkContext.broadcast([tuple(r) for r in items.orderBy("item", "q", "a").collect()])
+
+    def index(self, least_score: float, whole: bool) -> TestIndex:
+        """The shard's index, built once a worker; a worker keeps that of one shard."""
+        known = (self.name, least_score, whole)
+        if known not in _BUILT:
+            _BUILT.clear()
+            _BUILT[known] = TestIndex(self.items.value, least_score, whole)
+        return _BUILT[known]
 
 
-def _shards(items: DataFrame, item: str, question: str, answer: str | None) -> tuple[DataFrame, list]:
-    """The test items and their shards, each of a checked size, on all executors."""
+_BUILT: dict[tuple[str, float, bool], TestIndex] = {}
+
+
+def _shards(items: DataFrame, item: str, question: str, answer: str | None) -> tuple[DataFrame, Iterator[tuple[_Shard, bool]]]:
+    """The test items, and their shards of a checked size one after the other, with whether it is the last."""
     tests = items.select(F.col(item).alias("item"), F.col(question).cast("string").alias("q"), (F.col(answer).cast("string") if answer else F.lit(None).cast("string")).alias("a"))
     tests = tests.filter("coalesce(q, a) IS NOT NULL").distinct()
     chars = tests.agg(F.sum(F.coalesce(F.length("q"), F.lit(0)) + F.coalesce(F.length("a"), F.lit(0)))).first()[0] or 0
     n = max(1, math.ceil(chars / SHARD_CHARS))
     parts = [tests if n == 1 else tests.filter(F.pmod(F.xxhash64("item", "q", "a"), F.lit(n)) == i) for i in range(n)]
-    return tests, [items.sparkSession.sparkContext.broadcast([tuple(r) for r in p.orderBy("item", "q", "a").collect()]) for p in parts]
+
+    def one_by_one() -> Iterator[tuple[_Shard, bool]]:
+        for number, part in enumerate(parts, 1):
+            shard = _Shard(part)
+            yield shard, number == n
+            if number < n:                  # its rows are written by now; the last one's are not
+                shard.items.destroy()
+
+    return tests, one_by_one()
 
 
-def _searcher(held, least_score: float, whole: bool, schema: T.StructType):
+def _searcher(held: _Shard, least_score: float, whole: bool, schema: T.StructType):
     from pyspark.sql.pandas.types import to_arrow_schema
 
     arrow = to_arrow_schema(schema)
 
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        index = TestIndex(held.value, least_score, whole)
+        index = held.index(least_score, whole)
         for batch in batches:
             out = [(k.as_py(), *leak) for k, t in zip(batch.column("key"), batch.column("text"), strict=True) for leak in index.leaks(t.as_py())]
             yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in out], f.type) for i, f in enumerate(arrow)], schema=arrow)
@@ -246,15 +279,16 @@ def drop_leaking(docs: DataFrame, items: DataFrame, text: str = "text", item: st
                  least_score: float = LEAST_SCORE, whole: bool = False) -> DataFrame:
     """The rows of ``docs``, with their own columns, that hold no test item."""
 
-    def holds(held):
+    def holds(held: _Shard):
         @F.pandas_udf("boolean")
         def found(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-            index = TestIndex(held.value, least_score, whole)
+            index = held.index(least_score, whole)
             for texts in batches:
                 yield texts.map(lambda t: any(True for _ in index.leaks(t))).astype(bool)
 
         return found(F.coalesce(F.col(text).cast("string"), F.lit("")))
 
-    for held in _shards(items, item, question, answer)[1]:
+    for held, last in _shards(items, item, question, answer)[1]:
         docs = docs.filter(~holds(held))
+        docs = docs if last else materialise(docs, "not-leaking")
     return docs

@@ -102,23 +102,27 @@ def _parts(rows: str) -> str:
     return f"SELECT item_id, part, unnest(list_distinct(list_transform(range(1, greatest(1, len(w) - 4) + 1), lambda i: array_to_string(w[i:i + 4], ' ')))) AS s FROM ({rows}) WHERE len(w) > 0"
 
 
-#: Every item against every text by shared shingles; parts of fewer than five words are looked for in the word sequence.
+def _by_part(count: str) -> str:
+    return ", ".join(f"{count} FILTER (WHERE part = '{p}') AS {p}" for p in "qaw")
+
+
+#: Every item against every text by shared shingles, those of question (q) and answer (a) and those of the whole item (w);
+#: parts of fewer than five words are looked for in the word sequence.
 LEAKS = f"""
 WITH doc_words AS MATERIALIZED (SELECT doc_id, row_number() OVER () AS r, regexp_extract_all(lower(coalesce(text, '')), '[\\p{{L}}\\p{{N}}]+') AS w FROM documents),
 item_words AS (SELECT DISTINCT item_id, regexp_extract_all(lower(text), '[\\p{{L}}\\p{{N}}]+') AS w FROM benchmark WHERE text IS NOT NULL),
 cut AS (SELECT item_id, w, CASE WHEN len(w) < 10 THEN len(w) ELSE len(w) - greatest(5, len(w) // 4) END AS n FROM item_words),
-parts AS MATERIALIZED ({_parts("SELECT item_id, 'q' AS part, w[:n] AS w FROM cut UNION ALL SELECT item_id, 'a', CASE WHEN len(w) < 10 THEN w ELSE w[n + 1:] END FROM cut")}),
-sizes AS (SELECT item_id, part, count(*) AS n FROM parts GROUP BY ALL),
+parts AS MATERIALIZED ({_parts("SELECT item_id, 'q' AS part, w[:n] AS w FROM cut UNION ALL SELECT item_id, 'a', CASE WHEN len(w) < 10 THEN w ELSE w[n + 1:] END FROM cut UNION ALL SELECT item_id, 'w', w FROM cut")}),
+sizes AS (SELECT item_id, {_by_part("count(*)")} FROM parts GROUP BY item_id),
 texts AS MATERIALIZED (SELECT DISTINCT r, unnest(list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' '))) AS s FROM doc_words WHERE len(w) > 4),
 hits AS (
-  SELECT r, item_id, part, count(*) AS n FROM (
+  SELECT r, item_id, {_by_part("count(*)")} FROM (
     SELECT DISTINCT t.r, p.item_id, p.part, p.s FROM parts p JOIN texts t USING (s)
     UNION SELECT d.r, p.item_id, p.part, p.s FROM parts p JOIN doc_words d ON len(string_split(p.s, ' ')) < 5 AND contains(' ' || array_to_string(d.w, ' ') || ' ', ' ' || p.s || ' '))
-  GROUP BY ALL)
-SELECT d.doc_id, q.item_id, sq.n AS n_question, q.n AS question_found, sa.n AS n_answer, a.n AS answer_found
-FROM hits q JOIN hits a ON a.r = q.r AND a.item_id = q.item_id AND q.part = 'q' AND a.part = 'a'
-JOIN sizes sq ON sq.item_id = q.item_id AND sq.part = 'q' JOIN sizes sa ON sa.item_id = q.item_id AND sa.part = 'a' JOIN doc_words d ON d.r = q.r
-WHERE 100 * q.n >= 75 * sq.n AND 100 * a.n >= 75 * sa.n
+  GROUP BY r, item_id)
+SELECT d.doc_id, h.item_id, z.q AS n_question, h.q AS question_found, z.a AS n_answer, h.a AS answer_found
+FROM hits h JOIN sizes z USING (item_id) JOIN doc_words d USING (r)
+WHERE (100 * h.q >= 75 * z.q AND 100 * h.a >= 75 * z.a) OR 100 * h.w >= 75 * z.w
 """
 
 

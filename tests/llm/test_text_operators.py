@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from curata.llm import blob_ledger, decontamination, language_id, personal_data, piece_bpe
 from curata.llm.common import keyed_bucket, shared_path
+from curata.llm.oracles import LEAKS
 from tests.conftest import SF_MID
 
 PIECES = public_tokenizers.path("piece_bpe_32k.model")
@@ -176,16 +177,17 @@ def test_secrets_are_masked(spark):
     assert rows(clean) == want
 
 
-def _brute_leaks(docs, items):
+def _brute_leaks(docs, items, whole=False):
     """Every item against every text."""
     out = set()
-    index = decontamination.TestIndex([(i, q, None) for i, q in items], 0.0)
+    index = decontamination.TestIndex([(i, q, None) for i, q in items], 0.0, whole)
     for d, text in docs:
         words = decontamination.words_of(text)
         joined = f" {' '.join(words)} "
-        for item, question, answer in index.parts:
-            found = [sum(f" {' '.join(s)} " in joined for s in part) for part in (question, answer)]
-            if 100 * found[0] >= 75 * len(question) and 100 * found[1] >= 75 * len(answer):
+        for (item, question, answer), together in zip(index.parts, index.wholes, strict=True):
+            found = [sum(f" {' '.join(s)} " in joined for s in part) for part in (question, answer, together)]
+            both = 100 * found[0] >= 75 * len(question) and 100 * found[1] >= 75 * len(answer)
+            if both or whole and 100 * found[2] >= 75 * len(together):
                 out.add((d, item, len(question), found[0], len(answer), found[1]))
     return out
 
@@ -209,9 +211,17 @@ def test_leaks_equal_brute_force(spark, monkeypatch):
     assert set(got) == want and len(got) == len(want) + sum(x[0] == 40_001 for x in want)
     kept = decontamination.drop_leaking(d, b)
     assert kept.columns == d.columns and {r.doc_id for r in kept.collect()} == {x for x, _ in docs} - {x[0] for x in want}
-    monkeypatch.setattr(decontamination, "SHARD_CHARS", 2_000)
-    sharded = [tuple(r) for r in decontamination.find_leaks(d, b).drop("score").collect()]
-    assert sorted(sharded) == sorted(got)
+    either = [tuple(r) for r in decontamination.find_leaks(d, b, whole=True).drop("score").collect()]
+    assert set(either) == _brute_leaks(docs, items, whole=True) > want
+    held, tests = d.toPandas(), b.toPandas()
+    con.register("documents", held)
+    con.register("benchmark", tests)
+    assert sorted(con.sql(LEAKS).fetchall()) == sorted(either)
+    monkeypatch.setattr(decontamination, "SHARD_CHARS", 8_000)
+    sharded = [tuple(r) for r in decontamination.find_leaks(d, b, whole=True).drop("score").collect()]
+    assert sorted(sharded) == sorted(either)
+    kept = decontamination.drop_leaking(d, b, whole=True)
+    assert kept.columns == d.columns and {r.doc_id for r in kept.collect()} == {x for x, _ in docs} - {x[0] for x in either}
     for empty in (decontamination.find_leaks(d.limit(0), b), decontamination.find_leaks(d, b.limit(0))):
         assert empty.count() == 0
 
