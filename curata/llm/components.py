@@ -4,6 +4,9 @@ Every round hangs the neighbours of each node on its smallest neighbour, first t
 larger than the node, then the node itself with the smaller ones.  The table never holds more than
 one row per edge, all steps are joins and grouped minima, and each round is written to the shared
 folder, so a lost executor costs one round at most.
+
+A node with more than 1 / ``HUB_SHARE`` of the edges is a hub.  There are fewer than 2 * ``HUB_SHARE`` of them, so their
+minima are broadcast, and their edges are dealt by the other end instead of all going to one task.
 """
 
 from __future__ import annotations
@@ -13,18 +16,24 @@ from pyspark.sql import functions as F
 
 from curata.llm.common import materialise
 
+HUB_SHARE = 2_000
+
 
-def _on_smallest(edges: DataFrame) -> DataFrame:
-    """(a, b) -> (a, m) for the smallest b of each a; the minimum is combined before the shuffle."""
-    least = edges.groupBy("a").agg(F.min("b").alias("m"))
-    return edges.join(least, "a")
+def _on_smallest(edges: DataFrame, n: int) -> DataFrame:
+    """(a, b) -> (a, b, m) for the smallest b of each a; the minimum is combined before the shuffle.  ``n`` edges at most."""
+    least = edges.groupBy("a").agg(F.min("b").alias("m"), F.count("*").alias("degree"))
+    hubs = F.broadcast(least.filter(F.col("degree") > max(1, n // HUB_SHARE)).select("a", F.col("m").alias("of_hub")))
+    # a hub's edge meets the other end's minimum, which is not used: few edges of hubs share that end
+    rows = edges.join(hubs, "a", "left").withColumn("meets", F.when(F.col("of_hub").isNull(), F.col("a")).otherwise(F.col("b")))
+    met = rows.join(least.select(F.col("a").alias("meets"), "m"), "meets", "left")
+    return met.select("a", "b", F.coalesce("of_hub", "m").alias("m"))
 
 
-def _round(edges: DataFrame) -> DataFrame:
-    """One large star and one small star over edges (a, b) with a > b."""
+def _round(edges: DataFrame, n: int) -> DataFrame:
+    """One large star and one small star over ``n`` edges (a, b) with a > b."""
     both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
-    large = _on_smallest(both).filter("b > a").select(F.col("b").alias("a"), F.least("m", "a").alias("b")).filter("a > b").distinct()
-    hung = _on_smallest(large)
+    large = _on_smallest(both, n).filter("b > a").select(F.col("b").alias("a"), F.least("m", "a").alias("b")).filter("a > b").distinct()
+    hung = _on_smallest(large, n)
     small = hung.filter("b > m").select(F.col("b").alias("a"), F.col("m").alias("b"))
     return small.unionByName(hung.select("a", F.col("m").alias("b"))).distinct()
 
@@ -40,7 +49,7 @@ def connected_components(edges: DataFrame, name: str = "components") -> DataFram
     current = materialise(oriented, name)
     before = _state(current)
     while before[0]:
-        current = materialise(_round(current), name)
+        current = materialise(_round(current, before[0]), name)
         now = _state(current)
         if now == before:
             break
