@@ -34,7 +34,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from curata.llm.common import materialise
+from curata.llm.common import byte_of_character, materialise
 
 MARK = "▁"
 #: The pre-token pattern of the byte-level file's pre-tokeniser: a fixed value.
@@ -45,20 +45,13 @@ WINDOWS_KEPT = 800_000
 COMMON_SHARE = 5e-6
 
 
-def _byte_of_character() -> dict[str, int]:
-    """The byte-level alphabet: printable bytes stand for themselves, the others for the code points from 256 on."""
-    plain = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
-    others = [b for b in range(256) if b not in set(plain)]
-    return {chr(b): b for b in plain} | {chr(256 + i): b for i, b in enumerate(others)}
-
-
 class Aligner:
     """Tokenises with both vocabularies and aligns the tokens."""
 
     def __init__(self, byte_file: str, piece_file: str):
         with open(byte_file, encoding="utf-8") as f:
             model = json.load(f)
-        byte_of = _byte_of_character()
+        byte_of = byte_of_character()
         special = {t["content"] for t in model["added_tokens"]}
         vocab = {bytes(byte_of[c] for c in token): i for token, i in model["model"]["vocab"].items() if token not in special}
         self.bytes_a = [b""] * (1 + max(vocab.values()))

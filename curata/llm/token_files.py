@@ -23,8 +23,8 @@ from __future__ import annotations
 import os
 import re
 import zlib
-from collections.abc import Iterator
-from functools import lru_cache
+from array import array
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -34,6 +34,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql import Window
 
+from curata.llm.common import byte_of_character, held_by_worker
+
 ROW_GROUP_BYTES = 32 << 20
 PAGE_BYTES = 256 << 10
 #: Chunks whose ids a worker remembers, in two generations: what is used again outlives the older one.
@@ -43,8 +45,10 @@ _OTHER_SPACE = [c for c in map(chr, range(0x3001)) if c.isspace() and c not in "
 _OTHER_ASCII = [c for c in _OTHER_SPACE if c < "\x80"]
 #: A run of blanks and breaks goes with what follows it.
 _CHUNK = re.compile(r"[ \n]*[^ \n]+|[ \n]+")
-#: One blank and a short word without any white space.
-_WORD = re.compile(r" \S{1,64}")
+#: One blank and Latin letters: one pre-token.
+_PLAIN = re.compile(r" [A-Za-zÀ-ÖØ-öø-ɏ]+")
+#: Characters of the longest chunk that is remembered.
+LONGEST_KEPT = 64
 
 
 class ByteBpeEncoder:
@@ -62,11 +66,13 @@ class ByteBpeEncoder:
         self.tokenizer = Tokenizer.from_file(tokenizer_file)
         self.tokenizer.encode_special_tokens = not special_tokens
         self.added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()] if special_tokens else []
-        vocab = self.tokenizer.get_vocab()
-        self.n_bytes = np.zeros(1 + max(vocab.values()), dtype=np.int64)
-        self.n_bytes[list(vocab.values())] = [len(t) for t in vocab]  # one character stands for one byte
-        self.young: dict[str, bytes] = {}
-        self.old: dict[str, bytes] = {}
+        self.characters = {byte: c for c, byte in byte_of_character().items()}
+        self.plain = True
+        self.kept = _Kept(self.encode_chunk, {})
+        own = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
+        samples = [" word", " Größe", " naïvetés"]
+        self.plain = not any(map(str.isalpha, own)) and all(
+            [t.id for t in self.tokenizer.model.tokenize(self._alphabet(x))] == self.tokenizer.encode(x, add_special_tokens=False).ids for x in samples)
 
     def chunks(self, text: str) -> list[str]:
         if any(c in text for c in (_OTHER_ASCII if text.isascii() else _OTHER_SPACE)) or any(t in text for t in self.added):
@@ -75,56 +81,47 @@ class ByteBpeEncoder:
             return _CHUNK.findall(text)
         return text.replace(" ", "\0 ").replace("\n", "\0\n\0").split("\0")
 
-    def _encode(self, chunks: list[str]) -> None:
-        """Remember the ids of new chunks.
-
-        Chunks of one blank and a word are encoded many at a time, one after another as one text: it is cut
-        before each blank, and the ids are dealt out by the bytes that they stand for.
-        """
-        words = [c for c in chunks if _WORD.fullmatch(c)]
-        young = self.young
-        for start in range(0, len(words), 8192):
-            runs = [words[i:i + 256] for i in range(start, min(start + 8192, len(words)), 256)]
-            for run, e in zip(runs, self.tokenizer.encode_batch_fast(["".join(r) for r in runs], add_special_tokens=False), strict=True):
-                ids = np.array(e.ids, dtype="<u4")
-                upto = np.cumsum(self.n_bytes[ids])
-                ends = np.cumsum([len(c.encode()) for c in run])
-                at = np.minimum(np.searchsorted(upto, ends), len(upto) - 1)
-                if (upto[at] != ends).any():
-                    raise ValueError("the vocabulary joins words across a blank")
-                data, cuts = ids.tobytes(), [0, *(4 * (at + 1)).tolist()]
-                young.update(zip(run, [data[i:j] for i, j in zip(cuts, cuts[1:])]))
-        others = [c for c in chunks if c not in young]
-        for start in range(0, len(others), 4096):
-            piece = others[start:start + 4096]
-            for c, e in zip(piece, self.tokenizer.encode_batch_fast(piece, add_special_tokens=False), strict=True):
-                young[c] = np.array(e.ids, dtype="<u4").tobytes()
+    def encode_chunk(self, chunk: str) -> bytes:
+        """Ids of a chunk that is not remembered; a plain word is one pre-token, so its bytes go to the model at once."""
+        if chunk[-1:] in (",", ".") and chunk[-2:-1].isalpha():
+            return self.kept[chunk[:-1]] + self.kept[chunk[-1]]     # a letter and a comma or full stop after it are always apart
+        if self.plain and (chunk[:1] == " " and chunk[1:].isalpha() if chunk.isascii() else _PLAIN.fullmatch(chunk)):
+            ids = [t.id for t in self.tokenizer.model.tokenize(self._alphabet(chunk))]
+        else:
+            ids = self.tokenizer.encode(chunk, add_special_tokens=False).ids
+        return array("I", ids).tobytes()
+
+    def _alphabet(self, chunk: str) -> str:
+        """The chunk's bytes in the byte-level alphabet."""
+        return "Ġ" + chunk[1:] if chunk.isascii() else chunk.encode().decode("latin-1").translate(self.characters)
 
     def encode_batch(self, texts: list[str]) -> list[bytes]:
         """Little-endian unsigned 32-bit ids of each text."""
-        cut = [self.chunks(t) for t in texts]
-        if len(self.young) > CHUNKS_KEPT // 2:
-            self.old, self.young = self.young, {}
-        young = self.young
-        missing = set().union(*cut) - young.keys()
-        known = missing & self.old.keys()
-        young.update((c, self.old[c]) for c in known)
-        missing -= known
-        # a letter and a comma or full stop after it are always apart
-        ended = {c for c in missing if c[-1:] in (",", ".") and c[-2:-1].isalpha()}
-        new = (missing - ended) | {c[:-1] for c in ended} | {c[-1] for c in ended}
-        self._encode([c for c in new if c not in young])
-        young.update((c, young[c[:-1]] + young[c[-1]]) for c in ended)
-        out = [b"".join(map(young.__getitem__, x)) for x in cut]
-        for c in [c for c in missing if len(c) > 64]:
-            del young[c]
-        return out
-
-
-@lru_cache(maxsize=1)
+        if len(self.kept) > CHUNKS_KEPT // 2:
+            self.kept = _Kept(self.encode_chunk, dict(self.kept))
+        ids = self.kept.__getitem__
+        return [b"".join(map(ids, self.chunks(t))) for t in texts]
+
+
+class _Kept(dict):
+    """Ids by chunk, in two generations; a chunk that is in neither is encoded when it is asked for, and kept unless it is long."""
+
+    def __init__(self, encode: Callable[[str], bytes], older: dict[str, bytes]):
+        super().__init__()
+        self.encode, self.older = encode, older
+
+    def __missing__(self, chunk: str) -> bytes:
+        ids = self.older.get(chunk)
+        if ids is None:
+            ids = self.encode(chunk)
+        if len(chunk) <= LONGEST_KEPT:
+            self[chunk] = ids
+        return ids
+
+
 def encoder(tokenizer_file: str, special_tokens: bool = False) -> ByteBpeEncoder:
     """The worker's encoder: what it remembers serves all tasks that the worker runs."""
-    return ByteBpeEncoder(tokenizer_file, special_tokens)
+    return held_by_worker((ByteBpeEncoder, tokenizer_file, special_tokens), lambda: ByteBpeEncoder(tokenizer_file, special_tokens))
 
 
 def _layout(key_type: T.DataType, key: str) -> T.StructType:
