@@ -37,9 +37,8 @@ def mask_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """(doc_id, n_tokens, ids, lossless): the ids of each text, and whether decoding them gives the text back."""
-    rows = docs.select(F.struct("doc_id", F.coalesce("text", F.lit("")).alias("text")).alias("row"), "text")
-    coded = piece_bpe.encode_documents(rows, public_tokenizers.path("piece_bpe_32k.model"), key="row")
-    return coded.select("row.doc_id", F.size("ids").cast("long").alias("n_tokens"), "ids", (F.col("decoded") == F.col("row.text")).alias("lossless"))
+    coded = piece_bpe.encode_documents(docs, public_tokenizers.path("piece_bpe_32k.model"), compare=True)
+    return coded.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), "ids", "lossless")
 
 
 STAGES = [

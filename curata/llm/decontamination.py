@@ -41,7 +41,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from curata.llm.common import materialise
+from curata.llm.common import held_by_worker, materialise
 
 UNIT = 64
 LEAST_SCORE = 0.6
@@ -233,14 +233,7 @@ class _Shard:
 
     def index(self, least_score: float, whole: bool) -> TestIndex:
         """The shard's index, built once a worker; a worker keeps that of one shard."""
-        known = (self.name, least_score, whole)
-        if known not in _BUILT:
-            _BUILT.clear()
-            _BUILT[known] = TestIndex(self.items.value, least_score, whole)
-        return _BUILT[known]
-
-
-_BUILT: dict[tuple[str, float, bool], TestIndex] = {}
+        return held_by_worker((self.name, least_score, whole), lambda: TestIndex(self.items.value, least_score, whole))
 
 
 def _shards(items: DataFrame, item: str, question: str, answer: str | None) -> tuple[DataFrame, Iterator[tuple[_Shard, bool]]]:

@@ -20,7 +20,6 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterable, Iterator
-from functools import lru_cache
 from itertools import chain
 
 import ahocorasick
@@ -31,6 +30,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from curata.llm.common import held_by_worker
+
 MARK = "▁"
 #: Chunks whose encoding a worker remembers, in two generations: what is used again outlives the older one.
 CHUNKS_KEPT = 800_000
@@ -157,27 +158,30 @@ class PrefixTableEncoder:
         return self.processor.decode(ids)
 
 
-@lru_cache(maxsize=1)
 def encoder(model_file: str) -> PrefixTableEncoder:
     """The worker's encoder: its tables serve all tasks that the worker runs."""
-    return PrefixTableEncoder(model_file)
+    return held_by_worker((PrefixTableEncoder, model_file), lambda: PrefixTableEncoder(model_file))
+
 
+def encode_documents(docs: DataFrame, model_file: str, text: str = "text", key: str = "doc_id", compare: bool = False) -> DataFrame:
+    """(key, ids array<int>, decoded string) for every row; ``model_file`` must exist on every machine.
 
-def encode_documents(docs: DataFrame, model_file: str, text: str = "text", key: str = "doc_id") -> DataFrame:
-    """(key, ids array<int>, decoded string) for every row; ``model_file`` must exist on every machine."""
+    With ``compare`` the last column is ``lossless``, whether the decoded text equals the row's, and no text leaves the worker.
+    """
     rows = docs.select(F.col(key).alias("key"), F.coalesce(F.col(text).cast("string"), F.lit("")).alias("text"))
     schema = T.StructType([T.StructField(key, rows.schema["key"].dataType), T.StructField("ids", T.ArrayType(T.IntegerType())),
-                           T.StructField("decoded", T.StringType())])
+                           T.StructField("lossless", T.BooleanType()) if compare else T.StructField("decoded", T.StringType())])
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         coder = encoder(model_file)
         for batch in batches:
             for start in range(0, batch.num_rows, 1000):
                 part = batch.slice(start, 1000)
-                ids = coder.encode_batch(part.column("text").to_pylist())
-                decoded = [coder.decode(x) for x in ids]
-                yield pa.RecordBatch.from_arrays([part.column("key"), pa.array(ids, pa.list_(pa.int32())), pa.array(decoded, pa.string())],
-                                                 [key, "ids", "decoded"])
+                texts = part.column("text").to_pylist()
+                ids = coder.encode_batch(texts)
+                decoded = map(coder.decode, ids)
+                last = pa.array([x == y for x, y in zip(decoded, texts, strict=True)], pa.bool_()) if compare else pa.array(decoded, pa.string())
+                yield pa.RecordBatch.from_arrays([part.column("key"), pa.array(ids, pa.list_(pa.int32())), last], schema.names)
 
     return rows.mapInArrow(encode, schema)
 

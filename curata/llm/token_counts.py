@@ -20,7 +20,6 @@ from __future__ import annotations
 import re
 from collections import Counter
 from collections.abc import Iterator
-from functools import lru_cache
 
 import pyarrow as pa
 import sentencepiece
@@ -28,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from curata.llm.common import materialise
+from curata.llm.common import held_by_worker, materialise
 
 MARK = "▁"
 #: Share of all occurrences from which a pre-token is broadcast: at most two million entries.
@@ -62,10 +61,9 @@ class PieceCounter:
         return [len(x) - self.before for x in self.processor.encode([_BREAK + p for p in pre_tokens], num_threads=1)]
 
 
-@lru_cache(maxsize=1)
 def counter(model_file: str) -> PieceCounter:
     """The worker's counter, for all tasks that the worker runs."""
-    return PieceCounter(model_file)
+    return held_by_worker((PieceCounter, model_file), lambda: PieceCounter(model_file))
 
 
 def pre_token_table(texts: DataFrame, model_file: str, text: str = "text") -> DataFrame:
