@@ -8,6 +8,7 @@ falls back to recomputation from lineage when a block is lost.
 
 from __future__ import annotations
 
+import math
 import uuid
 
 from pyspark import StorageLevel
@@ -32,6 +33,16 @@ def checkpoint_table(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def in_parts(df: DataFrame, rows_per_part: int) -> DataFrame:
+    """``df`` in as many partitions at least as its rows need at ``rows_per_part`` each.
+
+    Partitions of files follow from bytes and cores: a compact table has few, however many rows it holds.  If it has too few,
+    rows are dealt out by the hash of all columns, so that a recomputed partition has the same rows; they should differ.
+    """
+    parts = math.ceil(df.count() / rows_per_part)
+    return df if parts <= df.rdd.getNumPartitions() else df.repartition(parts, *df.columns)
+
+
 def written_table(df: DataFrame, name: str) -> DataFrame:
     """``df`` written to a new Parquet folder in the checkpoint folder and read back: columns can be
     picked, nothing stays in the executors, and a lost executor costs nothing."""
