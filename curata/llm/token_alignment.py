@@ -34,13 +34,15 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from curata.llm.common import byte_of_character, materialise
+from curata.llm.common import byte_of_character as _byte_of_character, materialise
 
 MARK = "▁"
 #: The pre-token pattern of the byte-level file's pre-tokeniser: a fixed value.
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 #: Windows whose groups a worker remembers, in two generations; a generation ends between two documents.
 WINDOWS_KEPT = 800_000
+#: What follows an id in the groups' text: another id of its side, the other side, another group, another window.
+MARKS = (",", "|", ";", "\n")
 #: Share of all links from which a pair's count is broadcast.
 COMMON_SHARE = 5e-6
 
@@ -51,7 +53,7 @@ class Aligner:
     def __init__(self, byte_file: str, piece_file: str):
         with open(byte_file, encoding="utf-8") as f:
             model = json.load(f)
-        byte_of = byte_of_character()
+        byte_of = _byte_of_character()
         special = {t["content"] for t in model["added_tokens"]}
         vocab = {bytes(byte_of[c] for c in token): i for token, i in model["model"]["vocab"].items() if token not in special}
         self.bytes_a = [b""] * (1 + max(vocab.values()))
@@ -67,8 +69,8 @@ class Aligner:
         self.size_a, self.size_b = (np.array([len(x) for x in side], dtype=np.int64) for side in (self.bytes_a, self.bytes_b))
         self.blank_a, self.blank_b = (np.array([x[:1] == b" " for x in side]) for side in (self.bytes_a, self.bytes_b))
         self.bits = max(1, len(pieces) - 1).bit_length()
-        self.sizes = [x.tolist() for x in (self.size_a, self.size_b)]
-        self.names = [str(i) for i in range(max(len(self.bytes_a), len(pieces)))]
+        self.n_names = max(len(self.bytes_a), len(pieces))
+        self.marked = [f"{i}{mark}" for mark in MARKS for i in range(self.n_names)]
         self.young, self.old = Windows(), Windows()
 
     @staticmethod
@@ -101,7 +103,7 @@ class Aligner:
         keys = [data[i:j] for i, j in zip(cuts, cuts[1:])]
         found = list(map(self.young.place.get, keys))
         if None in found:
-            self._learn(keys, found, a, b, end_a, end_b, first_a)
+            self._learn(keys, found, a, b, end_a, end_b, first_a, first_b)
         return ";".join(map(self.young.texts.__getitem__, found)), self.young.links_at(np.array(found))
 
     def windows(self, a: np.ndarray, b: np.ndarray, end_a: np.ndarray, end_b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -114,30 +116,52 @@ class Aligner:
         shared = before_b[at] == before_a
         return np.concatenate([[0], marked_a[shared] + 1, [len(a)]]), np.concatenate([[0], marked_b[at[shared]] + 1, [len(b)]])
 
-    def _learn(self, keys: list[bytes], found: list[int | None], a: np.ndarray, b: np.ndarray, end_a: np.ndarray, end_b: np.ndarray, first_a: np.ndarray) -> None:
-        """Work out the windows that ``found`` lacks from the ends that both sides share, and remember them."""
+    def _learn(self, keys: list[bytes], found: list[int | None], a: np.ndarray, b: np.ndarray, end_a: np.ndarray, end_b: np.ndarray,
+               first_a: np.ndarray, first_b: np.ndarray) -> None:
+        """Place the windows that ``found`` lacks: older ones are taken over, the others are worked out together and remembered."""
         young, old = self.young, self.old
-        at = np.searchsorted(end_b, end_a)
-        last_a = np.flatnonzero(end_b[at] == end_a)
+        missing = [i for i, place in enumerate(found) if place is None]
+        fresh = {}
+        for i in missing:
+            key = keys[i]
+            before = old.place.get(key)
+            if before is None:
+                fresh.setdefault(key, i)
+            elif key not in young.place:
+                young.add(key, *old.at(before))
+        if fresh:
+            young.add_all(fresh, *self._worked_out(np.array(list(fresh.values())), a, b, end_a, end_b, first_a, first_b))
+        for i in missing:
+            found[i] = young.place[keys[i]]
+
+    def _worked_out(self, windows: np.ndarray, a: np.ndarray, b: np.ndarray, end_a: np.ndarray, end_b: np.ndarray,
+                    first_a: np.ndarray, first_b: np.ndarray) -> tuple[list[str], np.ndarray, np.ndarray]:
+        """The groups' texts of these windows (ascending), their links one after another, and their numbers of links.
+
+        Only the windows' tokens are looked at.  Both sides of a window end together, so no group crosses windows.
+        """
+        (in_a, upto_a), (in_b, _) = _slices(first_a, windows), _slices(first_b, windows)
+        a, b, ends_a, ends_b = a[in_a], b[in_b], end_a[in_a], end_b[in_b]
+        at = np.searchsorted(ends_b, ends_a)
+        last_a = np.flatnonzero(ends_b[at] == ends_a)
         last_b = at[last_a]
-        links = (a[last_a] << self.bits | b[last_b]).tolist()
-        group = [0, *(np.searchsorted(last_a, first_a[1:] - 1) + 1).tolist()]
-        cut_a, cut_b = [0, *(last_a + 1).tolist()], [0, *(last_b + 1).tolist()]
-        name = self.names.__getitem__
-        name_a, name_b = list(map(name, a.tolist())), list(map(name, b.tolist()))
-        for i, place in enumerate(found):
-            if place is None:
-                key = keys[i]
-                place = young.place.get(key)
-                if place is None:
-                    before = old.place.get(key)
-                    if before is None:
-                        span = range(group[i], group[i + 1])
-                        text = ";".join([f"{','.join(name_a[cut_a[g]:cut_a[g + 1]])}|{','.join(name_b[cut_b[g]:cut_b[g + 1]])}" for g in span])
-                        place = young.add(key, text, links[group[i]:group[i + 1]])
-                    else:
-                        place = young.add(key, *old.at(before))
-                found[i] = place
+        # a group's A ids and then its B ids, each with the mark that follows it
+        mark_a, mark_b = np.zeros(len(a), dtype=np.int64), np.zeros(len(b), dtype=np.int64)
+        upto = np.searchsorted(last_a, upto_a - 1) + 1
+        mark_a[last_a], mark_b[last_b], mark_b[last_b[upto - 1]] = 1, 2, 3
+        before_b = np.concatenate([[0], last_b[:-1] + 1])
+        mixed = np.empty(len(a) + len(b), dtype=np.int64)
+        mixed[np.arange(len(a)) + np.repeat(before_b, np.diff(last_a, prepend=-1))] = a + mark_a * self.n_names
+        mixed[np.arange(len(b)) + np.repeat(last_a + 1, np.diff(last_b, prepend=-1))] = b + mark_b * self.n_names
+        texts = "".join(map(self.marked.__getitem__, mixed.tolist())).split(MARKS[3])
+        return texts[:-1], a[last_a] << self.bits | b[last_b], np.diff(upto, prepend=0)
+
+
+def _slices(first: np.ndarray, windows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The places of these windows' tokens, and how many there are up to each window's end."""
+    lengths = first[windows + 1] - first[windows]
+    upto = np.cumsum(lengths)
+    return np.arange(upto[-1]) + np.repeat(first[windows] - (upto - lengths), lengths), upto
 
 
 class Windows:
@@ -156,6 +180,13 @@ class Windows:
         self.ends.append(len(self.links))
         return place
 
+    def add_all(self, keys: Iterable[bytes], texts: list[str], links: np.ndarray, sizes: np.ndarray) -> None:
+        """Windows one after another; ``sizes`` are their numbers of links."""
+        self.place.update(zip(keys, range(len(self.texts), len(self.texts) + len(texts)), strict=True))
+        self.texts.extend(texts)
+        self.ends.frombytes((len(self.links) + np.cumsum(sizes)).astype(np.int64).tobytes())
+        self.links.frombytes(links.astype(np.int64).tobytes())
+
     def at(self, place: int) -> tuple[str, array]:
         return self.texts[place], self.links[self.ends[place]:self.ends[place + 1]]
 
