@@ -12,14 +12,13 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from curata.functions.exprs import existing
 from curata.operators.value_counts import counted_quantiles, value_counts
-from curata.sources.sinks import written_table
+from curata.sources.sinks import persist, written_table
 from curata.spec import DEFAULT_SPEC, EncounterSpec
 
 #: Number of input rows of a row of ``CountedRows``.
@@ -115,7 +114,7 @@ def exact_quantiles(df: DataFrame, columns: Sequence[str], q: float) -> dict[str
     """
     if not columns:
         return {}
-    counted = value_counts(df, columns).persist(StorageLevel.MEMORY_AND_DISK)
+    counted = persist(value_counts(df, columns))
     try:
         return counted_quantiles(counted, columns, q)
     finally:

@@ -10,7 +10,6 @@ from __future__ import annotations
 from collections.abc import Sequence
 from concurrent.futures import ThreadPoolExecutor
 
-from pyspark import StorageLevel
 from pyspark.ml import Pipeline
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -21,8 +20,12 @@ from curata.operators.classifiers import random_forest, score
 from curata.operators.evaluation import evaluate
 from curata.operators.preprocess import preprocessing_stages
 from curata.operators.sampling import nested_sample, split_by_key
+from curata.sources.sinks import persist
 from curata.spec import CURVE_FRACTIONS, CURVE_RF_PARAMS, CURVE_SAMPLE_SEED, DEFAULT_SPEC, EncounterSpec
 
+#: Up to so many rows the fractions run concurrently, as series of small jobs; beyond, one fraction fills the cores.
+CONCURRENT_ROWS = 1_000_000
+
 
 def curve_rows(df: DataFrame, fractions: Sequence[float] = CURVE_FRACTIONS, key: str = "row_key",
                sample_seed: int = CURVE_SAMPLE_SEED, split_seed: int = 42, train_fraction: float = 0.8) -> DataFrame:
@@ -40,30 +43,42 @@ def curve_rows(df: DataFrame, fractions: Sequence[float] = CURVE_FRACTIONS, key:
 
 
 def learning_curve(df: DataFrame, spec: EncounterSpec = DEFAULT_SPEC, fractions: Sequence[float] = CURVE_FRACTIONS,
-                   sample_seed: int = CURVE_SAMPLE_SEED, weight_col: str | None = None, parallelism: int = 4) -> list[dict]:
+                   sample_seed: int = CURVE_SAMPLE_SEED, weight_col: str | None = None, parallelism: int | None = None) -> list[dict]:
     """Fit preprocessing + forest on the training part of each sample and
     evaluate on its test part; one dict per fraction (rows and metrics).
 
-    Each fraction's training vectors and scores are persisted, so indexer,
-    imputer, scaler and forest read the sample once, and the scores are
-    computed once for all metrics; both are released.  Fractions run
-    concurrently: each is a series of small jobs.
+    Each fraction's training rows, then its vectors, then its scores are
+    persisted, so that each is computed once, and released as soon as the next
+    is there.  ``parallelism`` fractions run at a time; without it, four up to
+    ``CONCURRENT_ROWS`` rows and one beyond, so that large samples are not held
+    beside each other.
     """
+    if parallelism is None:
+        parallelism = 4 if df.count() <= CONCURRENT_ROWS else 1
 
     def point(f: float) -> dict:
         sample = nested_sample(df, f, spec.row_key, sample_seed)
         train, test = split_by_key(sample, spec.row_key, spec.train_fraction, spec.split_seed)
         columns = [*spec.categorical_columns, *spec.numeric_columns, spec.label, spec.row_key, *([weight_col] if weight_col else [])]
-        train = train.select(*existing(train, columns)).persist(StorageLevel.MEMORY_AND_DISK)
-        prep = Pipeline(stages=preprocessing_stages(train, spec)).fit(train)
-        vectors = prep.transform(train).select("features", spec.label, *([weight_col] if weight_col else [])).persist(StorageLevel.MEMORY_AND_DISK)
-        model = random_forest(weight_col, **CURVE_RF_PARAMS).fit(vectors)
-        scored = score(model, prep.transform(test)).select(spec.label, "prediction", "score").persist(StorageLevel.MEMORY_AND_DISK)
+        held = []
+
+        def keep(table: DataFrame) -> DataFrame:
+            held.append(persist(table))
+            return table
+
         try:
+            train = keep(train.select(*existing(train, columns)))
+            prep = Pipeline(stages=preprocessing_stages(train, spec)).fit(train)
+            vectors = keep(prep.transform(train).select("features", spec.label, *([weight_col] if weight_col else [])))
+            vectors.count()
+            train.unpersist()
+            model = random_forest(weight_col, **CURVE_RF_PARAMS).fit(vectors)
+            vectors.unpersist()
+            scored = keep(score(model, prep.transform(test)).select(spec.label, "prediction", "score"))
             m = evaluate(scored, spec.label, "prediction", "score").first()
         finally:
-            for held in (train, vectors, scored):
-                held.unpersist()
+            for table in held:
+                table.unpersist()
         return {"fraction": float(f), "auc_roc": m["auc_roc"], "f1": m["f1"], "accuracy": m["accuracy"]}
 
     with ThreadPoolExecutor(max_workers=max(1, parallelism)) as pool:

@@ -13,12 +13,12 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from curata.functions.blocks import block_count, with_blocks
 from curata.functions.exprs import safe_div
+from curata.sources.sinks import persist
 
 METRICS = ("auc_roc", "accuracy", "f1", "weighted_precision", "weighted_recall")
 
@@ -90,7 +90,8 @@ def auc_roc(df: DataFrame, label: str = "label", score: str = "score", blocks: i
     grouped = df.groupBy(F.when(known, s).alias("s")).agg(
         F.count_if(known & (F.col(label) == 1)).cast("double").alias("pos"),
         F.count_if(known & (F.col(label) != 1)).cast("double").alias("neg"),
-        F.count_if(~known).alias("unscored")).persist(StorageLevel.MEMORY_AND_DISK)
+        F.count_if(~known).alias("unscored"))
+    grouped = persist(grouped)
     try:
         sizes = grouped.agg(F.count("s").alias("distinct"), F.coalesce(F.sum("unscored"), F.lit(0)).alias("unscored")).first()
         blocked = with_blocks(grouped.where("s IS NOT NULL"), "s", blocks or block_count(sizes["distinct"]))

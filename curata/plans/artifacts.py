@@ -32,8 +32,9 @@ from curata.sources.sinks import in_parts, persist, written_table
 from curata.spec import DEFAULT_SPEC, VALID_MAX, EncounterSpec
 
 
-#: Rows of a partition of the prepared table; as vectors and as a forest's training points a row takes about 0.2 and 0.4 KB.
-ROWS_PER_PART = 1_000_000
+#: Rows of a partition of the prepared table; as vectors and as a forest's training points a row takes about 0.2 and 0.4 KB,
+#: and a task that reads a persisted partition from disk holds it whole beside what Spark's memory manager counts.
+ROWS_PER_PART = 200_000
 
 
 def prepared_table(spark: SparkSession, sf_dir: str, spec: EncounterSpec = DEFAULT_SPEC, faults: bool = True,

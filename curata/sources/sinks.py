@@ -3,7 +3,9 @@
 Result tables are written as Parquet.  ``checkpoint_table`` cuts lineage in
 the shared folder named by ``spark.checkpoint.dir`` (reliable checkpoint,
 survives the loss of an executor); ``persist`` keeps a table for reuse and
-falls back to recomputation from lineage when a block is lost.
+falls back to recomputation from lineage when a block is lost.  What is
+persisted stays as objects: a serialised block is read back whole by each task
+that reads it, beside what Spark's memory manager counts.
 """
 
 from __future__ import annotations
@@ -25,7 +27,7 @@ def write_table(df: DataFrame, path: str, mode: str = "overwrite", partition_by:
 
 
 def persist(df: DataFrame) -> DataFrame:
-    return df.persist(StorageLevel.MEMORY_AND_DISK)
+    return df.persist(StorageLevel.MEMORY_AND_DISK_DESER)
 
 
 def checkpoint_table(df: DataFrame) -> DataFrame:
